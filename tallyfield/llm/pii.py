@@ -86,7 +86,8 @@ def mod97(iban: Column) -> Column:
 def confirmed(kind: str, s: Column) -> Column:
     n = F.length(_digits(s))
     if kind == "ip":
-        return F.forall(F.split(s, r"\."), lambda x: (F.length(F.ltrim(F.lit("0"), x)) <= 3) & (F.coalesce(F.substring(F.ltrim(F.lit("0"), x), 1, 3).try_cast("int"), F.lit(0)) <= 255))
+        plain = lambda x: F.ltrim(x, F.lit("0"))
+        return F.forall(F.split(s, r"\."), lambda x: (F.length(plain(x)) <= 3) & (F.coalesce(F.substring(plain(x), 1, 3).try_cast("int"), F.lit(0)) <= 255))
     if kind == "card":
         return F.when((n >= 14) & (n <= 19), luhn(_digits(s))).otherwise(F.lit(False))
     if kind == "phone":
