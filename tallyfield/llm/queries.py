@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, pii
+from . import decontaminate, exact_dedup, mixing, pii
 
 _BY_NAME = {
     "op5_exact_dedup": exact_dedup,
+    "op7_decontaminate": decontaminate,
     "op8_mixing": mixing,
     "op10_pii": pii,
 }
