@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, jaccard_join, mixing, pii
+from . import decontaminate, exact_dedup, jaccard_join, language, mixing, pii
 
 _BY_NAME = {
     "op1_jaccard_join": jaccard_join,
     "op5_exact_dedup": exact_dedup,
     "op7_decontaminate": decontaminate,
     "op8_mixing": mixing,
+    "op9_language": language,
     "op10_pii": pii,
 }
 

@@ -87,3 +87,13 @@ def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in rows:
         if b.num_rows:
             yield b
+
+
+def sample(rows: DataFrame, label: str, per: int) -> DataFrame:
+    """About per rows of each value of label (fewer where there are fewer), never more than per times the values, by the digest of doc_id: the same rows on every run."""
+    counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
+    if not counts:
+        return rows.limit(0)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    share = F.element_at(F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(per / n))]), F.col(label))
+    return rows.withColumn("place", place / share).filter("place < 1").orderBy("place", "doc_id").limit(per * len(counts)).drop("place")
