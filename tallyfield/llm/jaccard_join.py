@@ -38,7 +38,7 @@ N = 5
 #: Linked if DEN * intersection >= NUM * union.
 NUM, DEN = 75, 100
 FRAGMENTS = 4
-ANCHORS = 2
+ANCHORS = 1
 #: log2 of the counters of the frequency sketch (broadcast, 4 bytes each).
 SKETCH_BITS = 21
 #: log2 of the bits of the filter of documents that are in candidate pairs (broadcast).
@@ -173,7 +173,7 @@ def _mark(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _segments(held, n: int):
-    """doc_id, text -> cls, fragment, grams, of the documents that the filter lets pass."""
+    """doc_id, text -> cls, part (fragment), grams, of the documents that the filter lets pass."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, cuts, bits = held.value
@@ -193,16 +193,18 @@ def _segments(held, n: int):
                         grams.append(g[fragment == k].view(np.int64))
             lengths = np.cumsum([0, *map(len, grams)]).astype(np.int32)
             values = pa.array(np.concatenate(grams) if grams else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(parts, pa.int32()), pa.ListArray.from_arrays(pa.array(lengths), values)], names=["cls", "fragment", "grams"])
+            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(parts, pa.int32()), pa.ListArray.from_arrays(pa.array(lengths), values)], names=["cls", "part", "grams"])
 
     return run
 
 
 def _links(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     """Of the pairs (x, y, nx, ny) those that are linked: overlaps are counted by fragment and summed."""
-    y = pairs.join(segments.select(F.col("cls").alias("y"), "fragment", F.col("grams").alias("gy")), "y")
-    both = y.join(segments.select(F.col("cls").alias("x"), "fragment", F.col("grams").alias("gx")), ["x", "fragment"])
-    part = both.select("x", "y", "nx", "ny", "fragment", F.size(F.array_intersect("gx", "gy")).alias("part")).filter("part > 0").distinct()
+    every = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))))
+    # Both joins read one exchange of the segments; the side that many pairs share travels last.
+    y = every.join(segments.alias("s"), (F.col("y") == F.col("s.cls")) & (F.col("fragment") == F.col("s.part"))).select("x", "y", "nx", "ny", "fragment", F.col("grams").alias("own"))
+    both = y.join(segments.alias("s"), (F.col("x") == F.col("s.cls")) & (F.col("fragment") == F.col("s.part")))
+    part = both.select("x", "y", "nx", "ny", "fragment", F.size(F.array_intersect("own", "grams")).alias("part")).filter("part > 0").distinct()
     total = part.groupBy("x", "y", "nx", "ny").agg(F.sum("part").alias("o"))
     return total.filter(DEN * F.col("o") >= NUM * (F.col("nx") + F.col("ny") - F.col("o"))).select(F.col("x").alias("u"), F.col("y").alias("v"))
 
@@ -255,13 +257,17 @@ def join(spark: SparkSession, docs: DataFrame, n: int = N) -> DataFrame:
     # One shuffle: copies of a class from other partitions go, and so do n-grams of one class.
     index = index.repartition("gram").groupBy("gram", "cls").agg(F.min("n").alias("n"), F.min("place").alias("place"))
     index = index.withColumn("c", F.count("*").over(W.partitionBy("gram"))).filter("c > 1").drop("c")
+    index = stage.write(index, "shared")
+    # What has no partner of a fitting size and place is in no candidate pair.
+    index = index.withColumn("label", F.col("cls")).alias("a").join(index.withColumn("label", F.col("cls")).alias("b"), (F.col("a.gram") == F.col("b.gram")) & _may_link("a", "b"), "left_semi").drop("label")
     index = stage.write(index, "index")
+    stage.drop("shared")
 
     wanted = classes.join(index.select("cls").distinct(), "cls", "left_semi").filter("first is not null").select(F.col("first").alias("doc_id"))
     bits = sketches.total(wanted.mapInArrow(_mark, sketches.SCHEMA), 1 << FILTER_BITS) > 0
     held.unpersist()
     held = spark.sparkContext.broadcast((sketch, pivots(sketch), bits))
-    segments = stage.write(rows.mapInArrow(_segments(held, n), "cls bigint, fragment int, grams array<bigint>"), "segments")
+    segments = stage.write(rows.mapInArrow(_segments(held, n), "cls bigint, part int, grams array<bigint>"), "segments")
 
     labels, links = None, None
     for turn in range(ANCHORS + 1):

@@ -53,6 +53,7 @@ class Stage:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Write df and read it back: the lineage ends here."""
+        self.sweep()
         df.write.mode("overwrite").parquet(f"{self.root}/{name}")
         self.sweep()
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
