@@ -80,11 +80,11 @@ def slot(grams: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
     return (grams >> np.uint64(64 - bits)).astype(np.int64)
 
 
-_PROFILE = "doc_id bigint, n int, cls bigint, other bigint, chunk int, counts binary"
+_PROFILE = "doc_id bigint, mark bigint, n int, cls bigint, other bigint, chunk int, counts binary"
 
 
 def _profile(n: int):
-    """doc_id, text -> a row for each document, and the partition's n-gram counters."""
+    """doc_id, text, mark -> a row for each document, and the partition's n-gram counters."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -104,16 +104,16 @@ def _profile(n: int):
                     pool, held = [], 0
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())],
-                names=["doc_id", "n", "cls", "other", "chunk", "counts"],
+                [batch.column("doc_id"), batch.column("mark"), pa.array(sizes, pa.int32()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())],
+                names=["doc_id", "mark", "n", "cls", "other", "chunk", "counts"],
             )
         if pool:
             counts += np.bincount(np.concatenate(pool), minlength=len(counts))
         kept, data = sketches.chunks(counts)
         none = pa.nulls(len(kept))
         yield pa.RecordBatch.from_arrays(
-            [none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(kept, pa.int32()), pa.array(data, pa.binary())],
-            names=["doc_id", "n", "cls", "other", "chunk", "counts"],
+            [none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(kept, pa.int32()), pa.array(data, pa.binary())],
+            names=["doc_id", "mark", "n", "cls", "other", "chunk", "counts"],
         )
 
     return run
@@ -243,12 +243,12 @@ def _remaining(index: DataFrame) -> DataFrame:
 
 
 def join(spark: SparkSession, docs: DataFrame, n: int = N) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), cls (class of equal sets)."""
+    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), cls (class of equal sets), mark (hash of the text)."""
     stage = shared.Stage(spark, "jaccard-join")
     rows = shared.texts(docs)
-    profile = stage.write(rows.mapInArrow(_profile(n), _PROFILE), "profile")
+    profile = stage.write(rows.withColumn("mark", F.xxhash64("text")).mapInArrow(_profile(n), _PROFILE), "profile")
     sketch = np.minimum(sketches.total(profile.filter("chunk is not null"), 1 << SKETCH_BITS), 2**31 - 1).astype(np.int32)
-    documents = profile.filter("chunk is null").select("doc_id", "n", "cls", "other")
+    documents = profile.filter("chunk is null").select("doc_id", "mark", "n", "cls", "other")
     one = F.when(F.min("other") == F.max("other"), F.min("doc_id")).otherwise(F.raise_error(F.lit("two different sets share a digest")).cast("bigint"))
     classes = stage.write(documents.filter("n > 0").groupBy("cls").agg(one.alias("first")), "classes")
 
@@ -282,17 +282,19 @@ def join(spark: SparkSession, docs: DataFrame, n: int = N) -> DataFrame:
     least = reach.groupBy("label").agg(F.min("first").alias("component_id"))
     reach = stage.write(reach.join(least, "label").select("cls", "component_id"), "reach")
     out = documents.join(reach, "cls", "left")
-    return out.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "cls")
+    return out.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "cls", "mark")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, n: int = N) -> DataFrame:
-    """The documents that stay when each component keeps its smallest doc_id, with all their columns."""
-    ids = join(spark, docs, n).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__tf_id")).distinct()
-    return docs.join(ids, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__tf_id")), "left_semi")
+    """The documents that stay when each component keeps its smallest doc_id, with all their columns; of rows that repeat both doc_id and text one stays."""
+    ids = join(spark, docs, n).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__tf_id"), F.col("mark").alias("__tf_mark"))
+    own = docs.withColumn("__tf_own", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__tf_id")) & (F.col("__tf_own") == F.col("__tf_mark"))
+    return own.join(ids, same, "left_semi").dropDuplicates(["doc_id", "__tf_own"]).drop("__tf_own")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join(spark, shared.table(spark, sf_dir, "documents")).drop("cls")
+    return join(spark, shared.table(spark, sf_dir, "documents")).drop("cls", "mark")
 
 
 SQL = r"""

@@ -63,7 +63,7 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET,
 
 
 def mix(spark: SparkSession, docs: DataFrame, weight: DataFrame | None = None, seed: str = "mix") -> DataFrame:
-    """Per document: doc_id, size, source_size, target (of its source), taken (words that the mix takes).
+    """Per document: doc_id, size, source_size, target (of its source), taken (words that the mix takes), source.
 
     weight: (doc_id, weight), a row for each weighted document.
     """
@@ -97,7 +97,7 @@ def mix(spark: SparkSession, docs: DataFrame, weight: DataFrame | None = None, s
     inside = joined.filter(edge).withColumn("run", F.col("before") + F.coalesce(F.sum("size").over(within), F.lit(0)))
     inside = inside.withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("run"))))
     whole = joined.filter(~edge).withColumn("part", F.when(F.col("before") + F.col("bucket_size") <= F.col("rest"), F.col("size")).otherwise(F.lit(0)))
-    columns = ["doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("part")).cast("bigint").alias("taken")]
+    columns = ["doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("part")).cast("bigint").alias("taken"), "source"]
     return whole.select(columns).unionByName(inside.select(columns))
 
 
@@ -131,5 +131,5 @@ c AS (
   SELECT d.*, source_size, target, epochs, rest, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run
   FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 )
-SELECT doc_id, size, source_size, target, CAST(epochs * size + greatest(0, least(size, rest - run)) AS BIGINT) AS taken FROM c
+SELECT doc_id, size, source_size, target, CAST(epochs * size + greatest(0, least(size, rest - run)) AS BIGINT) AS taken, source FROM c
 """

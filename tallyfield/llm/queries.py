@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, jaccard_join, language, mixing, pii
+from . import decontaminate, exact_dedup, jaccard_join, language, mixing, pii, toxicity
 
 _BY_NAME = {
     "op1_jaccard_join": jaccard_join,
+    "op4_toxicity": toxicity,
     "op5_exact_dedup": exact_dedup,
     "op7_decontaminate": decontaminate,
     "op8_mixing": mixing,
