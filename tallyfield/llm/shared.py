@@ -9,7 +9,9 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,8 +21,25 @@ from pyspark.sql import functions as F
 SPACE = r"\x20\x09-\x0D"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, which may not have it installed; once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = Path(__file__).resolve().parent.parent
+        path = Path(tempfile.mkdtemp(prefix="tallyfield-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(path, "w") as out:
+            for p in sorted(package.rglob("*.py")):
+                out.write(p, p.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(path))
+        _shipped.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the input folder, through Spark's own reader (any store that Spark can open)."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -41,6 +60,7 @@ class Stage:
     """Tables written for one run of an operator; each is dropped as soon as nothing reads it, or when the session ends."""
 
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         self.spark = spark
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self.fs, self.path = self._handle(self.root)
