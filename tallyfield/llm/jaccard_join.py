@@ -198,14 +198,27 @@ def _segments(held, n: int):
     return run
 
 
-def _links(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """Of the pairs (x, y, nx, ny) those that are linked: overlaps are counted by fragment and summed."""
-    every = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))))
-    # Both joins read one exchange of the segments; the side that many pairs share travels last.
-    y = every.join(segments.alias("s"), (F.col("y") == F.col("s.cls")) & (F.col("fragment") == F.col("s.part"))).select("x", "y", "nx", "ny", "fragment", F.col("grams").alias("own"))
-    both = y.join(segments.alias("s"), (F.col("x") == F.col("s.cls")) & (F.col("fragment") == F.col("s.part")))
-    part = both.select("x", "y", "nx", "ny", "fragment", F.size(F.array_intersect("own", "grams")).alias("part")).filter("part > 0").distinct()
-    total = part.groupBy("x", "y", "nx", "ny").agg(F.sum("part").alias("o"))
+def _overlaps(pairs: DataFrame, segments: DataFrame, how: str) -> DataFrame:
+    """Of (x, y, nx, ny, fragment): part, the overlap in the fragment, and the sizes there (rx, ry). The side that many pairs share travels last."""
+    y = pairs.join(segments.alias("s"), (F.col("y") == F.col("s.cls")) & (F.col("fragment") == F.col("s.part")), how).select("x", "y", "nx", "ny", "fragment", F.col("grams").alias("own"))
+    both = y.join(segments.alias("s"), (F.col("x") == F.col("s.cls")) & (F.col("fragment") == F.col("s.part")), how)
+    size = lambda c: F.coalesce(F.size(c), F.lit(0))
+    part = F.when(F.col("own").isNotNull() & F.col("grams").isNotNull(), F.size(F.array_intersect("own", "grams"))).otherwise(F.lit(0))
+    return both.select("x", "y", "nx", "ny", "fragment", part.alias("part"), size("grams").alias("rx"), size("own").alias("ry")).distinct()
+
+
+def _links(stage: shared.Stage, pairs: DataFrame, segments: DataFrame, name: str) -> DataFrame:
+    """Of the pairs (x, y, nx, ny) those that are linked: overlaps are counted by fragment and summed.
+
+    The fragment of the rarest n-grams comes first: a pair that can't reach the overlap that it needs
+    with all of the rest goes no further.
+    """
+    first = _overlaps(pairs.withColumn("fragment", F.lit(0)), segments.filter("part = 0"), "left")
+    reach = F.col("part") + F.least(F.col("nx") - F.col("rx"), F.col("ny") - F.col("ry"))
+    first = stage.write(first.filter(reach * (NUM + DEN) >= (F.col("nx") + F.col("ny")) * NUM).select("x", "y", "nx", "ny", "part"), name)
+    rest = first.drop("part").withColumn("fragment", F.explode(F.sequence(F.lit(1), F.lit(FRAGMENTS - 1))))
+    rest = _overlaps(rest, segments.filter("part > 0"), "inner").select("x", "y", "nx", "ny", "part")
+    total = first.unionByName(rest).groupBy("x", "y", "nx", "ny").agg(F.sum("part").alias("o"))
     return total.filter(DEN * F.col("o") >= NUM * (F.col("nx") + F.col("ny") - F.col("o"))).select(F.col("x").alias("u"), F.col("y").alias("v"))
 
 
@@ -273,7 +286,7 @@ def join(spark: SparkSession, docs: DataFrame, n: int = N) -> DataFrame:
     for turn in range(ANCHORS + 1):
         own = _labelled(index, labels)
         pairs = stage.write(_anchored(own, turn) if turn < ANCHORS else _remaining(own), f"pairs{turn}")
-        found = stage.write(_links(pairs, segments), f"links{turn}")
+        found = stage.write(_links(stage, pairs, segments, f"open{turn}"), f"links{turn}")
         links = found if links is None else links.unionByName(found)
         labels = components(stage, links, f"star{turn}_")
     stage.drop("segments", "index")

@@ -70,7 +70,7 @@ CUES = frozenset("license licensed licence licenced licensing reserved permissio
 NONE, UNKNOWN = "none", "unknown"
 BITS, ORDERS = 15, (1, 2, 3)
 #: Documents to learn ordinary paragraphs from; passes; copies made of each notice.
-ORDINARY, PASSES, COPIES = 1000, 30, 40
+ORDINARY, PASSES, COPIES = 500, 12, 30
 #: Least probability of a family; least share of a notice's n-grams that confirms it; least probability of not being ordinary for "unknown".
 MIN_SCORE, CONFIRM, MIN_NOTICE = 0.5, 0.8, 0.9
 _MULT = words.mix(np.arange(101, 104, dtype=np.uint64)) | np.uint64(1)
@@ -200,7 +200,7 @@ def learn(docs: DataFrame, n: int = ORDINARY) -> Model:
     """Learn ordinary paragraphs from about n documents, by the digest of the id; paragraphs with a notice's words are left out."""
     rows = shared.texts(docs).withColumn("all", F.lit(1))
     lines = [x for t in shared.sample(rows, "all", n).toPandas()["text"] for x in t.split("\n")]
-    return Model([x for x in lines if x.strip() and not CUES & set(x.lower().replace(".", " ").replace(",", " ").split())][: 20 * n])
+    return Model([x for x in lines if x.strip() and not CUES & set(x.lower().replace(".", " ").replace(",", " ").split())][: 8 * n])
 
 
 def licenses(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:

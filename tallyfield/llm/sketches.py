@@ -47,6 +47,6 @@ def total(rows: DataFrame, size: int) -> np.ndarray:
     """The sum of all partitions' counters, as int64. rows: (chunk, counts)."""
     out = np.zeros(size, np.int64)
     step = min(CHUNK, size)
-    for row in rows.select("chunk", "counts").groupBy("chunk").applyInArrow(_add, SCHEMA).toLocalIterator():
+    for row in rows.select("chunk", "counts").groupBy("chunk").applyInArrow(_add, SCHEMA).collect():  # at most size counters
         out[row["chunk"] * step : (row["chunk"] + 1) * step] = _unpack(bytes(row["counts"]))
     return out
