@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, html_text, jaccard_join, language, licenses, mixing, pii, toxicity
+from . import decontaminate, exact_dedup, html_text, jaccard_join, language, licenses, lm, mixing, pii, toxicity
 
 _BY_NAME = {
     "op1_jaccard_join": jaccard_join,
     "op2_licenses": licenses,
+    "op3_lm": lm,
     "op4_toxicity": toxicity,
     "op5_exact_dedup": exact_dedup,
     "op6_html_text": html_text,

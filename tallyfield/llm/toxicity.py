@@ -112,7 +112,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> dict:
         cut = np.searchsorted(doc, np.arange(s.docs + 1))
         order = np.argsort(owners, kind="stable")
         ends = np.searchsorted(owners[order], np.arange(len(bucket) + 1))
-        bags += [(w[a:b], bucket, grams[order], ends) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        w, bucket, grams = w.astype(np.int32), bucket.astype(np.int32), grams[order].astype(np.int32)
+        bags += [(w[a:b], bucket, grams, ends) for a, b in zip(cut[:-1], cut[1:], strict=True)]
     adam = gru.Adam(p, 0.004)
     turn = np.zeros(0, np.int64)
     for step in range(STEPS):
