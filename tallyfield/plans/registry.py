@@ -1,13 +1,408 @@
-"""Queries over the driver's tables and their SQL twins."""
+"""Queries over the driver's tables, one for each family of operators, and their SQL twins."""
 
+from __future__ import annotations
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+from collections.abc import Callable
+from functools import cached_property
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
-def queries():
-    return {}
+from ..functions import calendar, geo, regions
+from ..operators import arrays, cluster, consumer, counts, dims, occurrences, packs, rollup, search
+from ..sources import ingest, sinks
+from . import analog, pipeline, sql
 
+RES, ZONES = 6, [4, 3]
 
-def oracle_sql():
-    return {}
+
+class Tables:
+    """The chain of tables over one folder; each is a plan, built when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, d: str):
+        self.spark, self.d, self.grid = spark, d, geo.Lattice()
+
+    checklists = cached_property(lambda t: ingest.checklists(analog.raw_checklists(t.spark, t.d)))
+    observations = cached_property(lambda t: ingest.observations(analog.raw_observations(t.spark, t.d)))
+    species = cached_property(lambda t: analog.species(t.spark, t.d))
+    dim = cached_property(lambda t: dims.location_dim(t.checklists))
+    hotspots = cached_property(lambda t: dims.hotspots(t.dim))
+    samples = cached_property(lambda t: counts.samples(t.checklists))
+    observed = cached_property(lambda t: counts.observed(t.observations, t.species))
+    matched = cached_property(lambda t: counts.matched(t.observed, t.samples))
+    month_obs = cached_property(lambda t: counts.month_obs(t.matched, t.dim))
+    year_obs = cached_property(lambda t: counts.year_obs(t.matched, t.samples, t.dim))
+    region_samples = cached_property(lambda t: counts.region_samples(t.samples, t.dim))
+    region_obs = cached_property(lambda t: counts.region_obs(t.matched, t.dim))
+    regions = cached_property(lambda t: dims.regions(t.region_samples))
+    cells = cached_property(lambda t: rollup.cells(t.observed, t.samples, t.dim, RES, t.grid))
+    grid_tables = cached_property(lambda t: rollup.tables(t.cells, t.grid))
+    loc_meta = cached_property(lambda t: occurrences.loc_meta(t.year_obs, t.hotspots))
+    loc_species = cached_property(lambda t: occurrences.loc_species(t.year_obs, t.loc_meta))
+    loc_qcount = cached_property(lambda t: occurrences.qcount(t.loc_species, "loc_ref"))
+    zone_meta = cached_property(lambda t: occurrences.zone_meta(t.grid_tables["h3_cells"], t.grid_tables["h3_cell_samples"], ZONES, RES, t.grid))
+    zone_species = cached_property(lambda t: occurrences.zone_species(t.grid_tables["h3_cell_obs"], occurrences.child_zone(t.grid_tables["h3_cells"], t.zone_meta, ZONES, RES), RES))
+    loc_zone = cached_property(lambda t: occurrences.loc_zone_h3(t.loc_meta, ZONES, t.grid))
+    loc_cells = cached_property(lambda t: occurrences.loc_cell_ref(t.loc_meta, t.loc_zone, t.zone_meta))
+    packs = cached_property(lambda t: t.dim.select(F.col("grid_region").alias("region")).union(t.dim.select("country_code")).filter("region is not null").distinct())
+    seen = cached_property(lambda t: t.species.filter(F.col("id") % 3 == 0).select(F.lit("u1").alias("user_id"), F.col("id").alias("species_id")))
+
+
+_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def _query(text: str | None = None, *roots: str):  # noqa: ANN202
+    def add(f: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+        _QUERIES[f.__name__] = f
+        if text:
+            _SQL[f.__name__] = sql.query(text, *roots)
+        return f
+
+    return add
+
+
+def _text(c: str) -> F.Column:
+    return F.array_join(F.col(c).cast("array<string>"), ",", "null").alias(c)
+
+
+@_query("SELECT location_id, locality, locality_type, observed_on, event_id, group_id, country_code, state_code, county_code, lat, lng FROM cl", "cl")
+def filter_complete(t: Tables) -> DataFrame:
+    return t.checklists
+
+
+@_query("SELECT location_id, observed_on, event_id, group_id, sci_name FROM ob", "ob")
+def filter_categories(t: Tables) -> DataFrame:
+    return t.observations
+
+
+@_query("SELECT location_id, name, locality_type, nullif(cy, '') AS country_code, sub1 AS subnational1_code, nullif(cc, '') AS subnational2_code, region_code, grid_region, lat, lng FROM dim", "dim")
+def location_dim(t: Tables) -> DataFrame:
+    return t.dim.drop("cell_lat", "cell_lng")
+
+
+@_query("SELECT region_code, grid_region, count(*) AS n FROM dim GROUP BY 1, 2", "dim")
+def region_code_rules(t: Tables) -> DataFrame:
+    return t.dim.groupBy("region_code", "grid_region").agg(F.count("*").alias("n"))
+
+
+@_query("SELECT * FROM sa", "sa")
+def samples_agg(t: Tables) -> DataFrame:
+    return t.samples
+
+
+@_query("SELECT * FROM oa", "oa")
+def obs_agg(t: Tables) -> DataFrame:
+    return t.observed
+
+
+@_query("SELECT * FROM mo", "mo")
+def month_obs(t: Tables) -> DataFrame:
+    return t.month_obs
+
+
+@_query("SELECT * FROM yo", "yo")
+def year_obs(t: Tables) -> DataFrame:
+    return t.year_obs
+
+
+@_query("SELECT * FROM ys", "ys")
+def year_samples(t: Tables) -> DataFrame:
+    return counts.year_samples(t.samples, t.dim)
+
+
+@_query("SELECT * FROM re", "re")
+def regions_dense(t: Tables) -> DataFrame:
+    return t.regions
+
+
+@_query("SELECT re.id AS region_id, month, samples FROM rs JOIN re ON code = region_code", "rs", "re")
+def region_month_samples(t: Tables) -> DataFrame:
+    return counts.with_region_id(t.region_samples, t.regions)
+
+
+@_query("SELECT re.id AS region_id, month, species_id, obs FROM ro JOIN re ON code = region_code", "ro", "re")
+def region_month_obs(t: Tables) -> DataFrame:
+    return counts.with_region_id(t.region_obs, t.regions)
+
+
+@_query("SELECT * FROM hot", "hot")
+def hotspots(t: Tables) -> DataFrame:
+    return t.hotspots
+
+
+@_query("SELECT * FROM yo WHERE species_id = 3 ORDER BY score DESC, location_id LIMIT 10", "yo")
+def top_species_locations(t: Tables) -> DataFrame:
+    return consumer.best_locations(t.year_obs, 3, 10)
+
+
+@_query("SELECT count(*) AS rows, count(DISTINCT location_id) AS locations, count(DISTINCT species_id) AS species, CAST(coalesce(sum(obs), 0) AS BIGINT) AS obs FROM ma", "ma")
+def global_counts(t: Tables) -> DataFrame:
+    return counts.summary(t.matched)
+
+
+@_query("SELECT * FROM co", "co")
+def cell_obs(t: Tables) -> DataFrame:
+    return t.cells.obs
+
+
+@_query("SELECT * FROM cs", "cs")
+def cell_samples(t: Tables) -> DataFrame:
+    return t.cells.samples
+
+
+@_query("SELECT * FROM wi", "wi")
+def cell_region_winner(t: Tables) -> DataFrame:
+    return rollup.winners(t.cells.regions)
+
+
+@_query("SELECT * FROM ce", "ce")
+def cell_refs(t: Tables) -> DataFrame:
+    return t.grid_tables["h3_cells"]
+
+
+@_query("SELECT * FROM ho", "ho")
+def cell_obs_dense(t: Tables) -> DataFrame:
+    return t.grid_tables["h3_cell_obs"]
+
+
+@_query("SELECT DISTINCT cell FROM (SELECT cell FROM co UNION SELECT cell FROM cs) WHERE cell NOT IN (SELECT cell FROM wi)", "co", "cs", "wi")
+def orphan_cells_anti(t: Tables) -> DataFrame:
+    return rollup.orphans(t.cells)
+
+
+@_query(
+    "SELECT 6 AS res, (SELECT count(DISTINCT cell) FROM co) AS cells, (SELECT count(DISTINCT cell) FROM (SELECT cell FROM co UNION SELECT cell FROM cs) WHERE cell NOT IN (SELECT cell FROM wi)) AS orphans, (SELECT CAST(sum(obs) AS BIGINT) FROM co) AS obs, (SELECT CAST(sum(samples) AS BIGINT) FROM cs) AS samples",
+    "co", "cs", "wi",
+)
+def grid_stats(t: Tables) -> DataFrame:
+    return rollup.stats(t.cells)
+
+
+@_query(f"SELECT {sql.parent('cell', 4)} AS cell, month, species_id, CAST(sum(obs) AS BIGINT) AS obs FROM co GROUP BY 1, 2, 3", "co")
+def grid_rollup(t: Tables) -> DataFrame:
+    return rollup.roll_up(t.cells, 4).obs
+
+
+@_query(f"SELECT cell, region_code FROM (SELECT *, row_number() OVER (PARTITION BY cell ORDER BY samples DESC, region_code) AS rn FROM (SELECT {sql.parent('cell', 3)} AS cell, region_code, sum(samples) AS samples FROM cr GROUP BY 1, 2)) WHERE rn = 1", "cr")
+def rollup_winner(t: Tables) -> DataFrame:
+    return rollup.winners(rollup.roll_up(rollup.roll_up(t.cells, 4), 3).regions)
+
+
+@_query("SELECT * FROM lm", "lm")
+def loc_meta(t: Tables) -> DataFrame:
+    return t.loc_meta
+
+
+@_query("SELECT * FROM ls", "ls")
+def loc_species(t: Tables) -> DataFrame:
+    return t.loc_species
+
+
+@_query("SELECT * FROM lq", "lq")
+def loc_qcount(t: Tables) -> DataFrame:
+    return t.loc_qcount
+
+
+@_query("SELECT * FROM zm", "zm")
+def zone_meta(t: Tables) -> DataFrame:
+    return t.zone_meta
+
+
+@_query("SELECT * FROM zs", "zs")
+def zone_species(t: Tables) -> DataFrame:
+    return t.zone_species
+
+
+@_query("SELECT res, CAST(b AS INTEGER) AS bucket, cell_ref, count(*) AS q_count FROM zs, range(5) AS r(b) WHERE bucket_level >= b GROUP BY 1, 2, 3", "zs")
+def zone_qcount(t: Tables) -> DataFrame:
+    return occurrences.qcount(t.zone_species, "res", "cell_ref")
+
+
+@_query("SELECT * FROM lr", "lr")
+def loc_cell_ref_left(t: Tables) -> DataFrame:
+    return t.loc_cells
+
+
+@_query(
+    "SELECT 'u1' AS user_id, lq.loc_ref, q_count - coalesce(n, 0) AS lifers FROM lq LEFT JOIN (SELECT loc_ref, count(*) AS n FROM ls WHERE bucket_level >= 1 AND species_id % 3 = 0 GROUP BY 1) s ON s.loc_ref = lq.loc_ref WHERE bucket = 1", "lq", "ls"
+)
+def lifers(t: Tables) -> DataFrame:
+    return occurrences.lifers(t.loc_species, t.loc_qcount, t.seen, 1)
+
+
+@_query("SELECT res, cell_ref, count(*) AS hotspots FROM lr WHERE cell_ref >= 0 GROUP BY 1, 2", "lr")
+def hotspots_per_cell(t: Tables) -> DataFrame:
+    return consumer.hotspots_per_cell(t.loc_cells)
+
+
+@_query("SELECT * FROM mo WHERE location_id IN (SELECT id FROM hot WHERE region_code ILIKE 'r1-n%')", "mo", "hot")
+def semi_join_region(t: Tables) -> DataFrame:
+    own = t.hotspots.filter(packs.holds("region_code", "r1-n", "loose"))
+    return t.month_obs.join(own.select(F.col("id").alias("location_id")), "location_id", "left_semi")
+
+
+@_query("SELECT id, region_code FROM hot WHERE region_code ILIKE 'r2' OR region_code ILIKE 'r2-%'", "hot")
+def region_prefix_filter(t: Tables) -> DataFrame:
+    return t.hotspots.filter(packs.holds("region_code", "r2")).select("id", "region_code")
+
+
+@_query("SELECT region FROM pk p WHERE NOT EXISTS (SELECT 1 FROM pk c WHERE c.region LIKE p.region || '-%')", "pk")
+def finest_regions_anti(t: Tables) -> DataFrame:
+    return dims.finest_regions(t.packs)
+
+
+@_query("SELECT * FROM (VALUES ('XX')) AS v(region)")
+def missing_regions(t: Tables) -> DataFrame:
+    wanted = t.packs.select("region").unionByName(t.spark.range(1).select(F.lit("XX").alias("region")))
+    return dims.missing_regions(wanted, t.packs)
+
+
+@_query("SELECT p.region, c.code FROM pk p, (SELECT DISTINCT region_code AS code FROM hot WHERE region_code IS NOT NULL) c WHERE c.code = p.region OR c.code LIKE p.region || '-%'", "pk", "hot")
+def pack_regions_strict(t: Tables) -> DataFrame:
+    return packs.codes_of(t.packs, t.hotspots.select(F.col("region_code").alias("code")), "strict")
+
+
+@_query(
+    f"SELECT location_id, samples, species_id, obs FROM (SELECT location_id, {sql.months('samples', 'null')} AS samples FROM mo GROUP BY 1) JOIN (SELECT location_id, species_id, {sql.months('obs', '0')} AS obs FROM mo GROUP BY 1, 2) USING (location_id)", "mo"
+)
+def month_pivot(t: Tables) -> DataFrame:
+    x = arrays.target_months(t.month_obs).select("location_id", "samples", F.explode("species").alias("s"))
+    return x.select("location_id", "samples", "s.species_id", "s.obs").select("location_id", _text("samples"), "species_id", _text("obs"))
+
+
+@_query(
+    f"SELECT cell_ref, coalesce(samples, '0,0,0,0,0,0,0,0,0,0,0,0') AS samples, coalesce(n, 0) AS n FROM (SELECT cell_ref, {sql.months('samples', '0')} AS samples FROM hs GROUP BY 1) FULL JOIN (SELECT cell_ref, count(DISTINCT species_id) AS n FROM ho GROUP BY 1) USING (cell_ref)", "hs", "ho"
+)
+def cells_full_outer(t: Tables) -> DataFrame:
+    x = arrays.cell_months(t.grid_tables["h3_cell_obs"].drop("res"), t.grid_tables["h3_cell_samples"].drop("res"), "cell_ref")
+    return x.select("cell_ref", _text("samples"), F.size("species").cast("bigint").alias("n"))
+
+
+@_query("SELECT location_id, code, CAST(sum(obs) AS BIGINT) AS obs FROM mo JOIN code ON id = species_id WHERE code <> '' GROUP BY 1, 2", "mo", "code")
+def species_name_lookup(t: Tables) -> DataFrame:
+    codes = t.species.filter("code <> ''").select(F.col("id").alias("species_id"), "code")
+    return t.month_obs.join(codes, "species_id").groupBy("location_id", "code").agg(F.sum("obs").alias("obs"))
+
+
+@_query("SELECT r.id AS species_id, coalesce(n, 0) AS n, CAST(coalesce(sum(n) OVER (ORDER BY r.id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS \"offset\" FROM (SELECT unnest(range(0, (SELECT max(id) FROM sp) + 2)) AS id) r LEFT JOIN (SELECT species_id, count(*) AS n FROM ls GROUP BY 1) c ON c.species_id = r.id", "sp", "ls")
+def csr_offsets(t: Tables) -> DataFrame:
+    return arrays.csr_offsets(t.loc_species, t.species)
+
+
+@_query("SELECT loc_ref, coalesce(q_count, 0) AS q_count FROM lm LEFT JOIN (SELECT loc_ref, q_count FROM lq WHERE bucket = 3) USING (loc_ref)", "lm", "lq")
+def dense_vector(t: Tables) -> DataFrame:
+    return arrays.dense(t.loc_qcount.filter("bucket = 3"), "loc_ref", "q_count", t.loc_meta.agg(F.count("*").alias("n")))
+
+
+@_query(
+    "SELECT id, round(2 * 6371 * atan2(sqrt(h), sqrt(greatest(0, 1 - h))), 6) AS km FROM (SELECT id, power(sin((radians(lat) - radians(40.0)) / 2), 2) + cos(radians(40.0)) * cos(radians(lat)) * power(sin(radians(lng + 74.0) / 2), 2) AS h FROM hot WHERE lat IS NOT NULL)", "hot"
+)
+def haversine(t: Tables) -> DataFrame:
+    km = geo.haversine_km(F.lit(40.0), F.lit(-74.0), F.col("lat"), F.col("lng"))
+    return t.hotspots.filter("lat is not null").select("id", F.round(km, 6).alias("km"))
+
+
+@_query("SELECT CAST(n AS BIGINT) AS n, CAST(CASE WHEN n <= 0 THEN 3 ELSE greatest(3, least(30, ceil(1.5 * log2(n)))) END AS BIGINT) AS k FROM range(2000) AS r(n)")
+def desired_clusters(t: Tables) -> DataFrame:
+    return t.spark.range(2000).select(F.col("id").alias("n"), geo.desired_clusters(F.col("id")).cast("bigint").alias("k"))
+
+
+@_query(
+    "SELECT d, CAST(date_trunc('month', CASE WHEN day(d) >= 15 THEN d - INTERVAL 1 MONTH ELSE d - INTERVAL 2 MONTH END) AS DATE) AS release, lower(strftime(CASE WHEN day(d) >= 15 THEN d - INTERVAL 1 MONTH ELSE d - INTERVAL 2 MONTH END, '%b-%Y')) AS slug FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)"
+)
+def release_calendar(t: Tables) -> DataFrame:
+    days = t.spark.read.parquet(f"{t.d}/orders.parquet").select(F.col("o_orderdate").cast("date").alias("d")).distinct()
+    m = calendar.release_month(F.col("d"))
+    return days.select("d", m.alias("release"), calendar.slug(F.date_format(m, "MMM"), F.date_format(m, "yyyy")).alias("slug"))
+
+
+@_query("SELECT id AS species_id FROM sp WHERE regexp_matches(lower('comun ' || sci_name), '(^|[^a-z0-9])brand') AND regexp_matches(lower(sci_name), '(^|[^a-z0-9])1')", "sp")
+def search_prefix(t: Tables) -> DataFrame:
+    return search.search(search.index(t.species), "BRAND 1")
+
+
+@_query("SELECT species_id, month, CAST(o AS BIGINT) AS obs, CAST(s AS BIGINT) AS samples, CAST(o AS DOUBLE) / s AS frequency FROM (SELECT species_id, month, sum(obs) AS o FROM ho WHERE cell_ref % 2 = 0 GROUP BY 1, 2) JOIN (SELECT month, sum(samples) AS s FROM hs WHERE cell_ref % 2 = 0 GROUP BY 1) USING (month)", "ho", "hs")
+def likely_in_area(t: Tables) -> DataFrame:
+    area = t.grid_tables["h3_cells"].filter(F.col("cell_ref") % 2 == 0).select("res", "cell_ref")
+    return consumer.likely_in_area(t.grid_tables["h3_cell_obs"], t.grid_tables["h3_cell_samples"], area)
+
+
+@_query("SELECT re.id AS region_id, species_id, month, CAST(obs AS DOUBLE) / samples AS frequency FROM ro JOIN rs USING (region_code, month) JOIN re ON code = region_code", "ro", "rs", "re")
+def region_chart(t: Tables) -> DataFrame:
+    return consumer.region_chart(counts.with_region_id(t.region_obs, t.regions), counts.with_region_id(t.region_samples, t.regions))
+
+
+@_query("SELECT * FROM hot WHERE country_code = 'R1'", "hot")
+def hotspots_of_country(t: Tables) -> DataFrame:
+    return consumer.hotspots_of(t.hotspots, country_code="R1")
+
+
+@_query(f"SELECT location_id, lower(hex(cell)) AS id, lower(hex({sql.parent('cell', 3)})) AS up FROM lc", "lc")
+def cell_ids(t: Tables) -> DataFrame:
+    x = rollup.cell_dim(t.dim, RES, t.grid)
+    return x.select("location_id", geo.cell_hex(F.col("cell")).alias("id"), geo.cell_hex(geo.parent(F.col("cell"), 3)).alias("up"))
+
+
+@_query("SELECT n_name, string_agg(upper(x), '|' ORDER BY i) AS codes FROM (SELECT n_name, unnest(['us', 'ca', n_name]) AS x, unnest([1, 2, 3]) AS i FROM nation) GROUP BY 1")
+def parse_region_list(t: Tables) -> DataFrame:
+    raw = F.concat(F.lit(" us, ca ,, "), F.col("n_name"), F.lit(" "))
+    return t.spark.read.parquet(f"{t.d}/nation.parquet").select("n_name", F.array_join(regions.parse_list(raw), "|").alias("codes"))
+
+
+@_query("SELECT location_id, month, species_id, count(*) AS rows FROM mo GROUP BY 1, 2, 3 HAVING count(*) > 1", "mo")
+def key_violations(t: Tables) -> DataFrame:
+    return sinks.violations(t.month_obs, "month_obs")
+
+
+@_query("SELECT cell, x - coalesce(lag(x) OVER (PARTITION BY cell ORDER BY x), 0) AS step, x AS species_id FROM (SELECT DISTINCT cell, species_id AS x FROM co)", "co")
+def species_deltas(t: Tables) -> DataFrame:
+    x = t.cells.obs.select("cell", "species_id").distinct()
+    return x.select("cell", (F.col("species_id") - F.coalesce(F.lag("species_id").over(W.partitionBy("cell").orderBy("species_id")), F.lit(0))).alias("step"), "species_id")
+
+
+def _api(t: Tables) -> DataFrame:
+    where = packs.codes_of(dims.finest_regions(t.packs), t.hotspots.select(F.col("region_code").alias("code")), "strict").withColumnRenamed("code", "region_code")
+    return t.hotspots.join(where, "region_code").select("region", "id", "name", "country_code", "subnational1_code", "subnational2_code", "lat", "lng", F.lit(0).cast("bigint").alias("species"))
+
+
+@_query()
+def kcenter(t: Tables) -> DataFrame:
+    return cluster.clusters(_api(t).select("region", "id", "lat", "lng"))
+
+
+@_query()
+def pack_json(t: Tables) -> DataFrame:
+    finest = dims.finest_regions(t.packs)
+    names = t.packs.select(F.col("region").alias("code"), F.concat(F.lit("Region "), "region").alias("name"))
+    g = t.grid_tables
+    targets = packs.pack_targets(finest, t.hotspots, t.month_obs, t.species)
+    cells = packs.pack_cells(finest, g["h3_cells"], g["h3_cell_obs"], g["h3_cell_samples"], t.species, RES)
+    return packs.documents("2024-01-01T00:00:00Z", packs.pack_hotspots(_api(t), names), targets, cells, RES)
+
+
+@_query()
+def pack_binary(t: Tables) -> DataFrame:
+    g = t.grid_tables
+    return packs.binary_packs(g["h3_cells"], g["h3_cell_obs"], g["h3_cell_samples"], dims.finest_regions(t.packs), RES)
+
+
+@_query()
+def blob_cache(t: Tables) -> DataFrame:
+    tables = {"loc_species": t.loc_species, "loc_meta": t.loc_meta, "loc_qcount": t.loc_qcount}
+    own = [arrays.blobs(v, kind) for kind, v in pipeline.blob_vectors(tables).items()]
+    return own[0].unionByName(own[1])
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: (lambda spark, d, f=f: f(Tables(spark, d))) for name, f in _QUERIES.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+def flagship(spark: SparkSession, d: str) -> DataFrame:
+    """Year score of each (location, species), best first."""
+    return Tables(spark, d).year_obs.orderBy(F.desc("score"), "location_id", "species_id")
