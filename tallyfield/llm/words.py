@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLAB = 1 << 20
+SLAB = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 LOWER = np.arange(256, dtype=np.uint8)
