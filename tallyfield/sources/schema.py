@@ -5,8 +5,17 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_KINDS = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "date": T.DateType(), "binary": T.BinaryType()}
+
+
 def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """Of "name type, ..." with plain types and arrays of them; unlike Spark's own parser it needs no session."""
+    out = T.StructType()
+    for part in text.split(", "):
+        name, kind = part.split(" ")
+        inner = kind.removeprefix("array<").removesuffix(">")
+        out.add(name, _KINDS[kind] if kind in _KINDS else T.ArrayType(_KINDS[inner]))
+    return out
 
 
 #: Raw header name -> our column name. The columns that an extract must have.
