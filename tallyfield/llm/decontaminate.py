@@ -240,11 +240,8 @@ def clean_documents(spark: SparkSession, docs: DataFrame, benchmark: DataFrame,
             for slab in words.slabs(batch.column(column), words.ALNUM):
                 bound, ix = slab.bounds(), held.value
                 positions, which = matches(slab, ix)
-                order = np.argsort(positions, kind="stable")
-                start, end = positions[order], (positions + ix.lengths[which])[order]
-                if len(start):
-                    start, end = unite(start, end)
-                n_hit = np.bincount(slab.doc[start], end - start, slab.docs)
+                edges = np.bincount(positions, minlength=len(slab.hash) + 1) - np.bincount(positions + ix.lengths[which], minlength=len(slab.hash) + 1)
+                n_hit = np.bincount(slab.doc[np.cumsum(edges[:-1]) > 0], minlength=slab.docs)
                 good.append((n_hit == 0) | (SHARE * n_hit < np.diff(bound)))
             yield batch.filter(pa.array(np.concatenate(good)))
 
