@@ -4,7 +4,8 @@ A page is read as one sequence of words and tags. A word scores by where it stan
 element, and the kind of page furniture that it is in, if any), a tag by its name, below zero; the
 weights are log odds of being in the main text, counted on labelled pages: those whose markup names
 the main text (article or main). One linear scan finds the contiguous run of greatest total score;
-its words are the text, without the furniture that lies inside it. Weights that no labelled page
+its words are the text, without the furniture that lies inside it. On a page that names its main text
+itself, words outside of it count against the run, and none inside it do. Weights that no labelled page
 gives are set by rule, so pages without such markup are read in the same way.
 
 Defined cases: null or empty html, or html without words of positive score, gives an empty text with
@@ -51,6 +52,7 @@ _KIND = {w: kind for kind, own in BY_WORD.items() for w in own}
 _TOKEN = re.compile(r"<!--(?:(?!-->).)*+(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(>|\Z)|<[!?][^>]*+(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
+_NAMED = re.compile(r"<(?:article|main)\b", re.I)
 #: Bound of a weight.
 MOST = 4.0
 
@@ -59,12 +61,12 @@ def furniture(name: str, attributes: str) -> str:
     """The kind of furniture that an element is, or an empty string."""
     if kind := BY_NAME.get(name):
         return kind
-    if attributes and name not in MAIN and name not in ("body", "html"):
+    if attributes and name not in ("main", "body", "html"):
         if re.search(r"(?i)\bhidden\b|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", attributes):
             return "notice"
         for found in _NAMES.finditer(attributes):
             for value in _SPLIT.split(next(x for x in (*found.groups(), "") if x is not None).lower()):
-                if value in _KIND:
+                if value in _KIND and (name != "article" or _KIND[value] == "comment"):
                     return _KIND[value]
     return ""
 
@@ -123,7 +125,7 @@ def count(pages: list[str]) -> Counter:
     """On labelled pages: how many words (by block and kind of furniture) and tags (by name) are in the main text and outside; the furniture inside it counts as outside."""
     out: Counter = Counter()
     for page in pages:
-        if not page or not re.search(r"<(?:article|main)\b", page, re.I):
+        if not page or not _NAMED.search(page):
             continue
         for text, block, kind, inside, _ in tokens(page):
             if text:
@@ -152,15 +154,24 @@ def _word_weight(weight: dict, block: str, kind: str) -> float:
     return -1.0 if block.endswith("/a") else {"": -0.5, "div": 0.5, "body": -0.5, "html": -0.5}.get(block, 1.0)
 
 
+def _gain(weight: dict, token: tuple, named: bool) -> float:
+    """named: whether the page names its main text."""
+    text, block, kind, inside, _ = token
+    if not text:
+        return -0.02 if named and inside else min(-0.02, weight.get(("tag", block, ""), -0.1))
+    n = len(text.split())
+    if named:
+        return -MOST * n if not inside else -0.02 if kind else n * max(0.5, _word_weight(weight, block, ""))
+    gain = n * _word_weight(weight, block, kind)
+    return max(gain, -1.0) if kind else gain  # what a piece of furniture takes is bounded: text may go on behind it
+
+
 def extract(page: str | None, weight: dict) -> str:
     """The main text of a page."""
     best, start, total, held, run = 0.0, 0, 0.0, (0, 0), []
+    named = bool(_NAMED.search(page or ""))
     for token in tokens(page or ""):
-        text, block, kind, _, _ = token
-        if text:
-            gain = len(text.split()) * _word_weight(weight, block, kind)
-        else:
-            gain = min(-0.02, weight.get(("tag", block, ""), -0.1))
+        gain = _gain(weight, token, named)
         if total <= 0:
             total, start = 0.0, len(run)
         run.append(token)

@@ -180,7 +180,7 @@ def _segments(held, n: int):
         for batch in shared.batches(rows):
             known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
             ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
-            may = bits[_slots(ids)].reshape(2, -1).all(0) | ~known
+            may = (bits[_slots(ids)] > 0).reshape(2, -1).all(0) | ~known
             text = batch.column("text").filter(pa.array(may))
             classes, parts, grams = [], [], []
             for g in sets(text, n):
@@ -260,7 +260,7 @@ def join(spark: SparkSession, docs: DataFrame, n: int = N) -> DataFrame:
     stage = shared.Stage(spark, "jaccard-join")
     rows = shared.texts(docs)
     profile = stage.write(rows.withColumn("mark", F.xxhash64("text")).mapInArrow(_profile(n), _PROFILE), "profile")
-    sketch = np.minimum(sketches.total(profile.filter("chunk is not null"), 1 << SKETCH_BITS), 2**31 - 1).astype(np.int32)
+    sketch = sketches.total(profile.filter("chunk is not null"), 1 << SKETCH_BITS, np.int32)
     documents = profile.filter("chunk is null").select("doc_id", "mark", "n", "cls", "other")
     one = F.when(F.min("other") == F.max("other"), F.min("doc_id")).otherwise(F.raise_error(F.lit("two different sets share a digest")).cast("bigint"))
     classes = stage.write(documents.filter("n > 0").groupBy("cls").agg(one.alias("first")), "classes")
@@ -277,7 +277,7 @@ def join(spark: SparkSession, docs: DataFrame, n: int = N) -> DataFrame:
     stage.drop("shared")
 
     wanted = classes.join(index.select("cls").distinct(), "cls", "left_semi").filter("first is not null").select(F.col("first").alias("doc_id"))
-    bits = sketches.total(wanted.mapInArrow(_mark, sketches.SCHEMA), 1 << FILTER_BITS) > 0
+    bits = sketches.total(wanted.mapInArrow(_mark, sketches.SCHEMA), 1 << FILTER_BITS, np.uint8)
     held.unpersist()
     held = spark.sparkContext.broadcast((sketch, pivots(sketch), bits))
     segments = stage.write(rows.mapInArrow(_segments(held, n), "cls bigint, part int, grams array<bigint>"), "segments")

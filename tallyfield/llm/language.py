@@ -129,8 +129,12 @@ def has_letter(b: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def learn(docs: DataFrame, per: int = PER_LANGUAGE) -> dict:
     """Train on rows of doc_id, text, lang: at most per documents of each language, by the digest of the id."""
     rows = shared.texts(docs.filter("lang is not null"), F.col("lang").cast("string").alias("lang"))
-    sample = shared.sample(rows, "lang", per).toPandas().sort_values(["lang", "doc_id", "text"], kind="stable")
-    return train(sample["text"].tolist(), sample["lang"].tolist())
+    return shared.train(shared.sample(rows, "lang", per), _train)
+
+
+def _train(rows: pa.Table) -> dict:
+    rows = rows.sort_by([("lang", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
+    return train(rows.column("text").to_pylist(), rows.column("lang").to_pylist())
 
 
 def predict(spark: SparkSession, docs: DataFrame, model: dict, *more: str) -> DataFrame:

@@ -7,6 +7,7 @@ executor can read them, so losing an executor never loses part of one.
 from __future__ import annotations
 
 import gc
+import pickle
 import tempfile
 import uuid
 import zipfile
@@ -16,6 +17,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Code points that the contracts call white space between words.
 SPACE = r"\x20\x09-\x0D"
@@ -118,3 +120,15 @@ def sample(rows: DataFrame, label: str, per: int) -> DataFrame:
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     share = F.element_at(F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(per / n))]), F.col(label))
     return rows.withColumn("place", place / share).filter("place < 1").orderBy("place", "doc_id").limit(per * len(counts)).drop("place")
+
+
+def train(rows: DataFrame, function) -> object:  # noqa: ANN001
+    """function(table of all rows) in one task, so that the driver needn't hold what training holds. rows: a bounded sample; the result comes back pickled."""
+
+    def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table_ = pa.Table.from_batches(list(batches_), schema)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(function(table_))], pa.binary())], names=["model"])
+
+    schema = to_arrow_schema(rows.schema)
+    found = rows.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(bytes(found["model"])) if found else function(schema.empty_table())

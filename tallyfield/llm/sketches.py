@@ -43,10 +43,10 @@ def _add(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([_pack(total)], pa.binary())], names=["chunk", "counts"])
 
 
-def total(rows: DataFrame, size: int) -> np.ndarray:
-    """The sum of all partitions' counters, as int64. rows: (chunk, counts)."""
-    out = np.zeros(size, np.int64)
+def total(rows: DataFrame, size: int, kind: type = np.int64) -> np.ndarray:
+    """The sum of all partitions' counters, as kind (larger sums become its maximum). rows: (chunk, counts)."""
+    out, most = np.zeros(size, kind), np.iinfo(kind).max
     step = min(CHUNK, size)
     for row in rows.select("chunk", "counts").groupBy("chunk").applyInArrow(_add, SCHEMA).collect():  # at most size counters
-        out[row["chunk"] * step : (row["chunk"] + 1) * step] = _unpack(bytes(row["counts"]))
+        out[row["chunk"] * step : (row["chunk"] + 1) * step] = np.minimum(_unpack(bytes(row["counts"])).astype(np.int64), most)
     return out

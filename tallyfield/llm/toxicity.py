@@ -222,8 +222,12 @@ def learn(docs: DataFrame, labels: DataFrame, per: int = PER_LABEL) -> dict:
     marks = labels.filter("toxic is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     marks = shared.sample(marks.filter("toxic in (0, 1)"), "toxic", per)
     rows = shared.texts(docs).join(F.broadcast(marks), "doc_id")  # marks: at most 2 * per rows
-    held = rows.toPandas().sort_values(["doc_id", "text"], kind="stable")
-    return train(held["text"].tolist(), held["toxic"].to_numpy())
+    return shared.train(rows, _train)
+
+
+def _train(rows: pa.Table) -> dict:
+    rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    return train(rows.column("text").to_pylist(), rows.column("toxic").to_numpy())
 
 
 def scores(spark: SparkSession, docs: DataFrame, model: dict) -> DataFrame:
