@@ -255,7 +255,7 @@ def report(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFr
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report(spark, shared.table(spark, sf_dir, "documents"), shared.table(spark, sf_dir, "benchmark"))
+    return report(spark, shared.table(spark, sf_dir, "documents"), shared.table(spark, sf_dir, "benchmark")).drop("longest_match")
 
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
