@@ -27,6 +27,11 @@ def target_months(month_obs: DataFrame) -> DataFrame:
     return samples.join(species, "location_id").select("location_id", "samples", "species")
 
 
+def month_masks(df: DataFrame, *keys: str) -> DataFrame:
+    """keys, mask: bit m - 1 is set if there is a row of month m."""
+    return df.groupBy(*keys).agg(F.expr("bit_or(shiftleft(1, cast(month - 1 as int)))").alias("mask"))
+
+
 def cell_months(cell_obs: DataFrame, cell_samples: DataFrame, *keys: str) -> DataFrame:
     """keys, samples (12, 0 where none), species: array of (species_id, obs (12)); cells of either side."""
     none = F.array(*[F.lit(0).cast("bigint")] * MONTHS)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import calendar, geo, regions
+from ..functions import calendar, geo, regions, score
 from ..operators import arrays, cluster, consumer, counts, dims, occurrences, packs, rollup, search
 from ..sources import ingest, sinks
 from . import analog, pipeline, sql
@@ -362,6 +362,57 @@ def species_deltas(t: Tables) -> DataFrame:
     return x.select("cell", (F.col("species_id") - F.coalesce(F.lag("species_id").over(W.partitionBy("cell").orderBy("species_id")), F.lit(0))).alias("step"), "species_id")
 
 
+@_query("SELECT * FROM hs", "hs")
+def cell_samples_dense(t: Tables) -> DataFrame:
+    return t.grid_tables["h3_cell_samples"]
+
+
+@_query("SELECT * FROM lz", "lz")
+def loc_zone_h3(t: Tables) -> DataFrame:
+    return t.loc_zone
+
+
+@_query("SELECT * FROM cz", "cz")
+def child_zone(t: Tables) -> DataFrame:
+    return occurrences.child_zone(t.grid_tables["h3_cells"], t.zone_meta, ZONES, RES)
+
+
+@_query("SELECT id, code, 'Común ' || sci_name AS name, sci_name, lower(sci_name) AS sci_lower, lower('Común ' || sci_name) AS name_lower, CAST(id AS DOUBLE) AS taxon_order FROM code", "code")
+def species_lookup(t: Tables) -> DataFrame:
+    return search.lookup(t.species)
+
+
+@_query("SELECT n AS read, w AS written, n - w AS skipped FROM (SELECT count(*) * 3 AS n FROM lineitem), (SELECT count(*) AS w FROM ob)", "ob")
+def ingest_counters(t: Tables) -> DataFrame:
+    return ingest.counters(analog.raw_observations(t.spark, t.d), t.observations)
+
+
+@_query("SELECT location_id, species_id, CAST(sum(1 << CAST(month - 1 AS INTEGER)) AS INTEGER) AS mask FROM mo GROUP BY 1, 2", "mo")
+def month_mask(t: Tables) -> DataFrame:
+    return arrays.month_masks(t.month_obs, "location_id", "species_id")
+
+
+@_query("SELECT id, lat, lng FROM hot WHERE lat BETWEEN -90 AND 90 AND lng IS NOT NULL", "hot")
+def coordinates_rounded(t: Tables) -> DataFrame:
+    own = t.hotspots.filter("lat between -90 and 90 and lng is not null")
+    return own.select("id", geo.round3(F.col("lat") + 0.0001).alias("lat"), geo.round3(F.col("lng") - 0.0001).alias("lng"))
+
+
+@_query(f"SELECT location_id, species_id, {sql.level('score')} AS bucket_level FROM yo", "yo")
+def bucket_levels(t: Tables) -> DataFrame:
+    return t.year_obs.select("location_id", "species_id", score.bucket_level(F.col("score")).alias("bucket_level"))
+
+
+@_query("SELECT location_id, month, species_id, obs, samples FROM ma", "ma")
+def obs_with_samples(t: Tables) -> DataFrame:
+    return t.matched
+
+
+@_query("SELECT * FROM mo WHERE species_id = 5 AND month = 6 ORDER BY score DESC, location_id LIMIT 10", "mo")
+def top_locations_of_month(t: Tables) -> DataFrame:
+    return consumer.best_locations(t.month_obs, 5, 10, 6)
+
+
 def _api(t: Tables) -> DataFrame:
     where = packs.codes_of(dims.finest_regions(t.packs), t.hotspots.select(F.col("region_code").alias("code")), "strict").withColumnRenamed("code", "region_code")
     return t.hotspots.join(where, "region_code").select("region", "id", "name", "country_code", "subnational1_code", "subnational2_code", "lat", "lng", F.lit(0).cast("bigint").alias("species"))

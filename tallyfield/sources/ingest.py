@@ -6,7 +6,7 @@ row without a month (it counts nowhere), a coordinate that can't be read is null
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from . import schema
@@ -26,6 +26,18 @@ def observations(raw: DataFrame) -> DataFrame:
     return typed(kept, schema.OBSERVATION_COLUMNS, schema.OBSERVATIONS)
 
 
+def counters(raw: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row: rows read, written and skipped. For a running job attach ``observe`` to the same frames instead."""
+    n = lambda df, name: df.agg(F.count("*").alias(name), F.lit(1).alias("k"))
+    return n(raw, "read").join(n(kept, "written"), "k").select("read", "written", (F.col("read") - F.col("written")).alias("skipped"))
+
+
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """df with a count of its rows that is filled in by whatever action runs it."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def typed(raw: DataFrame, names: dict[str, str], into) -> DataFrame:  # noqa: ANN001
     kinds = {f.name: f.dataType for f in into}
     return raw.select(*[F.col(f"`{k}`").try_cast(kinds[v]).alias(v) for k, v in names.items()])

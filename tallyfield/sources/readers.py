@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sqlite3
+from contextlib import closing
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +67,22 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(schema.TABLES[name][0]).parquet(f"{root}/{name}")
 
 
+def read_sqlite(spark: SparkSession, path: str, table: str, most: int = 1_000_000) -> DataFrame:
+    """A dimension table of a SQLite file on the driver's machine, opened read-only. Larger tables belong in Parquet: beyond most rows this is an error."""
+    with closing(sqlite3.connect(f"file:{path}?mode=ro&immutable=1", uri=True)) as db:
+        rows = db.execute(f'SELECT * FROM "{table}" LIMIT {most + 1}').fetchall()
+        kinds = {r[1]: r[2].upper() for r in db.execute(f'PRAGMA table_info("{table}")')}
+    if len(rows) > most:
+        raise ValueError(f"{table} has more than {most} rows")
+    spark_kind = lambda k: "bigint" if "INT" in k else "double" if k in ("REAL", "DOUBLE", "FLOAT") else "binary" if k == "BLOB" else "string"
+    return spark.createDataFrame(rows, ", ".join(f"`{n}` {spark_kind(k)}" for n, k in kinds.items()))
+
+
+def sqlite_tables(path: str) -> list[str]:
+    with closing(sqlite3.connect(f"file:{path}?mode=ro&immutable=1", uri=True)) as db:
+        return [r[0] for r in db.execute("SELECT name FROM sqlite_master WHERE type = 'table' ORDER BY name")]
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
