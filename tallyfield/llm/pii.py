@@ -31,8 +31,8 @@ PATTERNS = {
     "ip": (r"[0-9]\.[0-9]", r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
     "card": (r"[0-9][\x20-]?+[0-9]", r"[0-9](?:[\x20-]?+[0-9])++"),
     "phone": (r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]"),
-    "iban": (r"[A-Z]{2}[0-9]{2}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"),
-    "ssn": (r"[0-9]-[0-9]", r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"),
+    "iban": (r"[A-Z]{2}[0-9]{2}", r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b"),
+    "ssn": (r"[0-9]-[0-9]", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"),
 }
 BASE = ("email", "ip", "card", "phone")
 #: Words near a span that speak for its kind, and against it.
@@ -149,3 +149,52 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.size(k).cast("bigint").alias(f"n_{k}") for k in PATTERNS]
     best = reduce(lambda a, k: F.greatest(a, F.coalesce(F.array_max(F.transform(k, lambda s: s["score"])), F.lit(0.0))), PATTERNS, F.lit(0.0))
     return x.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(every).alias("spans"), best.alias("top_score"))
+
+
+def _sql() -> str:
+    """The same by lists of another engine: matches and the pieces between them, with plain patterns."""
+    plain = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
+        "card": r"[0-9](?:[\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+        "iban": PATTERNS["iban"][1],
+        "ssn": PATTERNS["ssn"][1],
+    }
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    doubled = "list_transform(range(1, length(d) + 1), lambda i: CASE WHEN (length(d) - i) % 2 = 1 THEN CASE WHEN d[i]::INT > 4 THEN d[i]::INT * 2 - 9 ELSE d[i]::INT * 2 END ELSE d[i]::INT END)"
+    moved = "replace(m, ' ', '')[5:] || replace(m, ' ', '')[:4]"
+    value = "'0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
+    steps = f"list_transform(range(1, length({moved}) + 1), lambda i: CAST(instr({value}, ({moved})[i]) - 1 AS BIGINT))"
+    rest = f"list_reduce(list_prepend(CAST(0 AS BIGINT), {steps}), lambda a, v: (CASE WHEN v > 9 THEN a * 100 + v ELSE a * 10 + v END) % 97)"
+    good = {
+        "email": "true",
+        "ip": "len(list_filter(string_split(m, '.'), lambda x: length(ltrim(x, '0')) > 3 OR coalesce(TRY_CAST(ltrim(x, '0') AS INT), 0) > 255)) = 0",
+        "card": f"length(d) BETWEEN 14 AND 19 AND list_sum({doubled}) % 10 = 0",
+        "phone": "length(d) BETWEEN 10 AND 15",
+        "iban": f"length(replace(m, ' ', '')) BETWEEN 15 AND 34 AND {rest} = 1",
+        "ssn": "NOT regexp_matches(m, '^(?:000|666|9[0-9][0-9])|-00-|-0000$')",
+    }
+    parts = []
+    for k, (kind, p) in enumerate(plain.items()):
+        near = "lower(right(b, 40))"
+        score = " ".join(
+            f"{sign} CASE WHEN regexp_matches({near}, '(^|[^a-z])({w})($|[^a-z])') THEN CAST({v} AS DOUBLE) ELSE CAST(0 AS DOUBLE) END" for sign, w, v in (("+", FOR[kind], BONUS), ("-", AGAINST, MALUS))
+        )
+        parts.append(
+            f"""SELECT doc_id, '{kind}' AS kind, {k} AS place, s, s + length(m) AS e, least(CAST(1 AS DOUBLE), greatest(CAST(0 AS DOUBLE), CAST({CONFIRMED[kind]} AS DOUBLE) {score})) AS score FROM (
+  SELECT doc_id, r, ms[i] AS m, ps[i] AS b, {digits.replace("m,", "ms[i],")} AS d, list_sum(list_transform(ps[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[:i - 1], lambda x: length(x))), 0) AS s
+  FROM (SELECT doc_id, r, regexp_extract_all(t, '{p}') AS ms, string_split_regex(t, '{p}') AS ps FROM d), unnest(range(1, len(ms) + 1)) AS u(i)) WHERE {good[kind]}"""
+        )
+    found = "\nUNION ALL ".join(x.replace("SELECT doc_id, '", "SELECT r, doc_id, '", 1) for x in parts)
+    counts = ", ".join(f"CAST(count(*) FILTER (kind = '{k}') AS BIGINT) AS n_{k}" for k in PATTERNS)
+    text = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place)"
+    base = ", ".join(f"'{k}'" for k in BASE)
+    zero = ", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in PATTERNS)
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
+f AS ({found}), k AS (SELECT * FROM f WHERE place < {len(BASE)} OR score >= {MIN_SCORE}),
+g AS (SELECT r, {counts}, {text.replace(" ORDER", " ORDER")} FILTER (kind IN ({base})) AS base, {text} AS spans, max(score) AS top_score FROM k GROUP BY 1)
+SELECT doc_id, {zero}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(top_score, CAST(0 AS DOUBLE)) AS top_score FROM d LEFT JOIN g USING (r)"""
+
+
+SQL = _sql()
