@@ -162,10 +162,21 @@ def test_bits_are_a_distribution():
     # P(th + x + space) <= P(th + x ..): summed over x and the end of the word it stays below P(th ..) <= 1.
     assert 0 < np.exp2(with_next).sum() + np.exp2(m.log2(*lm.joined([b"th"])))[0] <= 1
     assert m.log2(*lm.joined([b"the"]))[0] > m.log2(*lm.joined([b"xqz"]))[0]
-    p = lm.own_words(np.array([0, 0, 1]), np.array([0.5, 0.5, 0.25, 0.1]), np.array([-3.0, -3.0, -4.0, -5.0]), 0.1)
+    p = lm.own_words(np.array([0, 0, 1]), np.array([0.5, 0.5, 0.25, 0.1]), np.array([0.1, 0.1, 0.05, 0.03]), np.zeros((4, lm.KINDS)), 0.1)
     assert p < 0
 
 
+def test_kinds():
+    hashes = np.array([3, 5, 9], np.uint64)
+    k = lm.kinds(np.array([0, 0, 0, 2]), np.array([1, 1, 0, 2]), hashes, 3)
+    assert k[0] == words.mix(hashes[1:2])[0] % np.uint64(lm.KINDS) and k[1] == 0 and k[2] == words.mix(hashes[2:])[0] % np.uint64(lm.KINDS)
+    n = np.array([[8, 0, 0, 0, 0, 0, 0, 0], [1, 9, 0, 0, 0, 0, 0, 0], [0] * 8])
+    r = lm.ratios(n, n.sum(0)) / lm.STEP
+    share = n.sum(1) / n.sum()
+    # Each kind's shares add up to at most one.
+    assert ((share[:, None] * np.exp2(r)).sum(0) <= 1 + 1e-9).all() and (r[2] == 0).all()
+
+
 def test_words():
     own = ["Ab  cD x", "", None, "é\tß", "a" * 300_000]
     got = [[] for _ in own]
