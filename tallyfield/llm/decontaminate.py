@@ -17,7 +17,6 @@ leaves every document clean; repeated documents each give a row; other columns a
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce

@@ -39,6 +39,8 @@ N = 5
 NUM, DEN = 75, 100
 FRAGMENTS = 4
 ANCHORS = 1
+#: N-grams that a task gathers before it passes them on.
+FLUSH = 1 << 19
 #: log2 of the counters of the frequency sketch (broadcast, 4 bytes each).
 SKETCH_BITS = 21
 #: log2 of the bits of the filter of documents that are in candidate pairs (broadcast).
@@ -99,7 +101,7 @@ def _profile(n: int):
                 second.append(b)
                 pool.append(slot(g))
                 held += len(g)
-                if held > 1 << 21:
+                if held > FLUSH:
                     counts += np.bincount(np.concatenate(pool), minlength=len(counts))
                     pool, held = [], 0
             none = pa.nulls(len(sizes))
@@ -137,8 +139,8 @@ def _prefixes(held, n: int):
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, seen = held.value, set()
+        grams, classes, sizes, firsts, held_grams = [], [], [], [], 0
         for batch in shared.batches(rows):
-            grams, classes, sizes, firsts = [], [], [], []
             for g in sets(batch.column("text"), n):
                 if len(g) and (cls := digest(g)[0]) not in seen:
                     seen.add(cls)
@@ -148,17 +150,26 @@ def _prefixes(held, n: int):
                     classes.append(cls)
                     sizes.append(len(g))
                     firsts.append(m)
-            if grams:
-                m = np.array(firsts)
-                place = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(grams)), pa.array(np.repeat(np.array(classes, np.int64), m)), pa.array(np.repeat(np.array(sizes, np.int32), m)), pa.array(place.astype(np.int32))],
-                    names=["gram", "cls", "n", "place"],
-                )
+                    held_grams += m
+                    if held_grams > FLUSH:
+                        held_grams = 0
+                        yield _first_rows(grams, classes, sizes, firsts)
+                        grams, classes, sizes, firsts = [], [], [], []
+        if grams:
+            yield _first_rows(grams, classes, sizes, firsts)
 
     return run
 
 
+def _first_rows(grams: list[np.ndarray], classes: list[int], sizes: list[int], firsts: list[int]) -> pa.RecordBatch:
+    m = np.array(firsts)
+    place = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate(grams)), pa.array(np.repeat(np.array(classes, np.int64), m)), pa.array(np.repeat(np.array(sizes, np.int32), m)), pa.array(place.astype(np.int32))],
+        names=["gram", "cls", "n", "place"],
+    )
+
+
 def _slots(ids: np.ndarray) -> np.ndarray:
     h = words.mix(ids.astype(np.int64).view(np.uint64) + _D1)
     return np.concatenate([h >> np.uint64(64 - FILTER_BITS), (h << np.uint64(FILTER_BITS)) >> np.uint64(64 - FILTER_BITS)]).astype(np.int64)
@@ -182,7 +193,7 @@ def _segments(held, n: int):
             ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
             may = (bits[_slots(ids)] > 0).reshape(2, -1).all(0) | ~known
             text = batch.column("text").filter(pa.array(may))
-            classes, parts, grams = [], [], []
+            classes, parts, grams, pending = [], [], [], 0
             for g in sets(text, n):
                 if len(g):
                     fragment = np.searchsorted(cuts, sketch[slot(g)])
@@ -191,13 +202,22 @@ def _segments(held, n: int):
                         classes.append(cls)
                         parts.append(int(k))
                         grams.append(g[fragment == k].view(np.int64))
-            lengths = np.cumsum([0, *map(len, grams)]).astype(np.int32)
-            values = pa.array(np.concatenate(grams) if grams else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(parts, pa.int32()), pa.ListArray.from_arrays(pa.array(lengths), values)], names=["cls", "part", "grams"])
+                    pending += len(g)
+                    if pending > FLUSH:
+                        yield _segment_rows(classes, parts, grams)
+                        classes, parts, grams, pending = [], [], [], 0
+            if grams:
+                yield _segment_rows(classes, parts, grams)
 
     return run
 
 
+def _segment_rows(classes: list[int], parts: list[int], grams: list[np.ndarray]) -> pa.RecordBatch:
+    lengths = np.cumsum([0, *map(len, grams)]).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(grams)))
+    return pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(parts, pa.int32()), lists], names=["cls", "part", "grams"])
+
+
 def _overlaps(pairs: DataFrame, segments: DataFrame, how: str) -> DataFrame:
     """Of (x, y, nx, ny, fragment): part, the overlap in the fragment, and the sizes there (rx, ry). The side that many pairs share travels last."""
     y = pairs.join(segments.alias("s"), (F.col("y") == F.col("s.cls")) & (F.col("fragment") == F.col("s.part")), how).select("x", "y", "nx", "ny", "fragment", F.col("grams").alias("own"))

@@ -40,10 +40,8 @@ ROWS = 4096
 _KEEP = words.ALNUM
 
 
-def slabs(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(word hashes with 0 for none, bounds of documents, distinct words) of each slab: see vocabulary()."""
-    for s in words.slabs(column, _KEEP):
-        yield s
+def slabs(column: pa.Array) -> Iterator[words.Slab]:
+    return words.slabs(column, _KEEP)
 
 
 def vocabulary(s: words.Slab) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
