@@ -29,7 +29,7 @@ _EMAIL = "A-Za-z0-9._%+-"
 PATTERNS = {
     "email": ("@", rf"(?:\G|(?<![{_EMAIL}]))[{_EMAIL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"),
     "ip": (r"[0-9]\.[0-9]", r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
-    "card": (r"[0-9][\x20-]?+[0-9]", r"[0-9](?:[\x20-]?+[0-9])++"),
+    "card": (r"[0-9][\x20-]?+[0-9]", r"[0-9](?:[\x20-]?+[0-9]){13,}+"),  # shorter runs of digits are no cards
     "phone": (r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]"),
     "iban": (r"[A-Z]{2}[0-9]{2}", r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b"),
     "ssn": (r"[0-9]-[0-9]", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"),
