@@ -186,3 +186,17 @@ def test_words():
     assert got == [SPACE.findall(low(x)) for x in own]
     one, two = (next(words.slabs(pa.array([x]))).hash for x in ("abc abc", "x abc"))
     assert one[0] == one[1] == two[1] != two[0] == words.hash_of("x")
+
+
+def test_spelling_has_no_floor(spark):
+    """One unknown word of 100 kB costs what its bytes cost; as it was, 1000 bits."""
+    p = lm.log2_own_words(np.array([0, 0]), np.array([0, 0, 0.5]), np.array([-3e5, -3e5, -2.0]), np.zeros((3, lm.KINDS)), 0.1)
+    # Again, the word may come from the document itself.
+    assert -3e5 - 20 < p < -3e5
+    rng = random.Random(8)
+    long = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(100_000))
+    docs = spark.createDataFrame([(i, "the words of a text " * 20) for i in range(20)] + [(99, long), (100, f"the {long} of {long}")], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in lm.score(spark, docs, F.col("doc_id") > 50).collect()}
+    # 36 letters and digits that are equally likely hold 5.2 bits.
+    assert got[99].bits_per_byte > 5 and got[99].score < -100_000
+    assert got[100].score == pytest.approx(got[99].score, abs=40)
