@@ -65,7 +65,7 @@ NOTICES = {
     "mpl": ["this source code form is subject to the terms of the mozilla public license v 2 0", "licensed under the mozilla public license version 2 0", "spdx license identifier mpl 2 0"],
     "unlicense": ["this is free and unencumbered software released into the public domain", "released under the unlicense", "spdx license identifier unlicense"],
 }
-#: Words of notices; a paragraph without any can't be confirmed.
+#: Words of notices; a paragraph is classified if it has one of them or three words in a row of a notice.
 CUES = frozenset("license licensed licence licenced licensing reserved permission permitted copyright copyrighted copyleft spdx unlicense waived redistribute redistribution proprietary creativecommons".split())
 NONE, UNKNOWN = "none", "unknown"
 BITS, ORDERS = 15, (1, 2, 3)
@@ -108,6 +108,7 @@ class Model:
         self.names = [*sorted(NOTICES), NONE]
         self.notices = [[np.unique(grams(h, min(3, len(h)))) for h in hashes(NOTICES[f])] for f in self.names[:-1]]
         self.sizes = [[min(3, len(h)) for h in hashes(NOTICES[f])] for f in self.names[:-1]]
+        self.known = np.unique(np.concatenate([x for own in self.notices for x in own]))
         self.cues = np.sort(np.array([words.hash_of(c) for c in CUES], np.uint64))
         plain = [h for h in hashes(ordinary) if len(h)]
         pool = np.concatenate(plain) if plain else hashes(["plain words of a text"])[0]
@@ -174,14 +175,20 @@ _LINE = np.zeros(256, bool)
 _LINE[10] = True
 
 
+def _isin(known: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Whether each of x is in known, which is sorted."""
+    at = np.searchsorted(known, x)
+    at[at == len(known)] = 0
+    return known[at] == x
+
+
 def scan(model: Model, column: pa.Array) -> Iterator[tuple[int, list[tuple[int, int, str, float]]]]:
     """Per text: number of paragraphs, and (paragraph, words, family, probability) of those that aren't ordinary."""
     for s in words.slabs(column, words.ALNUM):
         lines = np.cumsum(s.buf == 10)
         line = lines[s.starts] if len(s.starts) else np.zeros(0, np.int64)
-        cue = np.searchsorted(model.cues, s.hash)
-        cue[cue == len(model.cues)] = 0
-        cued = model.cues[cue] == s.hash
+        cued = _isin(model.cues, s.hash)
+        cued[: max(0, len(cued) - 2)] |= _isin(model.known, grams(s.hash, 3))
         new = np.flatnonzero(np.diff(line, prepend=-1) | np.diff(s.doc, prepend=-1)) if len(line) else np.zeros(0, np.int64)
         ends = np.append(new[1:], len(line))
         count = np.bincount(s.doc[new], minlength=s.docs) if len(new) else np.zeros(s.docs, np.int64)

@@ -200,3 +200,19 @@ def test_spelling_has_no_floor(spark):
     # 36 letters and digits that are equally likely hold 5.2 bits.
     assert got[99].bits_per_byte > 5 and got[99].score < -100_000
     assert got[100].score == pytest.approx(got[99].score, abs=40)
+
+
+@pytest.fixture(scope="module")
+def licence_model():
+    rng = random.Random(2)
+    return licenses.Model([" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(12)) for _ in range(300)])
+
+
+def families(model, text):
+    return {x[2] for x in next(licenses.scan(model, pa.array([text])))[1]}
+
+
+def test_every_notice_is_found(licence_model):
+    """Also those without a cue word."""
+    missed = [(f, n) for f, own in licenses.NOTICES.items() for n in own if families(licence_model, n) != {f}]
+    assert not missed
