@@ -6,9 +6,12 @@ the notices below, cut, joined and put among ordinary words in a fixed random wa
 paragraphs of a bounded sample of documents. A temperature is fitted on notices that training hasn't seen, and a
 paragraph whose best family is below MIN_SCORE is "unknown" if it still looks like a notice. A
 prediction stands only if the paragraph holds CONFIRM of the word n-grams of one of the family's notices.
+Notices that are wrapped over lines, or lie in a long line, are found by their n-grams in blocks (lines
+without a blank line between them); each such place is classified by itself, at the line where it begins.
+Long lines are also classified in overlapping windows, each at least as long as the longest notice.
 
 Defined cases: a null text has no paragraphs; blank lines are no paragraphs; a paragraph with the
-notices of several families gives the likeliest that is confirmed; repeated rows each give a row; an
+notices of several families gives each that is confirmed; repeated rows each give a row; an
 empty table gives no rows; other columns are ignored.
 """
 
@@ -108,7 +111,9 @@ class Model:
         self.names = [*sorted(NOTICES), NONE]
         self.notices = [[np.unique(grams(h, min(3, len(h)))) for h in hashes(NOTICES[f])] for f in self.names[:-1]]
         self.sizes = [[min(3, len(h)) for h in hashes(NOTICES[f])] for f in self.names[:-1]]
-        self.known = np.unique(np.concatenate([x for own in self.notices for x in own]))
+        self.flat = [(notice, len(h)) for f, own in zip(self.names, self.notices, strict=False) for notice, h in zip(own, hashes(NOTICES[f]), strict=True)]
+        self.known = np.unique(np.concatenate([notice for notice, _ in self.flat]))
+        self.longest = max(size for _, size in self.flat)
         self.cues = np.sort(np.array([words.hash_of(c) for c in CUES], np.uint64))
         plain = [h for h in hashes(ordinary) if len(h)]
         pool = np.concatenate(plain) if plain else hashes(["plain words of a text"])[0]
@@ -171,8 +176,33 @@ class Model:
         return (UNKNOWN, float(1 - q[-1])) if 1 - q[-1] >= MIN_NOTICE else (NONE, float(q[-1]))
 
 
-_LINE = np.zeros(256, bool)
-_LINE[10] = True
+def _runs(at: np.ndarray, gram: np.ndarray, need: float, reach: int) -> Iterator[tuple[int, int]]:
+    """Places (start, end) of a notice in a run of words: hits of its n-grams at most reach words apart that hold need different ones."""
+    a = 0
+    while a < len(at):
+        b = int(np.searchsorted(at, at[a] + reach))
+        if b - a >= need and len(np.unique(gram[a:b])) >= need:
+            yield int(at[a]), int(at[b - 1]) + 3
+            a = b
+        else:
+            a += 1
+
+
+def _places(model: Model, h: np.ndarray) -> list[tuple[int, int]]:
+    """Where a block's words hold CONFIRM of a notice; places that overlap are one."""
+    own = grams(h, 3)
+    hits = np.flatnonzero(_isin(model.known, own))
+    found = []
+    for notice, size in model.flat if len(hits) else ():
+        at = hits[_isin(notice, own[hits])]
+        found += _runs(at, own[at], CONFIRM * len(notice), 2 * size)
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
 
 def _isin(known: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -182,24 +212,54 @@ def _isin(known: np.ndarray, x: np.ndarray) -> np.ndarray:
     return known[at] == x
 
 
+def _line(model: Model, h: np.ndarray, gate: np.ndarray) -> dict[str, float]:
+    """Families of a line: of the whole, and of overlapping windows of a long one that pass the gate."""
+    parts = [h]
+    if len(h) > 2 * model.longest:
+        parts += [h[a : a + 2 * model.longest] for a in range(0, len(h) - model.longest, model.longest) if gate[a : a + 2 * model.longest].any()]
+    out: dict[str, float] = {}
+    for part in parts:
+        family, q = model.classify(part)
+        if family != NONE:
+            out[family] = max(q, out.get(family, 0.0))
+    return out
+
+
 def scan(model: Model, column: pa.Array) -> Iterator[tuple[int, list[tuple[int, int, str, float]]]]:
     """Per text: number of paragraphs, and (paragraph, words, family, probability) of those that aren't ordinary."""
     for s in words.slabs(column, words.ALNUM):
         lines = np.cumsum(s.buf == 10)
         line = lines[s.starts] if len(s.starts) else np.zeros(0, np.int64)
-        cued = _isin(model.cues, s.hash)
-        cued[: max(0, len(cued) - 2)] |= _isin(model.known, grams(s.hash, 3))
+        gate = _isin(model.cues, s.hash)
+        gate[: max(0, len(gate) - 2)] |= _isin(model.known, grams(s.hash, 3))
         new = np.flatnonzero(np.diff(line, prepend=-1) | np.diff(s.doc, prepend=-1)) if len(line) else np.zeros(0, np.int64)
         ends = np.append(new[1:], len(line))
         count = np.bincount(s.doc[new], minlength=s.docs) if len(new) else np.zeros(s.docs, np.int64)
         found: list = [[] for _ in range(s.docs)]
         if len(new):
             first = np.concatenate([[0], np.cumsum(count)])
-            for i in np.flatnonzero(np.add.reduceat(cued, new)):
-                family, q = model.classify(s.hash[new[i] : ends[i]])
-                if family != NONE:
-                    d = s.doc[new[i]]
-                    found[d].append((int(i - first[d]), int(ends[i] - new[i]), family, q))
+            # A block is lines of a document without a blank line between them.
+            block = np.cumsum((np.diff(line[new], prepend=-2) > 1) | (np.diff(s.doc[new], prepend=-1) != 0))
+            passed = np.flatnonzero(np.add.reduceat(gate, new))
+            for own in np.split(passed, np.flatnonzero(np.diff(block[passed])) + 1) if len(passed) else ():
+                lo, hi = np.searchsorted(block, block[own[0]]), np.searchsorted(block, block[own[0]], "right")
+                at, h = new[lo], s.hash[new[lo] : ends[hi - 1]]
+                hits: dict[tuple[int, str], tuple[int, float]] = {}
+                covered: set[int] = set()
+                for a, b in _places(model, h):
+                    family, q = model.classify(h[a:b])
+                    i, last = (int(np.searchsorted(new, at + x, "right")) - 1 for x in (a, b - 1))
+                    if family not in (NONE, UNKNOWN):
+                        covered.update(range(i, last + 1))
+                        size = int(ends[i] - new[i]) if i == last else b - a
+                        hits[i, family] = size, max(q, hits.get((i, family), (0, 0.0))[1])
+                for i in own.tolist():
+                    for family, q in _line(model, s.hash[new[i] : ends[i]], gate[new[i] : ends[i]]).items():
+                        if family != UNKNOWN or i not in covered:
+                            size, best = hits.get((i, family), (int(ends[i] - new[i]), 0.0))
+                            hits[i, family] = size, max(q, best)
+                d = s.doc[new[lo]]
+                found[d] += [(int(i - first[d]), size, family, q) for (i, family), (size, q) in sorted(hits.items())]
         yield from zip(count.tolist(), found, strict=True)
 
 

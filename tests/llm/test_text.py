@@ -216,3 +216,17 @@ def test_every_notice_is_found(licence_model):
     """Also those without a cue word."""
     missed = [(f, n) for f, own in licenses.NOTICES.items() for n in own if families(licence_model, n) != {f}]
     assert not missed
+
+
+def test_notices_wrapped_buried_and_joined(licence_model):
+    rng = random.Random(4)
+    other = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    for family, own in licenses.NOTICES.items():
+        for n in own:
+            w = n.split()
+            assert families(licence_model, "Text\n\n# " + "\n# ".join(" ".join(w[i : i + 9]) for i in range(0, len(w), 9)) + "\n\nmore") == {family}, n
+            assert families(licence_model, f"{other(600)} {n} {other(400)}") == {family}, n
+    mit, bsd = licenses.NOTICES["mit"][2], licenses.NOTICES["bsd"][0]
+    for between in (" ", "\n", f" {other(30)} "):
+        assert families(licence_model, mit + between + bsd) == {"mit", "bsd"}
+    assert families(licence_model, other(1000)) == set()
