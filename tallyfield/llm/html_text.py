@@ -52,7 +52,9 @@ _KIND = {w: kind for kind, own in BY_WORD.items() for w in own}
 _TOKEN = re.compile(r"<!--(?:(?!-->).)*+(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(>|\Z)|<[!?][^>]*+(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
-_NAMED = re.compile(r"<(?:article|main)\b", re.I)
+#: How elements end whose content is plain text to a parser, and what may stand in a head.
+_ENDS = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in "script style textarea title".split()}
+HEAD = frozenset("head title meta link base style script noscript template".split())
 #: Bound of a weight.
 MOST = 4.0
 
@@ -74,8 +76,8 @@ def furniture(name: str, attributes: str) -> str:
 def tokens(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
     """(text, block, kind, in main, breaks) of each token in page order; text is empty for tags. block: of a tag its name; breaks: whether a block ends before it."""
     stack: list[tuple[str, str, bool]] = []  # name, kind (own or inherited), in main
-    at, broken, skip = 0, True, ""
-    for m in _TOKEN.finditer(page):
+    at, broken, skip, m = 0, True, "", None
+    while m := _TOKEN.search(page, at):
         if m.start() > at and not skip:
             yield (*_place(page[at : m.start()], stack), broken)
             broken = False
@@ -83,12 +85,18 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
         name = (m.group(2) or "").lower()
         if not name:
             continue
+        if name in _ENDS and not m.group(1) and skip not in ("svg", "math"):
+            # Tags inside are text: go on at the element's own end tag.
+            end = _ENDS[name].search(page, at)
+            at = end.start() if end else len(page)
+        if skip == "head" and not (name in HEAD or (m.group(1) and name == "html")):
+            skip = ""  # the head's end tag may be left out
         if skip:
             if m.group(1) and name == skip:
                 skip = ""
             continue
         if name in RAW and not m.group(1):
-            if not m.group(3).rstrip().endswith("/"):
+            if name in _ENDS or not m.group(3).rstrip().endswith("/"):
                 skip = name  # its content isn't read; go on at its own end
             continue
         broken = broken or name in BLOCKS
@@ -121,13 +129,19 @@ def _place(text: str, stack: list) -> tuple[str, str, str, bool]:
     return text, "/a" * linked, stack[-1][1] if stack else "", bool(stack) and stack[-1][2]
 
 
+def _named(own: list) -> bool:
+    """Whether a page has an element that names its main text."""
+    return any(not text and block in MAIN for text, block, *_ in own)
+
+
 def count(pages: list[str]) -> Counter:
     """On labelled pages: how many words (by block and kind of furniture) and tags (by name) are in the main text and outside; the furniture inside it counts as outside."""
     out: Counter = Counter()
     for page in pages:
-        if not page or not _NAMED.search(page):
+        own = list(tokens(page or ""))
+        if not _named(own):
             continue
-        for text, block, kind, inside, _ in tokens(page):
+        for text, block, kind, inside, _ in own:
             if text:
                 out["word", block, kind, inside and not kind] += len(text.split())
             else:
@@ -169,8 +183,9 @@ def _gain(weight: dict, token: tuple, named: bool) -> float:
 def extract(page: str | None, weight: dict) -> str:
     """The main text of a page."""
     best, start, total, held, run = 0.0, 0, 0.0, (0, 0), []
-    named = bool(_NAMED.search(page or ""))
-    for token in tokens(page or ""):
+    own = list(tokens(page or ""))
+    named = _named(own)
+    for token in own:
         gain = _gain(weight, token, named)
         if total <= 0:
             total, start = 0.0, len(run)

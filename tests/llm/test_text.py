@@ -230,3 +230,15 @@ def test_notices_wrapped_buried_and_joined(licence_model):
     for between in (" ", "\n", f" {other(30)} "):
         assert families(licence_model, mit + between + bsd) == {"mit", "bsd"}
     assert families(licence_model, other(1000)) == set()
+
+
+def test_pages_with_raw_text_and_open_heads():
+    body = "<p>First words of it.</p>%s<p>Last words of it.</p>"
+    text = "First words of it. Last words of it."
+    for inner in ("<script>for(i=0;i<n;i++){}</script>", "<script>a = '<!--';</script>", "<script>a = '<main>'</script>", "<!-- <article> -->", "<style>a{} /* <p */</style>", "<textarea><b</textarea>", "<script src='a'/>x<b</script>"):
+        for head in ("<head><title>t</title></head>", "<head><title>A <b</title><meta charset=x>"):
+            for start in ("<body>", ""):
+                assert html_text.extract(f"<html>{head}{start}{body % inner}</body></html>", {}) == text, (inner, head, start)
+    assert html_text.count(["<!-- <main> --><p>words</p>"]) == {}
+    # An end tag may stand alone, and a page may end in an open script.
+    assert html_text.extract("<p>One two.</p></script><p>Three four.</p><script>x<y", {}) == "One two. Three four."
