@@ -1,5 +1,6 @@
 """The driver's contract: queries agree with their SQL, and nothing else needs the optional parts."""
 
+import os
 import shutil
 import subprocess
 import sys
@@ -38,8 +39,16 @@ def test_every_query_has_sql_or_is_listed():
     assert set(registry.queries()) - set(registry.oracle_sql()) == {"kcenter", "pack_json", "pack_binary", "blob_cache"}
 
 
-def test_without_the_optional_parts(tmp_path):
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_without_the_optional_parts(tmp_path, pipeline):
+    """Both optional folders gone, the pipeline's file left or gone: the entry lists the rest, every other test can be collected, and those of functions pass."""
     shutil.copytree(REPO / "tallyfield", tmp_path / "tallyfield", ignore=shutil.ignore_patterns("llm", "__pycache__"))
-    shutil.copy(REPO / "__spark_entry__.py", tmp_path)
+    shutil.copytree(REPO / "tests", tmp_path / "tests", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "bench.py", *(["corpus_pipeline.py"] if pipeline else [])):
+        shutil.copy(REPO / name, tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'year_obs' in q and 'pipeline' not in q and not any(n.startswith('op') and n[2].isdigit() for n in q); e.oracle_sql()"
-    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)})
+    env = {"PATH": os.environ["PATH"], "PYTHONPATH": str(tmp_path), "HOME": os.environ.get("HOME", "/tmp"), "JAVA_HOME": os.environ.get("JAVA_HOME", "")}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=env)
+    if pipeline:
+        subprocess.run([sys.executable, "-m", "pytest", "-q", "--collect-only", "tests"], cwd=tmp_path, check=True, env=env)
+        subprocess.run([sys.executable, "-m", "pytest", "-q", "-x", "tests/test_functions.py"], cwd=tmp_path, check=True, env=env)
