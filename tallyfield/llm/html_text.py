@@ -1,16 +1,19 @@
 """Main text of web pages as a maximum-scoring run of tokens.
 
-A page is read as one sequence of words and tags. A word scores by where it stands (its block
-element, and the kind of page furniture that it is in, if any), a tag by its name, below zero; the
-weights are log odds of being in the main text, counted on labelled pages: those whose markup names
-the main text (article or main). One linear scan finds the contiguous run of greatest total score;
-its words are the text, without the furniture that lies inside it. On a page that names its main text
-itself, words outside of it count against the run, and none inside it do. Weights that no labelled page
+A page is read as one sequence of words and tags. A word scores by the block element it stands in, by the
+words of the class, id and role attributes around it (hashed to a fixed number of features), and by the kind
+of page furniture that it is in, if any; a tag scores by its name, below zero. The weights are log odds of
+being in the main text, counted on labelled pages: those whose markup names the main text (article or main);
+a kind of furniture has a prior weight below zero, which they shift. One linear scan finds the contiguous
+run of greatest total score; its words are the text, without furniture whose own score is below zero. On a
+page that names its main text itself, words outside of it count against the run and are not part of the text,
+so several articles are taken together where their words outweigh the gap. Weights that no labelled page
 gives are set by rule, so pages without such markup are read in the same way.
 
 Defined cases: null or empty html, or html without words of positive score, gives an empty text with
 n_chars 0; unclosed and stray tags are tolerated, a tag or comment cut off at the page's end counts
-as markup; repeated pages each give a row; an empty table gives no rows; other columns are ignored.
+as markup; of runs of equal score the one that ends first and is longest stays; a page of any length is read
+whole, in one pass; repeated pages each give a row; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,8 +21,10 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -50,32 +55,38 @@ BY_WORD = {
 }
 _KIND = {w: kind for kind, own in BY_WORD.items() for w in own}
 _TOKEN = re.compile(r"<!--(?:(?!-->).)*+(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(>|\Z)|<[!?][^>]*+(?:>|\Z)", re.S)
-_NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPLIT = re.compile(r"[^a-z0-9]+")
 #: How elements end whose content is plain text to a parser, and what may stand in a head.
 _ENDS = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in "script style textarea title".split()}
 HEAD = frozenset("head title meta link base style script noscript template".split())
-#: Bound of a weight.
+#: Bound of a weight; prior weight of a kind of furniture, and how far counts may raise it; hashed attribute words and the bound of their sum.
 MOST = 4.0
-
-
-def furniture(name: str, attributes: str) -> str:
-    """The kind of furniture that an element is, or an empty string."""
-    if kind := BY_NAME.get(name):
-        return kind
-    if attributes and name not in ("main", "body", "html"):
-        if re.search(r"(?i)\bhidden\b|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", attributes):
-            return "notice"
-        for found in _NAMES.finditer(attributes):
-            for value in _SPLIT.split(next(x for x in (*found.groups(), "") if x is not None).lower()):
-                if value in _KIND and (name != "article" or _KIND[value] == "comment"):
-                    return _KIND[value]
-    return ""
-
-
-def tokens(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
-    """(text, block, kind, in main, breaks) of each token in page order; text is empty for tags. block: of a tag its name; breaks: whether a block ends before it."""
-    stack: list[tuple[str, str, bool]] = []  # name, kind (own or inherited), in main
+PRIOR, RAISE = {"header": -3.0, "share": -4.0}, 1.0
+FEATURES, SHIFT = 1 << 12, 2.0
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+
+@lru_cache(1 << 14)
+def marks(name: str, attributes: str) -> tuple[str, tuple[int, ...]]:
+    """The kind of furniture that an element is (or an empty string), and the features of its attribute words."""
+    kind, found = BY_NAME.get(name, ""), []
+    if attributes and name not in ("body", "html"):
+        values = {m[1].lower(): next((x for x in m.groups()[1:] if x is not None), "").lower() for m in _ATTRIBUTE.finditer(attributes)}
+        if "hidden" in values or values.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", values.get("style", "")):
+            kind = kind or "notice"
+        for value in _SPLIT.split(" ".join(values.get(k, "") for k in ("class", "id", "role"))):
+            if value:
+                found.append(zlib.crc32(value.encode()) % FEATURES)
+                own = _KIND.get(value, "")
+                if not kind and own and not (own == "header" and name in HEADINGS) and (name not in MAIN or own == "comment"):
+                    kind = own
+    return kind, tuple(sorted(set(found)))
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, str, tuple, bool, bool]]:
+    """(text, block, kind, features, in main, breaks) of each token in page order; text is empty for tags. block: of a tag its name; breaks: whether a block ends before it."""
+    stack: list[tuple[str, str, bool, tuple]] = []  # name, kind (own or inherited), in main, features (own and inherited)
     at, broken, skip, m = 0, True, "", None
     while m := _TOKEN.search(page, at):
         if m.start() > at and not skip:
@@ -101,7 +112,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
             continue
         broken = broken or name in BLOCKS
         inside = bool(stack) and stack[-1][2]
-        yield "", name, stack[-1][1] if stack else "", inside, broken
+        yield "", name, stack[-1][1] if stack else "", (), inside, broken
         if m.group(1):
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
@@ -112,21 +123,25 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
                 # A new block ends an open paragraph, and an item the one before it.
                 while stack and (stack[-1][0] not in BLOCKS or stack[-1][0] == "p" or (stack[-1][0] == name and name in ("li", "dt", "dd", "tr", "td", "th", "option"))):
                     stack.pop()
-            own = furniture(name, m.group(3))
-            if name == "header" and stack and stack[-1][2]:
+            own, found = marks(name, m.group(3))
+            _, kind, inner, more = stack[-1] if stack else ("", "", False, ())
+            if own == "header" and inner:
                 own = ""  # the heading of the article itself
-            stack.append((name, (stack[-1][1] if stack else "") or own, (bool(stack) and stack[-1][2]) or name in MAIN))
+            stack.append((name, kind or own, inner or name in MAIN, tuple(sorted({*more, *found})) if found else more))
     if at < len(page) and not skip:
         yield (*_place(page[at:], stack), broken)
 
 
-def _place(text: str, stack: list) -> tuple[str, str, str, bool]:
+def _place(text: str, stack: list) -> tuple[str, str, str, tuple, bool]:
+    if not stack:
+        return text, "", "", (), False
+    _, kind, inside, found = stack[-1]
     linked = False
-    for name, kind, inside in reversed(stack):
+    for name, *_ in reversed(stack):
         linked = linked or name == "a"
         if name in BLOCKS:
-            return text, name + "/a" * linked, stack[-1][1] or kind, inside
-    return text, "/a" * linked, stack[-1][1] if stack else "", bool(stack) and stack[-1][2]
+            return text, name + "/a" * linked, kind, found, inside
+    return text, "/a" * linked, kind, found, inside
 
 
 def _named(own: list) -> bool:
@@ -135,77 +150,100 @@ def _named(own: list) -> bool:
 
 
 def count(pages: list[str]) -> Counter:
-    """On labelled pages: how many words (by block and kind of furniture) and tags (by name) are in the main text and outside; the furniture inside it counts as outside."""
+    """On labelled pages: how many words (by block, by kind of furniture, by feature) and tags (by name) are in the main text and outside."""
     out: Counter = Counter()
     for page in pages:
         own = list(tokens(page or ""))
         if not _named(own):
             continue
-        for text, block, kind, inside, _ in own:
+        for text, block, kind, found, inside, _ in own:
             if text:
-                out["word", block, kind, inside and not kind] += len(text.split())
+                n = len(text.split())
+                if kind:
+                    out["kind", kind, inside] += n
+                else:
+                    out["word", block, inside] += n
+                for f in found:
+                    out["feature", str(f), inside] += n
             else:
-                out["tag", block, "", inside and not kind] += 1
+                out["tag", block, inside and not kind] += 1
     return out
 
 
 def weights(counts: dict) -> dict:
-    """(what, block, kind) -> log odds, bounded; tags are held below zero."""
+    """(what, which) -> log odds, bounded; tags are held below zero."""
     out = {}
-    for key in {k[:3] for k in counts}:
-        odds = math.log((counts.get((*key, True), 0) + 0.5) / (counts.get((*key, False), 0) + 0.5))
+    for key in {k[:2] for k in counts}:
+        least = 4.0 if key[0] == "feature" else 0.5
+        odds = math.log((counts.get((*key, True), 0) + least) / (counts.get((*key, False), 0) + least))
         odds = max(-MOST, min(MOST, odds))
         out[key] = min(odds, -0.1) / 4 if key[0] == "tag" else odds
     return out
 
 
-def _word_weight(weight: dict, block: str, kind: str) -> float:
-    known = weight.get(("word", block, kind))
-    if kind:
-        return -MOST if known is None else min(known, -1.0)
+def _block_weight(weight: dict, block: str) -> float:
+    known = weight.get(("word", block))
     if known is not None:
         return known
     return -1.0 if block.endswith("/a") else {"": -0.5, "div": 0.5, "body": -0.5, "html": -0.5}.get(block, 1.0)
 
 
+def _kind_weight(weight: dict, kind: str) -> float:
+    """What a kind of furniture adds to its block's weight."""
+    return PRIOR.get(kind, -6.0) + max(-RAISE, min(RAISE, weight.get(("kind", kind), 0.0)))
+
+
+def stays(weight: dict, token: tuple, named: bool) -> bool:
+    """Whether a word of the best run is part of the text."""
+    _, block, kind, _, inside, _ = token
+    return (inside or not named) and (not kind or max(0.5, _block_weight(weight, block)) + _kind_weight(weight, kind) >= 0)
+
+
 def _gain(weight: dict, token: tuple, named: bool) -> float:
-    """named: whether the page names its main text."""
-    text, block, kind, inside, _ = token
+    """A token's score. named: whether the page names its main text."""
+    text, block, kind, found, inside, _ = token
     if not text:
-        return -0.02 if named and inside else min(-0.02, weight.get(("tag", block, ""), -0.1))
-    n = len(text.split())
+        return -0.02 if named else min(-0.02, weight.get(("tag", block), -0.1))
+    n, base = len(text.split()), _block_weight(weight, block)
+    if named and not inside:
+        return max(-0.5 * n, -1.0) if kind else -0.5 * n
+    if kind and not stays(weight, token, named):
+        return -0.02 if named else max(n * (base + _kind_weight(weight, kind)), -1.0)  # what a piece of furniture takes is bounded: text may go on behind it
     if named:
-        return -MOST * n if not inside else -0.02 if kind else n * max(0.5, _word_weight(weight, block, ""))
-    gain = n * _word_weight(weight, block, kind)
-    return max(gain, -1.0) if kind else gain  # what a piece of furniture takes is bounded: text may go on behind it
+        return n * max(0.5, base)
+    return n * (base + max(-SHIFT, min(SHIFT, sum(weight.get(("feature", str(f)), 0.0) for f in found))))
+
+
+def best_run(gains: list[float]) -> tuple[int, int]:
+    """Start and end of the contiguous run of greatest total above zero; (0, 0) if there is none."""
+    best, total, start, held = 0.0, 0.0, 0, (0, 0)
+    for i, gain in enumerate(gains):
+        if total <= 0:
+            total, start = 0.0, i
+        total += gain
+        if total > best:
+            best, held = total, (start, i + 1)
+    return held
 
 
 def extract(page: str | None, weight: dict) -> str:
     """The main text of a page."""
-    best, start, total, held, run = 0.0, 0, 0.0, (0, 0), []
     own = list(tokens(page or ""))
     named = _named(own)
-    for token in own:
-        gain = _gain(weight, token, named)
-        if total <= 0:
-            total, start = 0.0, len(run)
-        run.append(token)
-        total += gain
-        if total > best:
-            best, held = total, (start, len(run))
+    start, end = best_run([_gain(weight, t, named) for t in own])
     blocks: list[list[str]] = []
     broken = True
-    for text, _, kind, _, breaks in run[slice(*held)]:
-        broken = broken or breaks
-        if text and not kind:
+    for token in own[start:end]:
+        broken = broken or token[-1]
+        if token[0] and stays(weight, token, named):
             if broken or not blocks:
                 blocks.append([])
-            blocks[-1].append(entities.unescape(text))
+            blocks[-1].append(entities.unescape(token[0]))
             broken = False
     return " ".join(x for own in blocks if (x := " ".join("".join(own).split())))
 
 
-_COUNTS = "what string, block string, kind string, inside boolean, n bigint"
+_COUNTS = "what string, which string, inside boolean, n bigint"
 
 
 def _count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,17 +251,17 @@ def _count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in shared.batches(rows):
         total += count(batch.column("html").to_pylist())
     keys = sorted(total)
-    columns = [pa.array([k[i] for k in keys], pa.bool_() if i == 3 else pa.string()) for i in range(4)]
-    yield pa.RecordBatch.from_arrays([*columns, pa.array([total[k] for k in keys], pa.int64())], names=["what", "block", "kind", "inside", "n"])
+    columns = [pa.array([k[i] for k in keys], pa.bool_() if i == 2 else pa.string()) for i in range(3)]
+    yield pa.RecordBatch.from_arrays([*columns, pa.array([total[k] for k in keys], pa.int64())], names=["what", "which", "inside", "n"])
 
 
 def learn(pages: DataFrame) -> dict:
-    """Weights from all labelled pages. Rows sent to the driver: one for each element name, kind of furniture and side; unknown element names count as one."""
-    known = F.regexp_replace("block", "/a$", "").isin(*sorted(BLOCKS | VOID | {"a", "b", "i", "em", "strong", "span", "u", "s", "small", "sub", "sup", "code", "font", "label", "q", "cite", "abbr", "time", "mark", ""}))
-    block = F.when(known, F.col("block")).otherwise(F.lit("?"))
+    """Weights from all labelled pages. Rows sent to the driver: two for each element name, kind of furniture and feature; unknown element names count as one."""
+    name = F.regexp_replace("which", "/a$", "")
+    known = ~F.col("what").isin("word", "tag") | name.isin(*sorted(BLOCKS | VOID | {"a", "b", "i", "em", "strong", "span", "u", "s", "small", "sub", "sup", "code", "font", "label", "q", "cite", "abbr", "time", "mark", ""}))
     found = pages.select(F.col("html").cast("string").alias("html")).mapInArrow(_count, _COUNTS)
-    sums = found.groupBy("what", block.alias("block"), "kind", "inside").agg(F.sum("n").alias("n")).collect()
-    return weights({(r["what"], r["block"], r["kind"], r["inside"]): r["n"] for r in sums})
+    sums = found.groupBy("what", F.when(known, F.col("which")).otherwise(F.lit("?")).alias("which"), "inside").agg(F.sum("n").alias("n")).collect()
+    return weights({(r["what"], r["which"], r["inside"]): r["n"] for r in sums})
 
 
 def texts(spark: SparkSession, pages: DataFrame, weight: dict) -> DataFrame:

@@ -242,3 +242,47 @@ def test_pages_with_raw_text_and_open_heads():
     assert html_text.count(["<!-- <main> --><p>words</p>"]) == {}
     # An end tag may stand alone, and a page may end in an open script.
     assert html_text.extract("<p>One two.</p></script><p>Three four.</p><script>x<y", {}) == "One two. Three four."
+
+
+REGIONS = {
+    '<article><p>One two.</p><script>if(a<b){x="it"}</script><p>Three four.</p><script>a<b && c</script><p>Five.</p></article>': "One two. Three four. Five.",
+    "<html><head><title>t</title><meta charset=x><article><p>One two.</p></article>": "One two.",
+    '<article class="overflow-hidden"><p>One two.</p><p hidden>no</p><div style="display: none">no</div></article>': "One two.",
+    '<article><h1 class="header">A title</h1><div class="header"><p>By me.</p></div><p>One two.</p><p class="ad">Buy</p></article>': "A title By me. One two.",
+    "<article><p>One two three four five.</p></article><p>A line between</p><article><p>Six seven eight nine ten.</p></article>": "One two three four five. Six seven eight nine ten.",
+    '<div class="content"><h1 class="header">A title</h1><p>One two three.</p></div><div class="comments"><p>Hey.</p></div>': "A title One two three.",
+}
+
+
+def test_pages_keep_their_main_text():
+    labelled = [PAGE % f"<article>{BODY}</article>"] * 20
+    for weight in ({}, html_text.weights(html_text.count(labelled))):
+        for page, text in REGIONS.items():
+            assert html_text.extract(page, weight) == text, page
+
+
+def test_class_words_are_learned():
+    """A word of no list, seen outside of main text only, keeps its words out of the run; one seen inside brings them in."""
+    labelled = ['<div class="teasers"><p>%s</p></div><article><div class="storybody">%s</div></article>' % ("Other words here. " * 5, "Body words here. " * 9)] * 30
+    weight = html_text.weights(html_text.count(labelled))
+    page = '<div class="teasers"><p>Some teaser words.</p></div><div class="storybody">The story is told here.</div>'
+    assert html_text.extract(page, weight) == "The story is told here."
+
+
+def test_best_run_is_the_greatest_sum():
+    rng = random.Random(9)
+    for _ in range(300):
+        gains = [rng.choice([-3, -2, -1, 0, 1, 2, 3]) for _ in range(rng.randint(0, 14))]
+        a, b = html_text.best_run(gains)
+        assert sum(gains[a:b]) == max((sum(gains[i:j]) for i in range(len(gains) + 1) for j in range(i, len(gains) + 1)))
+
+
+def test_pages_of_any_shape(spark):
+    """Repeated pages and columns of names that are used inside."""
+    rows = [(1, "u", "<p>Same words here.</p>")] * 3 + [(None, None, "x " * 100_000), (2, "v", "")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for c in ("text", "n_chars", "what", "which", "inside", "n"):
+        pages = pages.withColumn(c, F.lit(7))
+    got = html_text.texts(spark, pages, html_text.learn(pages)).collect()
+    assert sorted((str(r.page_id), r.n_chars) for r in got) == [("1", 16)] * 3 + [("2", 0), ("None", 0)]
+    assert html_text.extract("<p>" + "x " * 100_000, {}) == " ".join(["x"] * 100_000)
