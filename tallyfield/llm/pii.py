@@ -2,16 +2,19 @@
 
 For each kind a regular expression proposes spans over the whole text, leftmost and not
 overlapping; a validator confirms them (octets of an address, the Luhn sum of a card, the number of
-digits of a phone, mod 97 of an IBAN); and words just before a span adjust its score. Spans of the
-four base kinds stay whatever their score; those of the added kinds need MIN_SCORE.
+digits of a phone, mod 97 of an IBAN); and words within WINDOW code points before or behind a span, whatever
+lies there, adjust its score. Spans of the four base kinds stay whatever their score; those of the added
+kinds need MIN_SCORE.
 
 Where a span lies follows from what is around it: splitting the text by the pattern gives the pieces
-between matches, and running sums of lengths give code points. Patterns are possessive and start
-at the head of a run or where the last match ended, which finds the same matches as the plain
-pattern but looks at each code point a bounded number of times, however long the text.
+between matches, and running sums of lengths give code points. Sums run through matches in chunks of CHUNK,
+so a text's cost grows in line with its matches. Patterns are possessive and start at the head of a run or
+where the last match ended, which finds the same matches as the plain pattern but looks at each code point a
+bounded number of times, however long the text.
 
 Defined cases: a null text is empty; a text without personal data gives zeros, the digest of the
-empty string and an empty string; repeated rows each give a row; a null doc_id stays null; an empty
+empty string and an empty string; spans of several kinds may lie over each other, and those that start at one
+place go in the order of the kinds; repeated rows each give a row; a null doc_id stays null; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -25,16 +28,24 @@ from pyspark.sql import functions as F
 from . import shared
 
 _EMAIL = "A-Za-z0-9._%+-"
+#: Characters of an IBAN by country, as registered.
+IBAN = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
 #: Kind to (cheap test that any match passes, pattern). In the order in which kinds at one start are listed.
 PATTERNS = {
     "email": ("@", rf"(?:\G|(?<![{_EMAIL}]))[{_EMAIL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"),
     "ip": (r"[0-9]\.[0-9]", r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
     "card": (r"[0-9][\x20-]?+[0-9]", r"[0-9](?:[\x20-]?+[0-9]){13,}+"),  # shorter runs of digits are no cards
     "phone": (r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]"),
-    "iban": (r"[A-Z]{2}[0-9]{2}", r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b"),
+    "iban": (r"[A-Z]{2}[0-9]{2}", r"\b(?:" + "|".join(rf"(?:{own.replace(' ', '|')})[0-9][0-9](?:\x20?[A-Z0-9]){{{n - 4}}}" for n, own in IBAN.items()) + r")\b"),
     "ssn": (r"[0-9]-[0-9]", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"),
 }
 BASE = ("email", "ip", "card", "phone")
+#: Matches whose places are summed in one go.
+CHUNK = 512
 #: Words near a span that speak for its kind, and against it.
 FOR = {
     "email": "e-?mail|contact|mailto|write",
@@ -104,23 +115,37 @@ def spans_of(kind: str, text: Column) -> Column:
     test, pattern = PATTERNS[kind]
     place = list(PATTERNS).index(kind)
     empty = F.array().cast("array<struct<start:int,place:int,end:int,score:double>>")
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    start0 = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,place:int,end:int,match:string,before:string>>").alias("out"))
+    # What follows each match is a group of a look-ahead, which changes no match.
+    found, behind = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(rf"{pattern}(?=([\s\S]{{0,{WINDOW}}}+))"), F.lit(1))
+    pieces = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+    spans = "array<struct<start:int,place:int,end:int,match:string,before:string,after:string>>"
+    last = lambda s: F.substring(s, -WINDOW, WINDOW)
 
     def step(a: Column, x: Column) -> Column:
         start = a["at"] + F.length(x["piece"])
         end = start + F.length(x["match"])
-        near = F.substring(x["piece"], -WINDOW, WINDOW)
-        one = F.struct(start.alias("start"), F.lit(place).alias("place"), end.alias("end"), x["match"].alias("match"), near.alias("before"))
-        return F.struct(end.alias("at"), F.array_append(a["out"], one).alias("out"))
+        before = last(F.concat(a["tail"], last(x["piece"])))
+        one = F.struct(start.alias("start"), F.lit(place).alias("place"), end.alias("end"), x["match"].alias("match"), before.alias("before"), x["after"].alias("after"))
+        return F.struct(end.alias("at"), last(F.concat(before, last(x["match"]))).alias("tail"), F.array_append(a["out"], one).alias("out"))
 
-    zipped = F.zip_with(found, F.slice(pieces, F.lit(1), F.size(found)), lambda m, p: F.struct(m.alias("match"), p.alias("piece")))
-    placed = F.aggregate(zipped, start0, step, lambda a: a["out"])
+    def chunk(a: Column, own: Column) -> Column:
+        state = F.struct(a["at"].alias("at"), a["tail"].alias("tail"), F.array().cast(spans).alias("out"))
+        done = F.aggregate(own, state, step)
+        return F.aggregate(F.array(done), a, lambda b, x: F.struct(x["at"].alias("at"), x["tail"].alias("tail"), F.array_append(b["out"], x["out"]).alias("out")))
+
+    zipped = F.arrays_zip(found.alias("match"), pieces.alias("piece"), behind.alias("after"))
+    nothing = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(f"array<{spans}>").alias("out"))
+    starts = F.sequence(F.lit(1), F.greatest(F.size(found), F.lit(1)), F.lit(CHUNK))
+    chunks = F.aggregate(F.array(zipped), F.array().cast("array<array<struct<match:string,piece:string,after:string>>>"), lambda _, z: F.transform(starts, lambda i: F.slice(z, i, F.lit(CHUNK))))
+    placed = F.aggregate(chunks, nothing, chunk, lambda a: F.flatten(a["out"]))
+
+    def near(x: Column, own: str) -> Column:
+        pattern = rf"(?i)(?<![a-z])(?:{own})(?![a-z])"
+        return x["before"].rlike(pattern) | x["after"].rlike(pattern)
 
     def score(x: Column) -> Column:
-        plus = F.when(x["before"].rlike(rf"(?i)(?<![a-z])(?:{FOR[kind]})(?![a-z])"), F.lit(BONUS)).otherwise(F.lit(0.0))
-        minus = F.when(x["before"].rlike(rf"(?i)(?<![a-z])(?:{AGAINST})(?![a-z])"), F.lit(MALUS)).otherwise(F.lit(0.0))
+        plus = F.when(near(x, FOR[kind]), F.lit(BONUS)).otherwise(F.lit(0.0))
+        minus = F.when(near(x, AGAINST), F.lit(MALUS)).otherwise(F.lit(0.0))
         return F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(CONFIRMED[kind]) + plus - minus))
 
     good = F.filter(placed, lambda x: confirmed(kind, x["match"]))
@@ -177,14 +202,12 @@ def _sql() -> str:
     }
     parts = []
     for k, (kind, p) in enumerate(plain.items()):
-        near = "lower(right(b, 40))"
-        score = " ".join(
-            f"{sign} CASE WHEN regexp_matches({near}, '(^|[^a-z])({w})($|[^a-z])') THEN CAST({v} AS DOUBLE) ELSE CAST(0 AS DOUBLE) END" for sign, w, v in (("+", FOR[kind], BONUS), ("-", AGAINST, MALUS))
-        )
+        near = lambda w: " OR ".join(f"regexp_matches(lower({x}), '(^|[^a-z])({w})($|[^a-z])')" for x in (f"substr(t, greatest(s - {WINDOW}, 0) + 1, least(s, {WINDOW}))", f"substr(t, s + length(m) + 1, {WINDOW})"))
+        score = " ".join(f"{sign} CASE WHEN {near(w)} THEN CAST({v} AS DOUBLE) ELSE CAST(0 AS DOUBLE) END" for sign, w, v in (("+", FOR[kind], BONUS), ("-", AGAINST, MALUS)))
         parts.append(
             f"""SELECT doc_id, '{kind}' AS kind, {k} AS place, s, s + length(m) AS e, least(CAST(1 AS DOUBLE), greatest(CAST(0 AS DOUBLE), CAST({CONFIRMED[kind]} AS DOUBLE) {score})) AS score FROM (
-  SELECT doc_id, r, ms[i] AS m, ps[i] AS b, {digits.replace("m,", "ms[i],")} AS d, list_sum(list_transform(ps[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[:i - 1], lambda x: length(x))), 0) AS s
-  FROM (SELECT doc_id, r, regexp_extract_all(t, '{p}') AS ms, string_split_regex(t, '{p}') AS ps FROM d), unnest(range(1, len(ms) + 1)) AS u(i)) WHERE {good[kind]}"""
+  SELECT doc_id, r, t, ms[i] AS m, {digits.replace("m,", "ms[i],")} AS d, CAST(list_sum(list_transform(ps[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
+  FROM (SELECT doc_id, r, t, regexp_extract_all(t, '{p}') AS ms, string_split_regex(t, '{p}') AS ps FROM d), unnest(range(1, len(ms) + 1)) AS u(i)) WHERE {good[kind]}"""
         )
     found = "\nUNION ALL ".join(x.replace("SELECT doc_id, '", "SELECT r, doc_id, '", 1) for x in parts)
     counts = ", ".join(f"CAST(count(*) FILTER (kind = '{k}') AS BIGINT) AS n_{k}" for k in PATTERNS)

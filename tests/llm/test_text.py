@@ -53,6 +53,30 @@ def test_pii_added_kinds(spark):
     assert pii.find(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+def test_pii_equals_its_sql(spark, tmp_path):
+    """Scores too: context is what lies around a span, in both engines."""
+    import duckdb
+
+    texts = ["card no 12, 4111 1111 1111 1111", "IBAN DE89370400440532013000 BIC COBADEFF", "IBAN GB82 WEST 1234 5698 7654 32", "4111 1111 1111 1111 is a sample; 1.2.3.4 host 5.6.7.8 é😀 +49 170 1234567 +49 170 1234567 call"]
+    spark.createDataFrame([*enumerate(texts), (9, None)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got, want = pii.query(spark, str(tmp_path)).toPandas(), con.execute(pii.SQL).df()
+    columns = sorted(got.columns)
+    assert columns == sorted(want.columns)
+    rows = [x[columns].sort_values("doc_id").astype(str).values.tolist() for x in (got, want)]
+    assert rows[0] == rows[1]
+    by_id = got.set_index("doc_id")
+    assert by_id.top_score[0] == 1.0 and list(by_id.n_iban[:3]) == [0, 1, 1] and by_id.spans[1] == "iban:5:27"
+
+
+def test_pii_of_many_matches(spark):
+    """Over many chunks of matches, places stay right."""
+    n = 5 * pii.CHUNK + 7
+    r = pii.find(spark.createDataFrame([(1, "é +49 170 1234567, " * n)], "doc_id bigint, text string")).select("phone").first()
+    assert [s.start for s in r.phone] == [2 + 19 * k for k in range(n)] and r.phone[-1].end == 19 * n - 2
+
+
 def brute_targets(sizes, total):
     names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [s for s in sizes if s is None]
     w = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
