@@ -2,8 +2,8 @@
 
 For each kind a regular expression proposes spans over the whole text, leftmost and not
 overlapping; a validator confirms them (octets of an address, the Luhn sum of a card, the number of
-digits of a phone, mod 97 of an IBAN); and words within WINDOW code points before or behind a span, whatever
-lies there, adjust its score. Spans of the four base kinds stay whatever their score; those of the added
+digits of a phone, mod 97 of an IBAN); and words within WINDOW code points of a span, whatever lies there,
+adjust its score: those that speak for its kind before or behind it, those against before it. Spans of the four base kinds stay whatever their score; those of the added
 kinds need MIN_SCORE.
 
 Where a span lies follows from what is around it: splitting the text by the pattern gives the pieces
@@ -46,7 +46,7 @@ PATTERNS = {
 BASE = ("email", "ip", "card", "phone")
 #: Matches whose places are summed in one go.
 CHUNK = 512
-#: Words near a span that speak for its kind, and against it.
+#: Words near a span that speak for its kind, and, before it, against it.
 FOR = {
     "email": "e-?mail|contact|mailto|write",
     "ip": "ip|host|server|address|login",
@@ -139,13 +139,12 @@ def spans_of(kind: str, text: Column) -> Column:
     chunks = F.aggregate(F.array(zipped), F.array().cast("array<array<struct<match:string,piece:string,after:string>>>"), lambda _, z: F.transform(starts, lambda i: F.slice(z, i, F.lit(CHUNK))))
     placed = F.aggregate(chunks, nothing, chunk, lambda a: F.flatten(a["out"]))
 
-    def near(x: Column, own: str) -> Column:
-        pattern = rf"(?i)(?<![a-z])(?:{own})(?![a-z])"
-        return x["before"].rlike(pattern) | x["after"].rlike(pattern)
+    def near(x: Column, side: str, own: str) -> Column:
+        return x[side].rlike(rf"(?i)(?<![a-z])(?:{own})(?![a-z])")
 
     def score(x: Column) -> Column:
-        plus = F.when(near(x, FOR[kind]), F.lit(BONUS)).otherwise(F.lit(0.0))
-        minus = F.when(near(x, AGAINST), F.lit(MALUS)).otherwise(F.lit(0.0))
+        plus = F.when(near(x, "before", FOR[kind]) | near(x, "after", FOR[kind]), F.lit(BONUS)).otherwise(F.lit(0.0))
+        minus = F.when(near(x, "before", AGAINST), F.lit(MALUS)).otherwise(F.lit(0.0))
         return F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(CONFIRMED[kind]) + plus - minus))
 
     good = F.filter(placed, lambda x: confirmed(kind, x["match"]))
@@ -202,8 +201,10 @@ def _sql() -> str:
     }
     parts = []
     for k, (kind, p) in enumerate(plain.items()):
-        near = lambda w: " OR ".join(f"regexp_matches(lower({x}), '(^|[^a-z])({w})($|[^a-z])')" for x in (f"substr(t, greatest(s - {WINDOW}, 0) + 1, least(s, {WINDOW}))", f"substr(t, s + length(m) + 1, {WINDOW})"))
-        score = " ".join(f"{sign} CASE WHEN {near(w)} THEN CAST({v} AS DOUBLE) ELSE CAST(0 AS DOUBLE) END" for sign, w, v in (("+", FOR[kind], BONUS), ("-", AGAINST, MALUS)))
+        near = lambda w, side: f"regexp_matches(lower({side}), '(^|[^a-z])({w})($|[^a-z])')"
+        before, after = f"substr(t, greatest(s - {WINDOW}, 0) + 1, least(s, {WINDOW}))", f"substr(t, s + length(m) + 1, {WINDOW})"
+        tests = ("+", f"{near(FOR[kind], before)} OR {near(FOR[kind], after)}", BONUS), ("-", near(AGAINST, before), MALUS)
+        score = " ".join(f"{sign} CASE WHEN {test} THEN CAST({v} AS DOUBLE) ELSE CAST(0 AS DOUBLE) END" for sign, test, v in tests)
         parts.append(
             f"""SELECT doc_id, '{kind}' AS kind, {k} AS place, s, s + length(m) AS e, least(CAST(1 AS DOUBLE), greatest(CAST(0 AS DOUBLE), CAST({CONFIRMED[kind]} AS DOUBLE) {score})) AS score FROM (
   SELECT doc_id, r, t, ms[i] AS m, {digits.replace("m,", "ms[i],")} AS d, CAST(list_sum(list_transform(ps[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
