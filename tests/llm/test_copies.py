@@ -1,9 +1,11 @@
 """Exact deduplication, the Jaccard join, decontamination: against brute force, and the defined cases."""
 
 import hashlib
+import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -122,7 +124,10 @@ def test_decontamination(spark, edge, near, block):
     docs = edge.select("doc_id", "text").unionByName(near)
     found = decontaminate.find(spark, docs, items, block_words=block)
     got = sorted((str(r.doc_id), r.n_words, r.n_hit, len(r["items"]), hashlib.sha256(",".join(sorted(r["items"])).encode()).hexdigest(), bool(r.n_hit) and 20 * r.n_hit >= r.n_words) for r in found.collect())
-    assert got == brute_hits([(r.doc_id, r.text) for r in docs.collect()], ITEMS)
+    own = docs.collect()
+    assert got == brute_hits([(r.doc_id, r.text) for r in own], ITEMS)
+    short = sorted((str(r.doc_id), *brute_longest(r.text, ITEMS)) for r in own if len(r.text or "") < 3000)
+    assert sorted((str(r.doc_id), r.longest_match, r.longest_at) for r in found.collect() if r.n_words < 700) == [x for x in short]
 
 
 @pytest.mark.parametrize("block", [1 << 20, 20])
@@ -135,11 +140,40 @@ def test_decontamination_filter(spark, edge, block):
     assert decontaminate.report(spark, edge.limit(0), items).count() == 0
 
 
-def test_longest_match():
-    from tallyfield.llm import words
+def brute_longest(text, items, window=13):
+    """(length, place) of the longest verbatim match that holds a window, or a whole shorter item."""
+    w, best = ALNUM.findall(low(text)), (0, -1)
+    for _, item in items:
+        v = ALNUM.findall(low(item))
+        for p in range(len(w)):
+            for q in range(len(v) if len(v) >= window else min(1, len(v))):
+                n = 0
+                while p + n < len(w) and q + n < len(v) and w[p + n] == v[q + n]:
+                    n += 1
+                if n >= min(window, len(v)) and (n, -p) > (best[0], -best[1]):
+                    best = (n, p)
+    return best
+
 
-    ix = decontaminate.index(["1"], pa.array(["a b c d e f g"]), 3)
-    slab = next(words.slabs(pa.array(["x a b c d y", "e f g a b"]), words.ALNUM))
-    positions, which = decontaminate.matches(slab, ix)
-    assert sorted(positions.tolist()) == [1, 2, 6]
-    assert len(set(which.tolist())) == 3
+def test_longest_match():
+    items = [("1", "a b c d e f g"), ("2", "d e f x"), ("3", "b c"), ("4", "a b c"), ("5", "d e f"), ("6", "z z z z z z")]
+    docs = ["x a b c d y", "e f g a b", "a b c d e f", "a b c q d e f x", "z z z z z z z z", "b c", "", "q", "c d e f x d e f g"]
+    ix = decontaminate.index([i for i, _ in items], pa.array([t for _, t in items]), 3)
+    spark_rows = decontaminate._scan(lambda: ix, True)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(docs))), pa.array(range(len(docs))), pa.array(docs)], names=["doc_id", "row", "text"])
+    got = next(spark_rows(iter([batch])))
+    assert list(zip(got["longest_match"].to_pylist(), got["longest_at"].to_pylist(), strict=True)) == [brute_longest(d, items, 3) for d in docs]
+    # Touching runs of two items are one run of hit words, but no match is that long.
+    two = decontaminate.index(["4", "5"], pa.array(["a b c", "d e f"]), 3)
+    got = next(decontaminate._scan(lambda: two, True)(iter([batch.slice(2, 1)])))
+    assert got["hits"].to_pylist() == [[0, 6]] and got["longest_match"].to_pylist() == [3]
+
+
+def test_sorted_suffixes():
+    rng = random.Random(3)
+    for _ in range(60):
+        text = [rng.randint(0, 3) for _ in range(rng.randint(0, 25))] + [0]
+        want = sorted((k for k, x in enumerate(text) if x), key=lambda k: (text[k : text.index(0, k)], k))
+        got = decontaminate.sorted_suffixes(np.array(text, np.uint32)).tolist()
+        key = lambda k: text[k : text.index(0, k)]  # noqa: E731, B023
+        assert [key(k) for k in got] == [key(k) for k in want] and sorted(got) == sorted(want)
