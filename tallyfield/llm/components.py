@@ -2,18 +2,35 @@
 
 Every node hooks onto the smallest node it knows, first its larger neighbours, then its smaller
 ones, until each component is a star around its smallest node. A node's minimum is a partial
-aggregate joined back, so the neighbours of a hot node need not meet in one task. Each round is
-stored in the shared folder.
+aggregate joined back by node and salt, so the neighbours of a hot node are dealt over SALTS tasks. Each round
+is stored in the shared folder.
+
+Defined cases: an empty edge list gives no nodes; edges from a node to itself count for nothing, and repeated
+edges, in either direction, count once; ties can't arise, as a node's number is its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import Stage
 
 
+#: Tasks over which the rows of one key are dealt.
+SALTS = 8
+
+
+def salt(column: str) -> Column:
+    return F.pmod(F.xxhash64(column, F.lit(7)), F.lit(SALTS)).cast("int")
+
+
+def _back(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """edges (u, v) with u's minimum m from least (u, m)."""
+    spread = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return edges.withColumn("salt", salt("v")).join(spread, ["u", "salt"]).drop("salt")
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
@@ -27,10 +44,10 @@ def components(stage: Stage, edges: DataFrame, name: str = "star") -> DataFrame:
         # Large star: each node's larger neighbours hook onto the smallest of its neighbours and itself.
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = _back(both.filter("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: each node and its smaller neighbours hook onto the smallest of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        hooked = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        hooked = _back(large, least).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e2 = stage.write(hooked.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), f"{name}{k}")
         stage.drop(f"{name}{k - 1}")
         e, after = e2, _state(e2)

@@ -1,6 +1,7 @@
 """Similarity self-join on word n-gram sets, with vertical partitioning.
 
-Texts with equal sets form a class; classes are joined, not copies. The global n-gram order puts
+Texts with equal sets form a class; classes are joined, not copies. A set is known by a digest of 128 bits, a
+class by its first 64; of different sets that share those, all but one get another number. The global n-gram order puts
 rare n-grams first (frequencies of all documents, from one count sketch of a fixed size; a wrong
 estimate costs time, never a link). By it
 
@@ -15,10 +16,14 @@ each time), which joins most of a group to one component; then every pair that m
 components is compared, the smaller part of each n-gram's classes against all of it. No link between
 components is lost.
 
+No key gathers a hub's rows in one task: the rows of a class that is in many pairs are dealt over SALTS tasks, and so
+are the classes of one component.
+
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing (its
 component is itself); a text of fewer words than n has one n-gram, all its words; repeated rows each
 give a row, and rows that repeat a doc_id with different texts are separate; a null doc_id is its own
-component unless copies have one; an empty table gives no rows; other columns are ignored.
+component unless copies have one; n-grams of equal frequency go by their hash; a text of any length is one set,
+whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +37,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import shared, sketches, words
-from .components import components
+from .components import SALTS, components, salt
 
 N = 5
 #: Linked if DEN * intersection >= NUM * union.
@@ -41,6 +46,10 @@ FRAGMENTS = 4
 ANCHORS = 1
 #: N-grams that a task gathers before it passes them on.
 FLUSH = 1 << 19
+#: Pairs of a class from which its rows are salted; most such classes that are broadcast (the ones in most pairs; adaptive joins split the rest).
+HUB, HUBS = 256, 1 << 17
+#: Bits of a digest that number a class, and most classes that share theirs with another (expected: the square of the sets over 2^65).
+CLASS_BITS, CLASHES = 64, 1 << 16
 #: log2 of the counters of the frequency sketch (broadcast, 4 bytes each).
 SKETCH_BITS = 21
 #: log2 of the bits of the filter of documents that are in candidate pairs (broadcast).
@@ -71,13 +80,19 @@ def sets(column: pa.Array, n: int = N) -> Iterator[np.ndarray]:
                 yield grams[:0]
 
 
-def digest(grams: np.ndarray) -> tuple[int, int]:
-    """Two independent 64-bit digests of a set, as signed numbers."""
-    a = words.mix(words.mix(grams ^ _D1).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(grams)))
+def digest(grams: np.ndarray, bits: int = CLASS_BITS) -> tuple[int, int]:
+    """Two independent digests of a set, of bits and 64 bits, as signed numbers."""
+    a = words.mix(words.mix(grams ^ _D1).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(grams))) >> np.uint64(64 - bits)
     b = words.mix(grams * _D2 + _D1).sum(dtype=np.uint64, keepdims=True)
     return int(a.view(np.int64)[0]), int(b.view(np.int64)[0])
 
 
+def renamed(a: int, b: int) -> int:
+    """Another number for a class whose own another set has."""
+    x = words.mix(np.array([a, b], np.int64).view(np.uint64) + _D2)
+    return int(words.mix(x[:1] ^ (x[1:] * _STEP[9])).view(np.int64)[0])
+
+
 def slot(grams: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
     return (grams >> np.uint64(64 - bits)).astype(np.int64)
 
@@ -85,7 +100,7 @@ def slot(grams: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
 _PROFILE = "doc_id bigint, mark bigint, n int, cls bigint, other bigint, chunk int, counts binary"
 
 
-def _profile(n: int):
+def _profile(n: int, bits_: int):
     """doc_id, text, mark -> a row for each document, and the partition's n-gram counters."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +110,7 @@ def _profile(n: int):
         for batch in shared.batches(rows):
             sizes, first, second = [], [], []
             for g in sets(batch.column("text"), n):
-                a, b = digest(g)
+                a, b = digest(g, bits_)
                 sizes.append(len(g))
                 first.append(a)
                 second.append(b)
@@ -134,15 +149,16 @@ def fits(na: Column, nb: Column, left_a: Column, left_b: Column) -> Column:
     return F.least(left_a, left_b) * (NUM + DEN) >= (na + nb) * NUM
 
 
-def _prefixes(held, n: int):
+def _prefixes(held, n: int, bits_: int):
     """doc_id, text -> gram, cls, n, place: the first n-grams of each class in the order; a class once a partition."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, seen = held.value, set()
+        (sketch, other), seen = held.value, set()
         grams, classes, sizes, firsts, held_grams = [], [], [], [], 0
         for batch in shared.batches(rows):
             for g in sets(batch.column("text"), n):
-                if len(g) and (cls := digest(g)[0]) not in seen:
+                key = digest(g, bits_)
+                if len(g) and (cls := other.get(key, key[0])) not in seen:
                     seen.add(cls)
                     m = len(g) - -(-NUM * len(g) // DEN) + 1
                     first = np.argsort(sketch[slot(g)], kind="stable")[:m]  # g is sorted: ties go by hash
@@ -183,11 +199,11 @@ def _mark(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int32()), pa.array(data, pa.binary())], names=["chunk", "counts"])
 
 
-def _segments(held, n: int):
+def _segments(held, n: int, bits_: int):
     """doc_id, text -> cls, part (fragment), grams, of the documents that the filter lets pass."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, cuts, bits = held.value
+        sketch, cuts, bits, other = held.value
         for batch in shared.batches(rows):
             known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
             ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
@@ -197,7 +213,8 @@ def _segments(held, n: int):
             for g in sets(text, n):
                 if len(g):
                     fragment = np.searchsorted(cuts, sketch[slot(g)])
-                    cls = digest(g)[0]
+                    key = digest(g, bits_)
+                    cls = other.get(key, key[0])
                     for k in np.unique(fragment):
                         classes.append(cls)
                         parts.append(int(k))
@@ -218,13 +235,22 @@ def _segment_rows(classes: list[int], parts: list[int], grams: list[np.ndarray])
     return pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(parts, pa.int32()), lists], names=["cls", "part", "grams"])
 
 
-def _overlaps(pairs: DataFrame, segments: DataFrame, how: str) -> DataFrame:
-    """Of (x, y, nx, ny, fragment): part, the overlap in the fragment, and the sizes there (rx, ry). The side that many pairs share travels last."""
+def _hubs(pairs: DataFrame) -> DataFrame:
+    """(hub): classes x that are in at least HUB pairs; at most HUBS, so they may be broadcast."""
+    n = pairs.groupBy("x").agg(F.count("*").alias("n")).filter(F.col("n") >= HUB)
+    return n.orderBy(F.desc("n"), "x").limit(HUBS).select(F.col("x").alias("hub"))
+
+
+def _overlaps(pairs: DataFrame, segments: DataFrame, hubs: DataFrame, how: str) -> DataFrame:
+    """Of (x, y, nx, ny, fragment): part, the overlap in the fragment, and the sizes there (rx, ry). The side that many pairs share travels last, salted where it is a hub."""
     y = pairs.join(segments.alias("s"), (F.col("y") == F.col("s.cls")) & (F.col("fragment") == F.col("s.part")), how).select("x", "y", "nx", "ny", "fragment", F.col("grams").alias("own"))
-    both = y.join(segments.alias("s"), (F.col("x") == F.col("s.cls")) & (F.col("fragment") == F.col("s.part")), how)
+    spread = lambda c, every: F.when(F.col("hub").isNull(), F.array(F.lit(0)) if every else F.lit(0)).otherwise(c)
+    y = y.join(F.broadcast(hubs), F.col("x") == F.col("hub"), "left").withColumn("salt", spread(salt("y"), False)).drop("hub")
+    x = segments.join(F.broadcast(hubs), F.col("cls") == F.col("hub"), "left").withColumn("salt_", F.explode(spread(F.sequence(F.lit(0), F.lit(SALTS - 1)), True))).drop("hub")
+    both = y.join(x.alias("s"), (F.col("x") == F.col("s.cls")) & (F.col("fragment") == F.col("s.part")) & (F.col("salt") == F.col("s.salt_")), how)
     size = lambda c: F.coalesce(F.size(c), F.lit(0))
     part = F.when(F.col("own").isNotNull() & F.col("grams").isNotNull(), F.size(F.array_intersect("own", "grams"))).otherwise(F.lit(0))
-    return both.select("x", "y", "nx", "ny", "fragment", part.alias("part"), size("grams").alias("rx"), size("own").alias("ry")).distinct()
+    return both.select("x", "y", "nx", "ny", "fragment", part.alias("part"), size("grams").alias("rx"), size("own").alias("ry"))
 
 
 def _links(stage: shared.Stage, pairs: DataFrame, segments: DataFrame, name: str) -> DataFrame:
@@ -233,11 +259,12 @@ def _links(stage: shared.Stage, pairs: DataFrame, segments: DataFrame, name: str
     The fragment of the rarest n-grams comes first: a pair that can't reach the overlap that it needs
     with all of the rest goes no further.
     """
-    first = _overlaps(pairs.withColumn("fragment", F.lit(0)), segments.filter("part = 0"), "left")
+    hubs = _hubs(pairs)
+    first = _overlaps(pairs.withColumn("fragment", F.lit(0)), segments.filter("part = 0"), hubs, "left")
     reach = F.col("part") + F.least(F.col("nx") - F.col("rx"), F.col("ny") - F.col("ry"))
     first = stage.write(first.filter(reach * (NUM + DEN) >= (F.col("nx") + F.col("ny")) * NUM).select("x", "y", "nx", "ny", "part"), name)
     rest = first.drop("part").withColumn("fragment", F.explode(F.sequence(F.lit(1), F.lit(FRAGMENTS - 1))))
-    rest = _overlaps(rest, segments.filter("part > 0"), "inner").select("x", "y", "nx", "ny", "part")
+    rest = _overlaps(rest, segments.filter("part > 0"), hubs, "inner").select("x", "y", "nx", "ny", "part")
     total = first.unionByName(rest).groupBy("x", "y", "nx", "ny").agg(F.sum("part").alias("o"))
     return total.filter(DEN * F.col("o") >= NUM * (F.col("nx") + F.col("ny") - F.col("o"))).select(F.col("x").alias("u"), F.col("y").alias("v"))
 
@@ -275,18 +302,35 @@ def _remaining(index: DataFrame) -> DataFrame:
     return minor.alias("a").join(index.alias("b"), (F.col("a.gram") == F.col("b.gram")) & once & _may_link("a", "b")).select(*_pair("b", "a")).distinct()
 
 
-def join(spark: SparkSession, docs: DataFrame, n: int = N) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), cls (class of equal sets), mark (hash of the text)."""
+def _renamed(classes: DataFrame) -> dict[tuple[int, int], int]:
+    """New numbers of the classes (cls, other) that share their number with another; one of each number keeps it."""
+    shared_ = classes.groupBy("cls").agg(F.min("other").alias("own"), F.max("other").alias("most")).filter("own <> most")
+    found = classes.join(shared_, "cls").filter("other <> own").select("cls", "other").limit(CLASHES + 1).collect()
+    if len(found) > CLASHES:
+        raise ValueError(f"more than {CLASHES} classes share a number")
+    return {(a, b): renamed(a, b) for a, b in found}
+
+
+def join(spark: SparkSession, docs: DataFrame, n: int = N, bits: int = CLASS_BITS) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), cls (class of equal sets), mark (hash of the text).
+
+    bits: of a digest that number a class (fewer only to test sets that share them).
+    """
     stage = shared.Stage(spark, "jaccard-join")
     rows = shared.texts(docs)
-    profile = stage.write(rows.withColumn("mark", F.xxhash64("text")).mapInArrow(_profile(n), _PROFILE), "profile")
+    profile = stage.write(rows.withColumn("mark", F.xxhash64("text")).mapInArrow(_profile(n, bits), _PROFILE), "profile")
     sketch = sketches.total(profile.filter("chunk is not null"), 1 << SKETCH_BITS, np.int32)
     documents = profile.filter("chunk is null").select("doc_id", "mark", "n", "cls", "other")
-    one = F.when(F.min("other") == F.max("other"), F.min("doc_id")).otherwise(F.raise_error(F.lit("two different sets share a digest")).cast("bigint"))
-    classes = stage.write(documents.filter("n > 0").groupBy("cls").agg(one.alias("first")), "classes")
-
-    held = spark.sparkContext.broadcast(sketch)
-    index = rows.mapInArrow(_prefixes(held, n), "gram bigint, cls bigint, n int, place int")
+    classes = stage.write(documents.filter("n > 0").groupBy("cls", "other").agg(F.min("doc_id").alias("first")), "classes")
+    other = _renamed(classes)
+    if other:
+        new = spark.createDataFrame([(*k, v) for k, v in other.items()], "cls bigint, other bigint, new bigint")
+        named = lambda df: df.join(F.broadcast(new), ["cls", "other"], "left").withColumn("cls", F.coalesce("new", "cls")).drop("new")
+        documents, classes = named(documents), named(classes)
+    classes = classes.drop("other")
+
+    held = spark.sparkContext.broadcast((sketch, other))
+    index = rows.mapInArrow(_prefixes(held, n, bits), "gram bigint, cls bigint, n int, place int")
     # One shuffle: copies of a class from other partitions go, and so do n-grams of one class.
     index = index.repartition("gram").groupBy("gram", "cls").agg(F.min("n").alias("n"), F.min("place").alias("place"))
     index = index.withColumn("c", F.count("*").over(W.partitionBy("gram"))).filter("c > 1").drop("c")
@@ -297,23 +341,29 @@ def join(spark: SparkSession, docs: DataFrame, n: int = N) -> DataFrame:
     stage.drop("shared")
 
     wanted = classes.join(index.select("cls").distinct(), "cls", "left_semi").filter("first is not null").select(F.col("first").alias("doc_id"))
-    bits = sketches.total(wanted.mapInArrow(_mark, sketches.SCHEMA), 1 << FILTER_BITS, np.uint8)
+    bits_ = sketches.total(wanted.mapInArrow(_mark, sketches.SCHEMA), 1 << FILTER_BITS, np.uint8)
     held.unpersist()
-    held = spark.sparkContext.broadcast((sketch, pivots(sketch), bits))
-    segments = stage.write(rows.mapInArrow(_segments(held, n), "cls bigint, part int, grams array<bigint>"), "segments")
+    held = spark.sparkContext.broadcast((sketch, pivots(sketch), bits_, other))
+    segments = rows.mapInArrow(_segments(held, n, bits), "cls bigint, part int, grams array<bigint>")
+    # Copies that the filter lets pass go: a class has one segment a fragment.
+    segments = stage.write(segments.groupBy("cls", "part").agg(F.any_value("grams").alias("grams")), "segments")
 
     labels, links = None, None
     for turn in range(ANCHORS + 1):
         own = _labelled(index, labels)
         pairs = stage.write(_anchored(own, turn) if turn < ANCHORS else _remaining(own), f"pairs{turn}")
         found = stage.write(_links(stage, pairs, segments, f"open{turn}"), f"links{turn}")
+        stage.drop(f"pairs{turn}", f"open{turn}")
         links = found if links is None else links.unionByName(found)
         labels = components(stage, links, f"star{turn}_")
     stage.drop("segments", "index")
 
-    reach = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    least = reach.groupBy("label").agg(F.min("first").alias("component_id"))
-    reach = stage.write(reach.join(least, "label").select("cls", "component_id"), "reach")
+    # Classes without links are their own components; those of one component are salted.
+    linked = labels.withColumnRenamed("node", "cls").join(classes, "cls").withColumn("salt", salt("cls"))
+    least = linked.groupBy("label").agg(F.min("first").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    reach = linked.join(least, ["label", "salt"]).select("cls", F.col("component_id").alias("reached"))
+    reach = stage.write(classes.join(reach, "cls", "left").select("cls", F.coalesce("reached", "first").alias("component_id")), "reach")
+    stage.drop("classes", *[f"links{turn}" for turn in range(ANCHORS + 1)])
     out = documents.join(reach, "cls", "left")
     return out.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "cls", "mark")
 

@@ -87,6 +87,31 @@ def test_jaccard_join_edge(spark, edge):
     assert sorted(str(r.doc_id) for r in out.collect()) == sorted(["1", "2", "3", "4", "5", "6", "8", "9", "None"])
 
 
+@pytest.mark.parametrize("bits", [1, 4])
+def test_jaccard_join_of_clashing_classes(spark, near, bits):
+    """Different sets that share a class number stay apart."""
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard_join.join(spark, near, bits=bits).collect())
+    assert got == brute_components(near.collect())
+
+
+def test_jaccard_join_of_a_hub(spark, monkeypatch):
+    """1,000 copies of one text and 300 near copies, with a filter that lets all pass and classes that count as hubs early."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base)] * 1000
+    for _ in range(300):
+        own = list(base)
+        own[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(own))
+    texts += [" ".join(rng.choice(base) for _ in range(20)) for _ in range(50)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(6)
+    monkeypatch.setattr(jaccard_join, "HUB", 4)
+    got = {r.doc_id: r.component_id for r in jaccard_join.join(spark, docs).collect()}
+    rows = [r for r in docs.collect() if not 1 <= r.doc_id < 1000]
+    want = {int(i): int(c) for i, _, c in brute_components(rows)}
+    assert {i: c for i, c in got.items() if i in want} == want and all(got[i] == 0 for i in range(1000))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 300), (7, 7)]
     got = {r.node: r.label for r in components.components(shared.Stage(spark, "t"), spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
