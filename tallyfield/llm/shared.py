@@ -46,20 +46,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables; a temporary one only if the session names none."""
+    """The shared folder for intermediate tables. A session that names none may use a temporary one only if it has no other machine."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get()
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     own = "file://" + tempfile.mkdtemp(prefix="tallyfield-")
     spark.sparkContext.setCheckpointDir(own)
     return own
 
 
 class Stage:
-    """Tables written for one run of an operator; each is dropped as soon as nothing reads it, or when the session ends."""
+    """Tables written for one run of an operator. Those that later steps don't read are dropped at once, those that the result reads when the session ends."""
 
     def __init__(self, spark: SparkSession, name: str):
         ship(spark)
@@ -76,7 +78,7 @@ class Stage:
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Write df and read it back: the lineage ends here."""
         self.sweep()
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.root}/{name}")
         self.sweep()
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
