@@ -2,9 +2,10 @@
 
 A text's UTF-8 bytes (A-Z lower-cased) are read in windows of WINDOW bytes, both ways. Every position
 gets a distribution over the languages; a document's is the mean over all its positions. Training uses
-a bounded sample of PER_LANGUAGE documents per language, drawn by the digest of the id.
+a bounded sample of PER_LANGUAGE documents per language, drawn by the digest of the id, with all their windows:
+each step draws as many windows of every language, each as likely as another, however short.
 
-Defined cases: a null text, or one without a letter, is "und" with score 0; without training rows every
+Defined cases: texts of any length are read whole; a null text, or one without a letter, is "und" with score 0; without training rows every
 text is "und"; null languages are not learned from; ties go to the language that sorts first; repeated
 rows each give a row; an empty table gives no rows; other columns are ignored.
 """
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from . import gru, shared, words
 
-#: Documents per language to learn from; windows of each that are used.
-PER_LANGUAGE, WINDOWS_EACH = 600, 6
+#: Documents per language to learn from.
+PER_LANGUAGE = 600
 WINDOW, EMBED, HIDDEN = 64, 12, 16
 STEPS, BATCH, PAD = 350, 192, 256
 UNKNOWN = "und"
@@ -52,17 +53,10 @@ def train(texts: list[str], langs: list[str], seed: int = 1) -> dict:
     data, off = words.raw(pa.array(texts, pa.string()))
     symbols, doc, length = windows(words.LOWER[data], off)
     label = np.searchsorted(names, np.array(langs))[doc] if len(doc) else np.zeros(0, np.int64)
-    chosen = np.flatnonzero(length >= WINDOW // 4)
-    chosen = chosen[np.argsort(rng.random(len(chosen)), kind="stable")]
-    # At most WINDOWS_EACH of each document, from anywhere in it.
-    order = np.argsort(doc[chosen], kind="stable")
-    own = doc[chosen][order]
-    rank = np.arange(len(own)) - np.searchsorted(own, own)
-    chosen = np.sort(chosen[order[rank < WINDOWS_EACH]])
     p = gru.init(rng, EMBED, HIDDEN) | {"E": (rng.standard_normal((257, EMBED)) * 0.3).astype(np.float32), "O": gru.glorot(rng, 2 * HIDDEN, len(names)), "c": np.zeros((1, len(names)), np.float32)}
-    if not len(chosen) or len(names) < 2:
+    if not len(label) or len(names) < 2:
         return p | {"names": names}
-    by = [chosen[label[chosen] == k] for k in range(len(names))]
+    by = [np.flatnonzero(label == k) for k in range(len(names))]
     adam = gru.Adam(p)
     for step in range(STEPS):
         pick = np.concatenate([rng.choice(x, BATCH // len(names) + 1) for x in by if len(x)])
@@ -76,7 +70,8 @@ def train(texts: list[str], langs: list[str], seed: int = 1) -> dict:
         q /= q.sum(2, keepdims=True)
         mask = (s != PAD).astype(np.float32)[:, :, None]
         q[:, np.arange(len(y)), y] -= 1
-        q *= mask / mask.sum()
+        # Every window weighs alike, by its positions' mean.
+        q *= mask / mask.sum(0) / len(y)
         flat = q.reshape(-1, len(names))
         dj = (flat @ p["O"].T).reshape(joint.shape)
         grads, dx = gru.backward(p, x, cache, np.stack([dj[:, :, :HIDDEN], dj[::-1, :, HIDDEN:]]))

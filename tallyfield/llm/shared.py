@@ -14,7 +14,9 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -114,9 +116,13 @@ def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield b
 
 
+#: Labels that are learned (the most frequent ones), and bytes of text of a training sample: rows beyond are left out, whole.
+LABELS, SAMPLE_BYTES = 1000, 1 << 28
+
+
 def sample(rows: DataFrame, label: str, per: int) -> DataFrame:
-    """About per rows of each value of label (fewer where there are fewer), never more than per times the values, by the digest of doc_id: the same rows on every run."""
-    counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
+    """About per rows of each value of label (fewer where there are fewer), never more than per times the values, by the digest of doc_id: the same rows on every run. Of more than LABELS values the most frequent count."""
+    counts = {r[0]: r[1] for r in rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(LABELS).collect()}
     if not counts:
         return rows.limit(0)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
@@ -125,11 +131,18 @@ def sample(rows: DataFrame, label: str, per: int) -> DataFrame:
 
 
 def train(rows: DataFrame, function) -> object:  # noqa: ANN001
-    """function(table of all rows) in one task, so that the driver needn't hold what training holds. rows: a bounded sample; the result comes back pickled."""
+    """function(table of all rows) in one task, so that the driver needn't hold what training holds. rows: a bounded sample, of which whole rows are taken up to SAMPLE_BYTES; the result comes back pickled."""
 
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table_ = pa.Table.from_batches(list(batches_), schema)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(function(table_))], pa.binary())], names=["model"])
+        held, left = [], SAMPLE_BYTES
+        for batch in batches_:
+            size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+            n = int(np.searchsorted(size, left, "right"))
+            held.append(batch.slice(0, n))
+            left -= int(size[n - 1]) if n else 0
+            if n < batch.num_rows:
+                break
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(function(pa.Table.from_batches(held, schema)))], pa.binary())], names=["model"])
 
     schema = to_arrow_schema(rows.schema)
     found = rows.repartition(1).mapInArrow(run, "model binary").first()

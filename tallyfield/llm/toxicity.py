@@ -6,11 +6,11 @@ n-grams with their place at the word's ends. Windows of WINDOW words start every
 overlap; the network reads a window both ways, attention pools its positions into one vector, and that
 gives the window's logit. A document's score is that of its worst window, over the whole text.
 
-Training takes a bounded sample of PER_LABEL documents per label, drawn by the digest of the id; of a
-document's windows each batch weighs the worst ones most. Labels are the only other input of training.
+Training takes a bounded sample of PER_LABEL documents per label, drawn by the digest of the id, with all their
+windows; of a document's windows a step weighs the worst ones most. Labels are the only other input of training.
 
-Defined cases: a null text, or one without words, gets the score of an empty window; a document with
-several labels counts as toxic if any is; null labels are not learned from; without rows of both
+Defined cases: a text of any length is scored whole; a null text, or one without words, gets the score of an empty window; a document with
+several labels counts as toxic if any is; of rows that repeat a sampled doc_id the texts that sort first are learned from; null labels are not learned from; without rows of both
 labels every score is 0; repeated rows each give a row; an empty table gives no rows; other columns
 are ignored.
 """
@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from . import gru, shared, words
 
-#: Documents per label to learn from, and windows of each that a batch may use.
-PER_LABEL, WINDOWS_EACH = 2000, 48
+#: Documents per label to learn from, and windows that go through the network together.
+PER_LABEL, TOGETHER = 2000, 4096
 WINDOW, STRIDE = 16, 8
 WORD_BITS, GRAM_BITS, EMBED, HIDDEN, ATTEND = 14, 14, 12, 16, 16
 GRAMS = (3, 4, 5)
@@ -118,16 +118,14 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> dict:
         if len(turn) < BATCH:
             turn = np.concatenate([turn, rng.permutation(len(bags))])
         chosen, turn = turn[:BATCH], turn[BATCH:]
-        _step(p, adam, [bags[i] for i in chosen], labels[chosen], rng, 1.0 if step < STEPS * 3 // 4 else 0.3)
+        _step(p, adam, [bags[i] for i in chosen], labels[chosen], 1.0 if step < STEPS * 3 // 4 else 0.3)
     return p | {"const": False}
 
 
-def _gather(bags: list, rng: np.random.Generator) -> tuple:
+def _gather(bags: list) -> tuple:
     """The batch's windows over one list of distinct words of the batch."""
     w, bag, bucket, grams, owners, base = [], [], [np.zeros(1, np.int64)], [], [], 1
     for k, (own, buckets, all_grams, ends) in enumerate(bags):
-        if len(own) > WINDOWS_EACH:
-            own = own[np.sort(rng.choice(len(own), WINDOWS_EACH, replace=False))]
         used, number = np.unique(own, return_inverse=True)
         number = number.reshape(own.shape)
         if used[0] == 0:
@@ -144,9 +142,8 @@ def _gather(bags: list, rng: np.random.Generator) -> tuple:
     return np.concatenate(w), np.concatenate(bag), np.concatenate(bucket), np.concatenate(grams or none), np.concatenate(owners or none)
 
 
-def _step(p: dict, adam: gru.Adam, bags: list, y: np.ndarray, rng: np.random.Generator, rate: float) -> None:
-    w, bag, bucket, grams, owners = _gather(bags, rng)
-    vectors, n = inputs(p, bucket, grams, owners)
+def _forward(p: dict, vectors: np.ndarray, w: np.ndarray) -> dict:
+    """Logits of windows, and what their gradients need."""
     s = w.T
     both = np.stack([s, s[::-1]])
     x = vectors[both]
@@ -157,15 +154,12 @@ def _step(p: dict, adam: gru.Adam, bags: list, y: np.ndarray, rng: np.random.Gen
     e = np.exp(score - score.max(0)) * np.maximum(s > 0, s[:1] == 0)
     alpha = e / e.sum(0)
     pooled = np.einsum("tb,tbh->bh", alpha, joint)
-    logit = (pooled @ p["O"] + p["c"])[:, 0]
-    # A document's logit: its windows', the worst weighing most (the weights are held fixed).
-    top = np.full(len(y), -np.inf)
-    np.maximum.at(top, bag, logit)
-    weight = np.exp(3 * (logit - top[bag]))
-    weight /= np.bincount(bag, weight, len(y))[bag]
-    whole = np.bincount(bag, weight * logit, len(y))
-    d = ((gru.sigmoid(whole) - y) / len(y))[bag] * weight
-    d = d.astype(np.float32)[:, None]
+    return {"both": both, "x": x, "cache": cache, "joint": joint, "hidden": hidden, "alpha": alpha, "pooled": pooled, "logit": (pooled @ p["O"] + p["c"])[:, 0]}
+
+
+def _backward(p: dict, f: dict, d: np.ndarray, words_: int) -> tuple[dict, np.ndarray]:
+    """Gradients of the parameters behind the inputs, and of the distinct words' vectors, from those of the logits."""
+    pooled, alpha, joint, hidden = f["pooled"], f["alpha"], f["joint"], f["hidden"]
     dpool = d @ p["O"].T
     grads = {"O": pooled.T @ d, "c": d.sum(0, keepdims=True)}
     djoint = alpha[:, :, None] * dpool
@@ -175,13 +169,34 @@ def _step(p: dict, adam: gru.Adam, bags: list, y: np.ndarray, rng: np.random.Gen
     dhid = dscore[:, :, None] * p["a"][:, 0] * (1 - hidden * hidden)
     grads["A"] = joint.reshape(-1, 2 * HIDDEN).T @ dhid.reshape(-1, ATTEND)
     djoint = djoint + dhid @ p["A"].T
-    more, dx = gru.backward(p, x, cache, np.stack([djoint[:, :, :HIDDEN], djoint[::-1, :, HIDDEN:]]).astype(np.float32))
-    flat, at = dx.reshape(-1, 2 * EMBED), both.ravel()
-    dv = np.stack([np.bincount(at, flat[:, k], len(bucket)) for k in range(2 * EMBED)], 1).astype(np.float32)
+    more, dx = gru.backward(p, f["x"], f["cache"], np.stack([djoint[:, :, :HIDDEN], djoint[::-1, :, HIDDEN:]]).astype(np.float32))
+    flat, at = dx.reshape(-1, 2 * EMBED), f["both"].ravel()
+    return grads | more, np.stack([np.bincount(at, flat[:, k], words_) for k in range(2 * EMBED)], 1).astype(np.float32)
+
+
+def _step(p: dict, adam: gru.Adam, bags: list, y: np.ndarray, rate: float) -> None:
+    w, bag, bucket, grams, owners = _gather(bags)
+    vectors, n = inputs(p, bucket, grams, owners)
+    parts = [slice(a, a + TOGETHER) for a in range(0, len(w), TOGETHER)]
+    done = [_forward(p, vectors, w[at]) for at in parts] if len(parts) == 1 else []
+    logit = np.concatenate([f["logit"] for f in done] or [_forward(p, vectors, w[at])["logit"] for at in parts])
+    # A document's logit: its windows', the worst weighing most (the weights are held fixed).
+    top = np.full(len(y), -np.inf)
+    np.maximum.at(top, bag, logit)
+    weight = np.exp(3 * (logit - top[bag]))
+    weight /= np.bincount(bag, weight, len(y))[bag]
+    whole = np.bincount(bag, weight * logit, len(y))
+    d = ((gru.sigmoid(whole) - y) / len(y))[bag] * weight
+    d = d.astype(np.float32)[:, None]
+    grads, dv = {}, np.zeros_like(vectors)
+    for k, at in enumerate(parts):
+        own, dx = _backward(p, done[k] if done else _forward(p, vectors, w[at]), d[at], len(bucket))
+        grads = {name: grads[name] + g if grads else g for name, g in own.items()}
+        dv += dx
     dv[0] = 0
     share = (dv[:, EMBED:] / np.sqrt(n)[:, None])[owners]
     dE, dG = (np.stack([np.bincount(at, x[:, k], 1 << bits) for k in range(EMBED)], 1).astype(np.float32) for at, x, bits in ((bucket, dv[:, :EMBED], WORD_BITS), (grams, share, GRAM_BITS)))
-    adam.step(grads | more | {"E": dE, "G": dG}, rate)
+    adam.step(grads | {"E": dE, "G": dG}, rate)
 
 
 def score(p: dict, s: words.Slab) -> np.ndarray:
@@ -220,6 +235,7 @@ def learn(docs: DataFrame, labels: DataFrame, per: int = PER_LABEL) -> dict:
     marks = labels.filter("toxic is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     marks = shared.sample(marks.filter("toxic in (0, 1)"), "toxic", per)
     rows = shared.texts(docs).join(F.broadcast(marks), "doc_id")  # marks: at most 2 * per rows
+    rows = rows.orderBy("doc_id", "text").limit(2 * per)
     return shared.train(rows, _train)
 
 
