@@ -16,7 +16,7 @@ each time), which joins most of a group to one component; then every pair that m
 components is compared, the smaller part of each n-gram's classes against all of it. No link between
 components is lost.
 
-No key gathers a hub's rows in one task: the rows of a class that is in many pairs are dealt over SALTS tasks, and so
+No key gathers a hub's rows in one task: the rows of a class that is in many pairs are dealt over several tasks, and so
 are the classes of one component.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing (its
@@ -37,7 +37,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import shared, sketches, words
-from .components import SALTS, components, salt
+from .components import HUB, HUBS, back, components, salted, spread
 
 N = 5
 #: Linked if DEN * intersection >= NUM * union.
@@ -46,8 +46,6 @@ FRAGMENTS = 4
 ANCHORS = 1
 #: N-grams that a task gathers before it passes them on.
 FLUSH = 1 << 19
-#: Pairs of a class from which its rows are salted; most such classes that are broadcast (the ones in most pairs; adaptive joins split the rest).
-HUB, HUBS = 256, 1 << 17
 #: Bits of a digest that number a class, and most classes that share theirs with another (expected: the square of the sets over 2^65).
 CLASS_BITS, CLASHES = 64, 1 << 16
 #: log2 of the counters of the frequency sketch (broadcast, 4 bytes each).
@@ -244,9 +242,9 @@ def _hubs(pairs: DataFrame) -> DataFrame:
 def _overlaps(pairs: DataFrame, segments: DataFrame, hubs: DataFrame, how: str) -> DataFrame:
     """Of (x, y, nx, ny, fragment): part, the overlap in the fragment, and the sizes there (rx, ry). The side that many pairs share travels last, salted where it is a hub."""
     y = pairs.join(segments.alias("s"), (F.col("y") == F.col("s.cls")) & (F.col("fragment") == F.col("s.part")), how).select("x", "y", "nx", "ny", "fragment", F.col("grams").alias("own"))
-    spread = lambda c, every: F.when(F.col("hub").isNull(), F.array(F.lit(0)) if every else F.lit(0)).otherwise(c)
-    y = y.join(F.broadcast(hubs), F.col("x") == F.col("hub"), "left").withColumn("salt", spread(salt("y"), False)).drop("hub")
-    x = segments.join(F.broadcast(hubs), F.col("cls") == F.col("hub"), "left").withColumn("salt_", F.explode(spread(F.sequence(F.lit(0), F.lit(SALTS - 1)), True))).drop("hub")
+    y = salted(y, hubs, "x", "y")
+    x = segments.join(F.broadcast(hubs), F.col("cls") == F.col("hub"), "left")
+    x = spread(x, F.col("hub").isNotNull()).drop("hub").withColumnRenamed("salt", "salt_")
     both = y.join(x.alias("s"), (F.col("x") == F.col("s.cls")) & (F.col("fragment") == F.col("s.part")) & (F.col("salt") == F.col("s.salt_")), how)
     size = lambda c: F.coalesce(F.size(c), F.lit(0))
     part = F.when(F.col("own").isNotNull() & F.col("grams").isNotNull(), F.size(F.array_intersect("own", "grams"))).otherwise(F.lit(0))
@@ -358,10 +356,10 @@ def join(spark: SparkSession, docs: DataFrame, n: int = N, bits: int = CLASS_BIT
         labels = components(stage, links, f"star{turn}_")
     stage.drop("segments", "index")
 
-    # Classes without links are their own components; those of one component are salted.
-    linked = labels.withColumnRenamed("node", "cls").join(classes, "cls").withColumn("salt", salt("cls"))
-    least = linked.groupBy("label").agg(F.min("first").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    reach = linked.join(least, ["label", "salt"]).select("cls", F.col("component_id").alias("reached"))
+    # Classes without links are their own components.
+    linked = labels.withColumnRenamed("node", "cls").join(classes, "cls")
+    least = linked.groupBy("label").agg(F.min("first").alias("component_id"), F.count("*").alias("n"))
+    reach = back(linked, least, "label", "cls").select("cls", F.col("component_id").alias("reached"))
     reach = stage.write(classes.join(reach, "cls", "left").select("cls", F.coalesce("reached", "first").alias("component_id")), "reach")
     stage.drop("classes", *[f"links{turn}" for turn in range(ANCHORS + 1)])
     out = documents.join(reach, "cls", "left")
