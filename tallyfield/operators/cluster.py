@@ -17,18 +17,18 @@ def _km(lat: np.ndarray, lng: np.ndarray, a: float, b: float) -> np.ndarray:
 
 
 def k_center(lat: np.ndarray, lng: np.ndarray, k: int, start: tuple[float, float] | None = None) -> np.ndarray:
-    """Indexes of up to k centres. The first is the point nearest to start (to the mean point without one); each further one is the farthest from those so far; ties go to the lowest index."""
-    if not len(lat) or k <= 0:
+    """Indexes of up to k centres; all points in their order where k reaches their number. The first is the point nearest to start, without one the first point; each further one is the farthest from those so far among the rest, a duplicate too; ties go to the lowest index."""
+    n = len(lat)
+    if not n or k <= 0:
         return np.zeros(0, np.int64)
-    a, b = start if start else (float(lat.mean()), float(lng.mean()))
-    chosen = [int(np.argmin(_km(lat, lng, a, b)))]
-    near = _km(lat, lng, lat[chosen[0]], lng[chosen[0]])
-    while len(chosen) < min(k, len(lat)):
-        far = int(np.argmax(near))
-        if near[far] <= 0:
-            break  # every point is a centre already
-        chosen.append(far)
-        near = np.minimum(near, _km(lat, lng, lat[far], lng[far]))
+    if k >= n:
+        return np.arange(n)
+    chosen = [int(np.argmin(_km(lat, lng, *start))) if start else 0]
+    near = np.full(n, np.inf)
+    while len(chosen) < k:
+        near = np.minimum(near, _km(lat, lng, lat[chosen[-1]], lng[chosen[-1]]))
+        near[chosen] = -1.0
+        chosen.append(int(np.argmax(near)))
     return np.array(chosen, np.int64)
 
 

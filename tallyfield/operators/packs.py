@@ -39,8 +39,8 @@ def pack_targets(packs: DataFrame, hotspots: DataFrame, month_obs: DataFrame, sp
     """region, location_id, samples, species: array of (code, obs (12)); rows whose species has no code are left out. Regions match hotspots loosely."""
     where = codes_of(packs, hotspots.select(F.col("region_code").alias("code")), "loose").withColumnRenamed("code", "region_code")
     own = hotspots.select(F.col("id").alias("location_id"), "region_code").join(where, "region_code").select("region", "location_id")
-    months = arrays.target_months(month_obs.join(own.select("location_id").distinct(), "location_id", "left_semi"))
-    return _named(own.join(months, "location_id"), species, "region", "location_id")
+    months = arrays.target_months(month_obs.join(own.select("location_id").distinct(), "location_id", "left_semi"), _codes(species))
+    return own.join(months, "location_id").select("region", "location_id", "samples", _named())
 
 
 def pack_cells(packs: DataFrame, cells: DataFrame, cell_obs: DataFrame, cell_samples: DataFrame, species: DataFrame, res: int) -> DataFrame:
@@ -49,19 +49,18 @@ def pack_cells(packs: DataFrame, cells: DataFrame, cell_obs: DataFrame, cell_sam
     own = cells.filter(F.col("res") == res).join(where, "region_code").select("region", "cell_ref", "h3", "lat", "lng")
     ref = own.select("cell_ref").distinct()
     pick = lambda df: df.filter(F.col("res") == res).join(ref, "cell_ref", "left_semi")
-    months = arrays.cell_months(pick(cell_obs), pick(cell_samples), "cell_ref")
-    named = _named(own.join(months, "cell_ref"), species, "region", "cell_ref", "h3", "lat", "lng")
-    return named.select("region", geo.cell_hex(F.col("h3")).alias("id"), geo.round3(F.col("lat")).alias("lat"), geo.round3(F.col("lng")).alias("lng"), "samples", "species")
-
-
-def _named(df: DataFrame, species: DataFrame, *keys: str) -> DataFrame:
-    """Species ids -> codes, in order of id; those without a code are left out, an empty list stays."""
-    each = df.select(*keys, F.explode("species").alias("s")).select(*keys, "s.species_id", "s.obs")
-    codes = species.filter("code <> ''").select(F.col("id").alias("species_id"), "code")
-    named = each.join(codes, "species_id").groupBy(*keys[:2]).agg(F.sort_array(F.collect_list(F.struct("species_id", "code", "obs"))).alias("named"))
-    back = df.select(*keys, "samples").join(named, list(keys[:2]), "left")
-    rows = F.transform("named", lambda s: F.struct(s["code"].alias("code"), s["obs"].alias("obs")))
-    return back.select(*keys, "samples", F.coalesce(rows, F.array().cast("array<struct<code:string,obs:array<bigint>>>")).alias("species"))
+    months = arrays.cell_months(pick(cell_obs), pick(cell_samples), "cell_ref", codes=_codes(species))
+    named = own.join(months, "cell_ref")
+    return named.select("region", geo.cell_hex(F.col("h3")).alias("id"), geo.round3(F.col("lat")).alias("lat"), geo.round3(F.col("lng")).alias("lng"), "samples", _named())
+
+
+def _codes(species: DataFrame) -> DataFrame:
+    return species.filter("code <> ''").select(F.col("id").alias("species_id"), "code")
+
+
+def _named() -> Column:
+    """The species list without ids; one of no species stays, empty."""
+    return F.transform("species", lambda s: F.struct(s["code"].alias("code"), s["obs"].alias("obs"))).alias("species")
 
 
 def pack_hotspots(api: DataFrame, names: DataFrame) -> DataFrame:

@@ -59,11 +59,13 @@ def raw_observations(spark: SparkSession, d: str) -> DataFrame:
     parts = _t(spark, d, "part").select("p_partkey", "p_brand", "p_type")
     lines = _t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
     x = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    x = x.withColumn("sci_name", F.explode(F.array("p_brand", "p_type", F.concat(F.lit("RF-"), F.col("l_returnflag")))))
-    values = {"location_id": F.col("l_suppkey").cast("string"), "observed_on": F.col("day").cast("string"), "event_id": F.col("l_orderkey").cast("string"), "group_id": _group("l_orderkey"), "sci_name": F.col("sci_name")}
+    values = {"location_id": F.col("l_suppkey").cast("string"), "observed_on": F.col("day").cast("string"), "event_id": F.col("l_orderkey").cast("string"), "group_id": _group("l_orderkey"), "sci_name": F.array("p_brand", "p_type", F.concat(F.lit("RF-"), F.col("l_returnflag")))}
     complete = F.when(F.col("l_orderkey") % 17 == 0, "0").otherwise("1").alias(schema.COMPLETE)
     category = F.when(F.col("l_linenumber") == 7, "spuh").when(F.col("l_linenumber") == 3, "issf").otherwise("species").alias(schema.CATEGORY)
-    return x.select(*[values[v].alias(k) for k, v in schema.OBSERVATION_COLUMNS.items()], complete, category)
+    # A line's values are made once, then a row for each of its species.
+    rows = x.select(*[values[v].alias(k) for k, v in schema.OBSERVATION_COLUMNS.items()], complete, category)
+    name = next(k for k, v in schema.OBSERVATION_COLUMNS.items() if v == "sci_name")
+    return rows.withColumn(name, F.explode(F.col(f"`{name}`")))
 
 
 def species(spark: SparkSession, d: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +14,13 @@ from ..operators import arrays, cluster, counts, dims, occurrences, packs, rollu
 from ..sources import readers, sinks
 
 
-def targets(checklists: DataFrame, observations: DataFrame, species: DataFrame, z: float = Z) -> dict[str, DataFrame]:
-    """All tables of the targets build. samples and matched observations feed several of them and are kept on executors' disks."""
+def targets(checklists: DataFrame, observations: DataFrame, species: DataFrame, z: float = Z, kept: list[DataFrame] | None = None) -> dict[str, DataFrame]:
+    """All tables of the targets build. What feeds several of them is kept on executors' disks (made again if one is lost) and, where kept is given, put there to be let go."""
     dim = dims.location_dim(checklists).persist(StorageLevel.DISK_ONLY)
     samples = counts.samples(checklists).persist(StorageLevel.DISK_ONLY)
     matched = counts.matched(counts.observed(observations, species), samples).persist(StorageLevel.DISK_ONLY)
+    if kept is not None:
+        kept += [dim, samples, matched]
     region_samples = counts.region_samples(samples, dim)
     regions = dims.regions(region_samples)
     return {
@@ -32,10 +36,12 @@ def targets(checklists: DataFrame, observations: DataFrame, species: DataFrame,
 
 
 def build_targets(spark: SparkSession, checklists: DataFrame, observations: DataFrame, species: DataFrame, root: str, year: str, month: str, z: float = Z) -> None:
-    for name, df in targets(checklists, observations, species, z).items():
+    kept: list[DataFrame] = []
+    for name, df in targets(checklists, observations, species, z, kept).items():
         sinks.write_table(df, root, name)
     sinks.write_table(sinks.metadata(spark, year, month), root, "metadata")
-    spark.catalog.clearCache()
+    for df in kept:
+        df.unpersist()
 
 
 def grid_tables(checklists: DataFrame, observations: DataFrame, species: DataFrame, resolutions: list[int], grid: geo.Lattice | geo.Library | None = None) -> dict[str, DataFrame]:
@@ -74,27 +80,43 @@ def occurrence_tables(tables: dict[str, DataFrame], zone_res: list[int], source_
         "zone_meta": zones,
         "zone_species": zone,
         "zone_qcount": occurrences.qcount(zone, "res", "cell_ref"),
-        "loc_zone_h3": occurrences.loc_zone_h3(meta, zone_res, grid),
+        "loc_zone_h3": (where := occurrences.loc_zone_h3(meta, zone_res, grid)),
+        "loc_cell_ref": occurrences.loc_cell_ref(meta, where, zones),
     }
 
 
-def blob_vectors(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """(key, at, value) of each blob family by element kind: rows sorted by species, where each species begins, and totals by place."""
-    rows = t["loc_species"]
-    by_species = rows.withColumn("r", F.struct("species_id", "loc_ref"))
-
-    def vector(df: DataFrame, key: str, at: str, value: str) -> DataFrame:
-        return df.select(F.lit(key).alias("key"), F.col(at).alias("at"), F.col(value).alias("value"))
-
-    ordered = dims.dense_ids(by_species, "at", F.col("species_id"), [F.col("loc_ref")], start=0)
-    offsets = arrays.csr_offsets(rows, rows.select(F.col("species_id").alias("id")))
-    n = t["loc_meta"].agg(F.count("*").alias("n"))
-    ints = vector(offsets, "loc/offsets", "species_id", "offset").union(vector(ordered, "loc/refs", "at", "loc_ref")).union(vector(t["loc_meta"], "loc/samples", "loc_ref", "samples"))
-    for b in range(len(BUCKETS)):
-        own = t["loc_qcount"].filter(F.col("bucket") == b)
-        ints = ints.union(vector(arrays.dense(own, "loc_ref", "q_count", n), f"loc/q{b}", "loc_ref", "q_count"))
-    levels = vector(ordered, "loc/levels", "at", "bucket_level")
-    return {"i4": ints, "u1": levels}
+def blob_vectors(t: dict[str, DataFrame], zone_res: list[int]) -> tuple[DataFrame, DataFrame]:
+    """(key, at, value, real) and (key, kind, size) of all blobs: of hotspots (loc:..) and of the zones of each resolution (zone:{res}:..).
+
+    Per place: samples, lat, lng, of zones the cell, and a matrix of q_count by bucket; rows sorted by species as where
+    each species begins (spOff), the place (csrRef) and the level (csrLvl); and each hotspot's zone (loc:cellRef:{res}).
+    """
+    vectors: list[DataFrame] = []
+    sizes: list[DataFrame] = []
+
+    def put(key: str, kind: str, size: DataFrame, rows: DataFrame, at, value) -> None:  # noqa: ANN001
+        whole, real = (F.lit(0), F.coalesce(value, F.lit(0.0))) if kind == "f4" else (F.coalesce(value, F.lit(0)), F.lit(0.0))
+        vectors.append(rows.select(F.lit(key).alias("key"), at.cast("bigint").alias("at"), whole.cast("bigint").alias("value"), real.cast("double").alias("real")))
+        sizes.append(size.select(F.lit(key).alias("key"), F.lit(kind).alias("kind"), F.col("size").cast("bigint").alias("size")))
+
+    def family(name: str, meta: DataFrame, levels: DataFrame, counts_: DataFrame, ref: str, more: tuple) -> None:
+        at, n = F.col(ref), meta.agg(F.coalesce(F.max(ref) + 1, F.lit(0)).alias("size"))
+        for column, kind in (("samples", "i4"), ("lat", "f4"), ("lng", "f4"), *more):
+            put(f"{name}:{column}", kind, n, meta, at, F.col(column))
+        matrix = counts_.withColumn("k", F.lit(1)).join(F.broadcast(n.withColumn("k", F.lit(1))), "k")  # one row
+        put(f"{name}:qcount", "i4", n.select((F.col("size") * len(BUCKETS)).alias("size")), matrix, F.col("bucket") * F.col("size") + at, F.col("q_count"))
+        offsets = arrays.csr_offsets(levels, levels.select(F.col("species_id").alias("id")))
+        put(f"{name}:spOff", "i4", offsets.agg(F.count("*").alias("size")), offsets, F.col("species_id"), F.col("offset"))
+        ordered, rows = dims.dense_ids(levels, "at", F.col("species_id"), [at], start=0), levels.agg(F.count("*").alias("size"))
+        put(f"{name}:csrRef", "i4", rows, ordered, F.col("at"), at)
+        put(f"{name}:csrLvl", "u1", rows, ordered, F.col("at"), F.col("bucket_level"))
+
+    family("loc", t["loc_meta"], t["loc_species"], t["loc_qcount"], "loc_ref", ())
+    for res in sorted(zone_res):
+        own = {k: t[k].filter(F.col("res") == res) for k in ("loc_cell_ref", "zone_meta", "zone_species", "zone_qcount")}
+        put(f"loc:cellRef:{res}", "i4", t["loc_meta"].agg(F.count("*").alias("size")), own["loc_cell_ref"], F.col("loc_ref"), F.col("cell_ref"))
+        family(f"zone:{res}", own["zone_meta"], own["zone_species"], own["zone_qcount"], "cell_ref", (("h3", "i8"),))
+    return reduce(DataFrame.unionByName, vectors), reduce(DataFrame.unionByName, sizes)
 
 
 def build_occurrences(spark: SparkSession, source: str, root: str, year: str, month: str, zone_res: tuple[int, ...] = (3, 4)) -> None:
@@ -104,8 +126,7 @@ def build_occurrences(spark: SparkSession, source: str, root: str, year: str, mo
     for name, df in out.items():
         sinks.write_table(df, root, name)
     stored = {n: readers.read_table(spark, root, n) for n in out}
-    blobs = [arrays.blobs(v, kind) for kind, v in blob_vectors(stored).items()]
-    sinks.write_table(blobs[0].unionByName(blobs[1]), root, "blob_cache")
+    sinks.write_table(arrays.blobs(*blob_vectors(stored, list(zone_res))), root, "blob_cache")
     sinks.write_table(needed["species"], root, "species")
     more = {"buckets": "[" + ",".join(map(str, BUCKETS)) + "]", "min_score": LOC_SCORE, "min_checklists": LOC_SAMPLES}
     sinks.metadata(spark, year, month, **more).write.mode("overwrite").parquet(f"{root}/metadata")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar, geo, regions, score
 from ..operators import arrays, cluster, consumer, counts, dims, occurrences, packs, rollup, search
 from ..sources import ingest, sinks
-from . import analog, pipeline, sql
+from . import analog, pipeline, sql, stored
 
 RES, ZONES = 6, [4, 3]
 
@@ -23,6 +23,11 @@ class Tables:
     def __init__(self, spark: SparkSession, d: str):
         self.spark, self.d, self.grid = spark, d, geo.Lattice()
 
+    def store(self, *names: str) -> None:
+        """Write tables that a query reads more than once, in order."""
+        for name in names:
+            setattr(self, name, stored.store(self.spark, getattr(self, name), name))
+
     checklists = cached_property(lambda t: ingest.checklists(analog.raw_checklists(t.spark, t.d)))
     observations = cached_property(lambda t: ingest.observations(analog.raw_observations(t.spark, t.d)))
     species = cached_property(lambda t: analog.species(t.spark, t.d))
@@ -418,13 +423,34 @@ def _api(t: Tables) -> DataFrame:
     return t.hotspots.join(where, "region_code").select("region", "id", "name", "country_code", "subnational1_code", "subnational2_code", "lat", "lng", F.lit(0).cast("bigint").alias("species"))
 
 
-@_query()
+def _kcenter_sql() -> str:
+    """Each region's points in order of id; the farthest from the centres so far is the next, until there are k."""
+    radians = lambda c: f"radians({c})"
+    h = f"power(sin((radians(la[nx]) - radians(la[i])) / 2), 2) + cos(radians(la[i])) * cos(radians(la[nx])) * power(sin(radians(lo[nx] - lo[i]) / 2), 2)"
+    km = f"2 * {geo.EARTH_KM} * atan2(sqrt({h}), sqrt(greatest(0, 1 - ({h}))))"
+    return f"""SELECT region, CAST(place AS BIGINT) AS place, lat, lng FROM (
+WITH RECURSIVE p AS (
+  SELECT f.region, hot.id, hot.lat, hot.lng FROM (SELECT region FROM pk WHERE NOT EXISTS (SELECT 1 FROM pk c WHERE c.region LIKE pk.region || '-%')) f
+  JOIN hot ON lower(hot.region_code) = lower(f.region) OR lower(hot.region_code) LIKE lower(f.region) || '-%' WHERE hot.lat IS NOT NULL AND hot.lng IS NOT NULL
+), g AS (SELECT region, list(lat ORDER BY id) AS la, list(lng ORDER BY id) AS lo, count(*) AS n, least(30, greatest(3, CAST(ceil(1.5 * log2(count(*))) AS INT))) AS k FROM p GROUP BY 1),
+s AS (
+  SELECT region, la, lo, n, k, 1 AS step, CAST(1 AS BIGINT) AS nx, list_transform(la, lambda x: CAST('inf' AS DOUBLE)) AS near FROM g
+  UNION ALL
+  SELECT region, la, lo, n, k, step + 1, CASE WHEN k >= n THEN step + 1 ELSE list_position(d, list_max(d)) END, d FROM (
+    SELECT *, list_transform(range(1, n + 1), lambda i: CASE WHEN i = nx OR near[i] = -1 THEN CAST(-1 AS DOUBLE) ELSE least(near[i], {km}) END) AS d FROM s WHERE step < least(k, n))
+)
+SELECT region, step - 1 AS place, round(la[nx], 3) AS lat, round(lo[nx], 3) AS lng FROM s)"""
+
+
+@_query(_kcenter_sql(), "pk", "hot")
 def kcenter(t: Tables) -> DataFrame:
-    return cluster.clusters(_api(t).select("region", "id", "lat", "lng"))
+    x = cluster.clusters(_api(t).select("region", "id", "lat", "lng"))
+    return x.select("region", F.posexplode("clusters").alias("place", "c")).select("region", F.col("place").cast("bigint").alias("place"), F.col("c")[0].alias("lat"), F.col("c")[1].alias("lng"))
 
 
 @_query()
 def pack_json(t: Tables) -> DataFrame:
+    t.store("dim", "samples", "observed")
     finest = dims.finest_regions(t.packs)
     names = t.packs.select(F.col("region").alias("code"), F.concat(F.lit("Region "), "region").alias("name"))
     g = t.grid_tables
@@ -439,11 +465,35 @@ def pack_binary(t: Tables) -> DataFrame:
     return packs.binary_packs(g["h3_cells"], g["h3_cell_obs"], g["h3_cell_samples"], dims.finest_regions(t.packs), RES)
 
 
-@_query()
+def _blob_sql() -> str:
+    """Every element of every blob."""
+    out = []
+
+    def family(name: str, meta: str, levels: str, counts_: str, ref: str, more: str = "") -> None:
+        out.append(f"SELECT '{name}:samples' AS key, {ref} AS place, samples AS value, CAST(0 AS DOUBLE) AS real FROM {meta}")
+        out.extend(f"SELECT '{name}:{c}', {ref}, 0, CAST(CAST(coalesce({c}, 0) AS FLOAT) AS DOUBLE) FROM {meta}" for c in ("lat", "lng"))
+        out.append(f"SELECT '{name}:qcount', b * (SELECT max({ref}) + 1 FROM {meta}) + m.{ref}, coalesce(q_count, 0), 0 FROM {meta} m CROSS JOIN range({len(score.BUCKETS)}) AS r(b) LEFT JOIN {counts_} q ON q.bucket = b AND q.{ref} = m.{ref}")
+        out.append(f"SELECT '{name}:spOff', s, (SELECT count(*) FROM {levels} WHERE species_id < s), 0 FROM range((SELECT max(species_id) + 2 FROM {levels})) AS r(s)")
+        out.extend(f"SELECT '{name}:{k}', row_number() OVER (ORDER BY species_id, {ref}) - 1, {v}, 0 FROM {levels}" for k, v in (("csrRef", ref), ("csrLvl", "bucket_level")))
+        if more:
+            out.append(f"SELECT '{name}:h3', {ref}, h3, 0 FROM {meta}")
+
+    family("loc", "lm", "ls", "lq", "loc_ref")
+    for r in ZONES:
+        out.append(f"SELECT 'loc:cellRef:{r}', loc_ref, cell_ref, 0 FROM lr WHERE res = {r}")
+        counts_ = f"(SELECT CAST(b AS INTEGER) AS bucket, cell_ref, count(*) AS q_count FROM zs, range({len(score.BUCKETS)}) AS r(b) WHERE res = {r} AND bucket_level >= b GROUP BY 1, 2)"
+        family(f"zone:{r}", f"(SELECT * FROM zm WHERE res = {r})", f"(SELECT * FROM zs WHERE res = {r})", counts_, "cell_ref", "h3")
+    return "SELECT key, CAST(place AS BIGINT) AS place, CAST(value AS BIGINT) AS value, real FROM (" + " UNION ALL ".join(out) + ")"
+
+
+@_query(_blob_sql(), "lm", "ls", "lq", "lr", "zm", "zs")
 def blob_cache(t: Tables) -> DataFrame:
-    tables = {"loc_species": t.loc_species, "loc_meta": t.loc_meta, "loc_qcount": t.loc_qcount}
-    own = [arrays.blobs(v, kind) for kind, v in pipeline.blob_vectors(tables).items()]
-    return own[0].unionByName(own[1])
+    """Every blob, packed and read back. Each blob reads one of few tables, which are stored."""
+    t.store("samples", "observed", "dim", "year_obs", "loc_meta", "loc_species", "zone_meta", "zone_species", "loc_cells")
+    zone_counts = occurrences.qcount(t.zone_species, "res", "cell_ref")
+    tables = {"loc_species": t.loc_species, "loc_meta": t.loc_meta, "loc_qcount": t.loc_qcount, "loc_cell_ref": t.loc_cells, "zone_meta": t.zone_meta, "zone_species": t.zone_species, "zone_qcount": zone_counts}
+    vectors, sizes = pipeline.blob_vectors(tables, ZONES)
+    return arrays.elements(arrays.blobs(vectors, sizes), sizes).withColumnRenamed("at", "place")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

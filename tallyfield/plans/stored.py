@@ -1,0 +1,31 @@
+"""Tables that several parts of a plan read, written once.
+
+They go to the folder that the cluster names in ``spark.checkpoint.dir``, so a lost executor loses none; a
+session on one machine that names none uses a temporary folder.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def folder(spark: SparkSession) -> str:
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return "file://" + tempfile.mkdtemp(prefix="tallyfield-")
+
+
+def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write df and read it back; the table goes when the session ends."""
+    path = f"{folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

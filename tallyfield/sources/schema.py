@@ -72,5 +72,6 @@ TABLES = {
     "zone_species": (_struct("res int, species_id bigint, cell_ref bigint, bucket_level int"), ["res", "species_id", "cell_ref"], ["res"]),
     "zone_qcount": (_struct("res int, bucket int, cell_ref bigint, q_count bigint"), ["res", "bucket", "cell_ref"], ["res"]),
     "loc_zone_h3": (_struct("res int, loc_ref bigint, h3 bigint"), ["res", "loc_ref"], ["res"]),
-    "blob_cache": (_struct("key string, data binary"), ["key"], []),
+    "loc_cell_ref": (_struct("res int, loc_ref bigint, cell_ref bigint"), ["res", "loc_ref"], ["res"]),
+    "blob_cache": (_struct("key string, part bigint, data binary"), ["key", "part"], []),
 }

@@ -124,14 +124,23 @@ def test_csr_and_blobs(spark):
     assert rows(offsets, "species_id", "offset") == [(0, 0), (1, 0), (2, 2), (3, 2), (4, 3)]
     empty = arrays.csr_offsets(levels.filter("false"), spark.createDataFrame([], "id bigint"))
     assert empty.count() == 0
-    v = spark.createDataFrame([("k", 1, 7), ("k", 0, 3)], "key string, at bigint, value bigint")
-    assert bytes(arrays.blobs(v, "i4").first()["data"]) == np.array([3, 7], "<i4").tobytes()
+    v = spark.createDataFrame([("k", 1, 7, 0.0), ("k", 4, 3, 0.0), ("h", 0, 2**62 + 1, 0.0), ("f", 1, 0, 0.1)], "key string, at bigint, value bigint, real double")
+    sizes = spark.createDataFrame([("k", "i4", 6), ("h", "i8", 1), ("f", "f4", 2), ("none", "u1", 0)], "key string, kind string, size bigint")
+    got = {(r.key, r.part): bytes(r.data) for r in arrays.blobs(v, sizes, 4).collect()}
+    want = {("k", 0): np.array([0, 7, 0, 0], "<i4"), ("k", 1): np.array([3, 0], "<i4"), ("h", 0): np.array([2**62 + 1], "<i8"), ("f", 0): np.array([0, 0.1], "<f4"), ("none", 0): np.zeros(0, "u1")}
+    assert got == {k: x.tobytes() for k, x in want.items()}
+    back = {(r.key, r["at"]): r.value for r in arrays.elements(arrays.blobs(v, sizes, 4), sizes, 4).collect()}
+    assert back["k", 4] == 3 and back["h", 0] == 2**62 + 1 and len(back) == 9
 
 
 def test_k_center():
     lat, lng = np.array([0.0, 0.0, 0.0, 10.0]), np.array([0.0, 1.0, 1.0, 0.0])
     assert cluster.k_center(lat, lng, 3, (0.0, 0.1)).tolist() == [0, 3, 1]
-    assert cluster.k_center(lat, lng, 9, (0.0, 0.1)).tolist() == [0, 3, 1]
+    # Without a start the first point is the first centre; with as many as there are points, all in their order.
+    assert cluster.k_center(lat[::-1], lng[::-1], 2).tolist() == [0, 1]
+    assert cluster.k_center(lat, lng, 9, (9.0, 0.1)).tolist() == [0, 1, 2, 3]
+    # A duplicate may be a centre.
+    assert cluster.k_center(np.zeros(4), np.zeros(4), 3).tolist() == [0, 1, 2]
     assert len(cluster.k_center(lat[:0], lng[:0], 3)) == 0
 
 

@@ -32,7 +32,9 @@ def test_builds(spark, tmp_path):
     meta = readers.read_table(spark, out, "loc_meta").collect()
     assert [(r.loc_ref, r.location_id, r.samples) for r in meta] == [(0, "Z", 30)]
     blobs = {r.key: bytes(r.data) for r in readers.read_table(spark, out, "blob_cache").collect()}
-    assert blobs["loc/samples"] == (30).to_bytes(4, "little")
+    columns = "samples lat lng qcount spOff csrRef csrLvl".split()
+    assert set(blobs) == {f"loc:{c}" for c in columns} | {"loc:cellRef:3"} | {f"zone:3:{c}" for c in [*columns, "h3"]}
+    assert blobs["loc:samples"] == (30).to_bytes(4, "little") and len(blobs["zone:3:h3"]) % 8 == 0
     assert spark.read.parquet(f"{out}/metadata").first()["buckets"] == "[0.05,0.1,0.2,0.3,0.5]"
 
     packs = spark.createDataFrame([(1, "US-CA", None, None, "California", None), (2, "MX", None, None, "Mexico", None)], schema.PACKS)
