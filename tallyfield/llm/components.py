@@ -19,6 +19,8 @@ from .shared import Stage
 
 #: Rows of one key from which they are dealt over SALTS tasks; most such keys that are broadcast (those with most rows; adaptive joins split the rest).
 HUB, SALTS, HUBS = 256, 8, 1 << 17
+#: Edges from which a round looks for hubs; the rows of fewer are few for one task.
+SALT_FROM = 200_000
 
 
 def salt(column: str) -> Column:
@@ -35,8 +37,10 @@ def spread(rows: DataFrame, hot: Column) -> DataFrame:
     return rows.withColumn("salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
 
 
-def back(rows: DataFrame, sums: DataFrame, key: str, by: str) -> DataFrame:
-    """Join rows with sums over their key, which hold the number n of its rows, by key and salt."""
+def back(rows: DataFrame, sums: DataFrame, key: str, by: str, many: bool = True) -> DataFrame:
+    """Join rows with sums over their key, which hold the number n of its rows, by key and, if there are many, salt."""
+    if not many:
+        return rows.join(sums.drop("n"), key)
     hubs = sums.filter(F.col("n") >= HUB).orderBy(F.desc("n"), key).limit(HUBS).select(F.col(key).alias("hub"))
     return salted(rows, hubs, key, by).join(spread(sums, F.col("n") >= HUB).drop("n"), [key, "salt"]).drop("salt")
 
@@ -51,13 +55,14 @@ def components(stage: Stage, edges: DataFrame, name: str = "star") -> DataFrame:
     before, k = _state(e), 0
     while before[0]:
         k += 1
+        many = before[0] >= SALT_FROM
         # Large star: each node's larger neighbours hook onto the smallest of its neighbours and itself.
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
-        large = back(both.filter("v > u"), least, "u", "v").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = back(both.filter("v > u"), least, "u", "v", many).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: each node and its smaller neighbours hook onto the smallest of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-        hooked = back(large, least, "u", "v").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        hooked = back(large, least, "u", "v", many).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e2 = stage.write(hooked.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), f"{name}{k}")
         stage.drop(f"{name}{k - 1}")
         e, after = e2, _state(e2)

@@ -257,7 +257,7 @@ def _links(stage: shared.Stage, pairs: DataFrame, segments: DataFrame, name: str
     The fragment of the rarest n-grams comes first: a pair that can't reach the overlap that it needs
     with all of the rest goes no further.
     """
-    hubs = _hubs(pairs)
+    hubs = stage.write(_hubs(pairs), f"hubs_{name}")
     first = _overlaps(pairs.withColumn("fragment", F.lit(0)), segments.filter("part = 0"), hubs, "left")
     reach = F.col("part") + F.least(F.col("nx") - F.col("rx"), F.col("ny") - F.col("ry"))
     first = stage.write(first.filter(reach * (NUM + DEN) >= (F.col("nx") + F.col("ny")) * NUM).select("x", "y", "nx", "ny", "part"), name)
@@ -351,7 +351,7 @@ def join(spark: SparkSession, docs: DataFrame, n: int = N, bits: int = CLASS_BIT
         own = _labelled(index, labels)
         pairs = stage.write(_anchored(own, turn) if turn < ANCHORS else _remaining(own), f"pairs{turn}")
         found = stage.write(_links(stage, pairs, segments, f"open{turn}"), f"links{turn}")
-        stage.drop(f"pairs{turn}", f"open{turn}")
+        stage.drop(f"pairs{turn}", f"open{turn}", f"hubs_open{turn}")
         links = found if links is None else links.unionByName(found)
         labels = components(stage, links, f"star{turn}_")
     stage.drop("segments", "index")

@@ -107,6 +107,7 @@ def test_jaccard_join_of_a_hub(spark, monkeypatch):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(6)
     monkeypatch.setattr(jaccard_join, "HUB", 4)
     monkeypatch.setattr(components, "HUB", 4)
+    monkeypatch.setattr(components, "SALT_FROM", 1)
     got = {r.doc_id: r.component_id for r in jaccard_join.join(spark, docs).collect()}
     rows = [r for r in docs.collect() if not 1 <= r.doc_id < 1000]
     want = {int(i): int(c) for i, _, c in brute_components(rows)}
