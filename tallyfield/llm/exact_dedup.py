@@ -8,8 +8,8 @@ first bytes split every run, so a round's merges spread over the cluster and the
 one task. The final identifiers then travel down the same tree. A digest has at most one row a run,
 so a group of copies of any size puts at most 2^BITS rows into any merge.
 
-Defined cases: a null text counts as empty; a null doc_id ranks below every other; among rows that
-repeat both doc_id and text one stays; an empty table gives no rows; other columns are ignored.
+Defined cases: a null text counts as empty; a text of any length is digested whole; a null doc_id ranks below every
+other; among rows that repeat both doc_id and text (the only ties) one stays; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -11,9 +11,9 @@ A source may hold a third of all rows, so its order is never made in one task: k
 BUCKETS equal-probability buckets per source, bucket sums are prefix-summed, and only the rows of a
 source's boundary bucket are sorted.
 
-Defined cases: a null text has size 0; a null source is a source of its own, the last; an empty
-table gives no rows; repeated rows count each, and ties of key go by doc_id, then size; a null
-doc_id has the key of the empty text; null or non-positive weights count as 1; other columns are ignored.
+Defined cases: a null text has size 0, a text of any length is counted whole; a null source is a source of its
+own, the last; an empty table gives no rows; repeated rows count each, and ties of key go by doc_id, then size; a
+null doc_id has the key of its text's digest; null or non-positive weights count as 1; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,9 +35,9 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(rf"[^{shared.SPACE}]++")).cast("bigint")
 
 
-def uniform(doc_id: Column, seed: str) -> Column:
-    """In (0, 1), from the digest of the id: the same on every run."""
-    digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(f"/{seed}")).cast("binary"))
+def uniform(name: Column, seed: str) -> Column:
+    """In (0, 1), from the digest of a string: the same on every run."""
+    digest = F.md5(F.concat(name, F.lit(f"/{seed}")).cast("binary"))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / 2.0**52
 
 
@@ -68,13 +68,15 @@ def mix(spark: SparkSession, docs: DataFrame, weight: DataFrame | None = None, s
     weight: (doc_id, weight), a row for each weighted document.
     """
     stage = shared.Stage(spark, "mixing")
-    rows = shared.texts(docs, F.col("source").cast("string").alias("source")).select("doc_id", "source", n_words(F.col("text")).alias("size"))
+    rows = shared.texts(docs, F.col("source").cast("string").alias("source"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.col("text").cast("binary")))
+    rows = rows.select("doc_id", "source", n_words(F.col("text")).alias("size"), uniform(name, seed).alias("u"))
     if weight is not None:
         rows = rows.join(weight.select("doc_id", "weight"), "doc_id", "left")
     else:
         rows = rows.withColumn("weight", F.lit(1.0))
     w = F.when(F.col("weight") > 0, F.col("weight")).otherwise(F.lit(1.0)).cast("double")
-    key = -F.log(uniform(F.col("doc_id"), seed)) / w
+    key = -F.log("u") / w
     # 1 - exp(-key) grows with the key and is spread over (0, 1).
     bucket = F.floor((1.0 - F.exp(-key)) * BUCKETS).cast("int")
     base = stage.write(rows.select("doc_id", "source", "size", key.alias("key"), bucket.alias("bucket")), "sizes")
@@ -88,6 +90,7 @@ def mix(spark: SparkSession, docs: DataFrame, weight: DataFrame | None = None, s
     a, b = placed.alias("a"), aims.alias("b")
     plan = a.join(b, F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.source", "a.bucket", "before", "bucket_size", "source_size", "target", "epochs", "rest")
     plan = stage.write(plan, "plan")  # at most BUCKETS rows a source
+    stage.drop("sums")
     edge = (F.col("before") < F.col("rest")) & (F.col("before") + F.col("bucket_size") > F.col("rest"))
     d, p = base.alias("d"), plan.alias("p")
     joined = d.join(p, F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.bucket") == F.col("p.bucket"))).select(

@@ -110,6 +110,33 @@ def test_mixing(spark, edge):
     assert mixing.mix(spark, docs.limit(0)).count() == 0
 
 
+def test_mixing_ties_and_clashes(spark, edge):
+    """Rows that repeat an id share a key and are ordered by size; null ids don't share one; other columns are ignored."""
+    rows = [(None, "x " * k, "a") for k in range(1, 9)] + [(7, "y", "a"), (7, "y y", "a"), (7, "y y", "a")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    for c in ("size", "key", "bucket", "target", "u", "rest"):
+        docs = docs.withColumn(c, F.lit("x"))
+    got = mixing.mix(spark, docs.unionByName(spark.createDataFrame([(9, "z " * 200, "b")], "doc_id bigint, text string, source string"), allowMissingColumns=True)).collect()
+    a = [r for r in got if r.source == "a"]
+    assert len(a) == 11 and abs(sum(r.taken for r in a) - a[0].target) <= 1 and all(0 <= r.taken <= 2 * r["size"] for r in a)
+    again = mixing.mix(spark, docs.repartition(5)).collect()
+    assert sorted((str(r.doc_id), r["size"], r.taken) for r in again) == sorted((str(r.doc_id), r["size"], r.taken) for r in mixing.mix(spark, docs).collect())
+    assert mixing.mix(spark, edge).count() == edge.count()
+
+
+def test_clashing_columns(spark, edge):
+    """Operators take tables with columns of names that they use inside, and very long texts."""
+    from tallyfield.llm import decontaminate, shared
+
+    items = spark.createDataFrame([(1, "one two")], "item_id bigint, text string")
+    n = edge.count()
+    assert lm.score(spark, edge, shared.crc_mod(7) == 2).count() == n
+    assert decontaminate.find(spark, edge, items).count() == n
+    assert pii.find(edge).count() == n
+    own = licenses.licenses(spark, edge, licenses.Model([])).collect()
+    assert len(own) == n and {r.n_paragraphs for r in own if r.doc_id in (6, 7)} == {1} and not any(r.licenses for r in own)
+
+
 def test_mixing_prefers_weight(spark):
     docs = spark.range(4000).selectExpr("id as doc_id", "'x y' as text", "if(id < 1000, 'a', 'b') as source")
     weight = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, 4.0).otherwise(1.0).alias("weight"))
