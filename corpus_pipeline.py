@@ -4,6 +4,10 @@ Each stage takes (spark, docs, sf_dir), works on all documents that the one befo
 a DataFrame, which run() writes to the shared folder and rereads. All stages but the last return the
 columns of documents; the last returns the mix: doc_id, size, source_size, target, taken, source of each
 document that is taken (in words; above its size where it is repeated).
+
+Defined cases, in all stages: a null text is empty, a text of any length is read whole, columns beyond those of
+documents are passed on (by all but the last), an empty table gives an empty one. run() reads documents, labels
+and benchmark; rows that repeat both doc_id and text count once from the second stage on.
 """
 
 from __future__ import annotations
@@ -15,28 +19,28 @@ from tallyfield.llm import decontaminate, exact_dedup, jaccard_join, mixing, sha
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose worst window scores under the threshold; the network learns from those kept labels that its query learns from."""
+    """Documents whose worst window scores under the threshold; the network learns from those kept labels that its query learns from. Without labels of both kinds every document stays; an empty text has the score of an empty window; a null doc_id has no label."""
     labels = shared.table(spark, sf_dir, "labels").filter(shared.crc_mod(3) != 1)
     return toxicity.clean_documents(spark, docs, toxicity.learn(docs, labels))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the largest doc_id."""
+    """Of equal texts (null: empty), the document with the largest doc_id; a null doc_id stays only where its copies have none."""
     return exact_dedup.distinct_documents(spark, docs, "largest")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents connected by similar shingle sets, the one with the smallest doc_id."""
+    """Of documents connected by similar shingle sets, the one with the smallest doc_id. Documents without words all stay."""
     return jaccard_join.one_of_each(spark, docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a relevant share of benchmark text."""
+    """Documents without a relevant share of benchmark text; those without words stay, and all stay where the benchmark is empty."""
     return decontaminate.clean_documents(spark, docs, shared.table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes."""
+    """The documents that the mix takes. One without words is never taken; a null source is a source; of equal keys the smaller doc_id comes first."""
     return mixing.mix(spark, docs, mixing.quality(shared.table(spark, sf_dir, "labels"))).filter(F.col("taken") > 0)
 
 
