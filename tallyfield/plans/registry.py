@@ -258,9 +258,10 @@ def finest_regions_anti(t: Tables) -> DataFrame:
     return dims.finest_regions(t.packs)
 
 
-@_query("SELECT * FROM (VALUES ('XX')) AS v(region)")
+@_query("SELECT DISTINCT region FROM (SELECT 'R' || r || '-N' || n AS region FROM (SELECT CAST(n_regionkey % 3 AS VARCHAR) AS r, CAST(n_nationkey AS VARCHAR) AS n FROM nation)) WHERE region NOT IN (SELECT region FROM pk)", "pk")
 def missing_regions(t: Tables) -> DataFrame:
-    wanted = t.packs.select("region").unionByName(t.spark.range(1).select(F.lit("XX").alias("region")))
+    nation = t.spark.read.parquet(f"{t.d}/nation.parquet")
+    wanted = nation.select(F.concat(F.lit("R"), (F.col("n_regionkey") % 3).cast("string"), F.lit("-N"), F.col("n_nationkey").cast("string")).alias("region"))
     return dims.missing_regions(wanted, t.packs)
 
 
@@ -356,9 +357,10 @@ def parse_region_list(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{t.d}/nation.parquet").select("n_name", F.array_join(regions.parse_list(raw), "|").alias("codes"))
 
 
-@_query("SELECT location_id, month, species_id, count(*) AS rows FROM mo GROUP BY 1, 2, 3 HAVING count(*) > 1", "mo")
+@_query("SELECT location_id, month, species_id, count(*) AS rows FROM (SELECT * FROM mo UNION ALL SELECT * FROM mo WHERE species_id % 5 = 0) GROUP BY 1, 2, 3 HAVING count(*) > 1", "mo")
 def key_violations(t: Tables) -> DataFrame:
-    return sinks.violations(t.month_obs, "month_obs")
+    """Of a table in which some rows stand twice."""
+    return sinks.violations(t.month_obs.unionByName(t.month_obs.filter("species_id % 5 = 0")), "month_obs")
 
 
 @_query("SELECT cell, x - coalesce(lag(x) OVER (PARTITION BY cell ORDER BY x), 0) AS step, x AS species_id FROM (SELECT DISTINCT cell, species_id AS x FROM co)", "co")
@@ -397,10 +399,9 @@ def month_mask(t: Tables) -> DataFrame:
     return arrays.month_masks(t.month_obs, "location_id", "species_id")
 
 
-@_query("SELECT id, lat, lng FROM hot WHERE lat BETWEEN -90 AND 90 AND lng IS NOT NULL", "hot")
+@_query("SELECT id, round_even(lat / 7 * 1000, 0) / 1000 AS lat, round_even(lng / 7 * 1000, 0) / 1000 AS lng FROM hot", "hot")
 def coordinates_rounded(t: Tables) -> DataFrame:
-    own = t.hotspots.filter("lat between -90 and 90 and lng is not null")
-    return own.select("id", geo.round3(F.col("lat") + 0.0001).alias("lat"), geo.round3(F.col("lng") - 0.0001).alias("lng"))
+    return t.hotspots.select("id", geo.round3(F.col("lat") / 7).alias("lat"), geo.round3(F.col("lng") / 7).alias("lng"))
 
 
 @_query(f"SELECT location_id, species_id, {sql.level('score')} AS bucket_level FROM yo", "yo")
