@@ -67,12 +67,21 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def _session(env: dict[str, str]) -> SparkSession:
+    """A session; on one machine with the threads, memory and temporary folder of the settings, where they are given."""
+    build = SparkSession.builder.appName("tallyfield").config("spark.sql.session.timeZone", "UTC")
+    for name, key in (("MEMORY_LIMIT", "spark.driver.memory"), ("TEMP_DIRECTORY", "spark.local.dir")):
+        if env.get(name):
+            build = build.config(key, env[name].replace(" ", "").replace("GB", "g").replace("MB", "m"))
+    return (build.master(f"local[{env['THREADS']}]") if env.get("THREADS") else build).getOrCreate()
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     env = readers.load_env(args.env)
     if "resolutions" in args:
         geo.check_resolutions(args.resolutions)
-    own = spark or SparkSession.builder.appName("tallyfield").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    own = spark or _session(env)
     root = getattr(args, "output", None) or env.get("OUTPUT_PATH", "outputs")
     if args.step.startswith("extract-"):
         kind = args.step.removeprefix("extract-")
@@ -83,7 +92,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         if args.step == "grid":
             pipeline.build_grid(own, c, o, s, root, args.version, args.resolutions)
         else:
-            z = args.wilson_z or float(env.get("WILSON_SCORE_Z_INDEX", Z))
+            z = float(env.get("WILSON_SCORE_Z_INDEX", Z)) if args.wilson_z is None else args.wilson_z
             pipeline.build_targets(own, c, o, s, root, args.version_year, args.version_month, z)
     elif args.step == "occurrences":
         pipeline.build_occurrences(own, args.targets, root, args.version_year, args.version_month, tuple(args.zone_res))

@@ -12,13 +12,13 @@ def release_month(day: Column) -> Column:
 
 
 def month_options(day: Column) -> Column:
-    """array<struct<label, abbreviation, year>>: the current release and the one before."""
+    """array<struct<label, month, year>>: the current release and the one before; a label reads "Current (May 2024)"."""
     newest = release_month(day)
 
     def one(label: str, d: Column) -> Column:
-        return F.struct(F.lit(label).alias("label"), F.date_format(d, "MMM").alias("month"), F.date_format(d, "yyyy").alias("year"))
+        return F.struct(F.concat(F.lit(f"{label} ("), F.date_format(d, "MMM yyyy"), F.lit(")")).alias("label"), F.date_format(d, "MMM").alias("month"), F.date_format(d, "yyyy").alias("year"))
 
-    return F.array(one("current", newest), one("previous", F.add_months(newest, -1)))
+    return F.array(one("Current", newest), one("Previous", F.add_months(newest, -1)))
 
 
 def slug(month: Column, year: Column) -> Column:
@@ -32,13 +32,14 @@ def object_path(base: Column, *parts: Column) -> Column:
 
 
 def format_duration(seconds: float) -> str:
-    s = int(seconds)
-    h, m = divmod(s // 60, 60)
-    return f"{h}h {m}m {s % 60}s" if h else f"{m}m {s % 60}s" if m else f"{seconds:.1f}s"
+    """Seconds below a minute, minutes and seconds below an hour, else hours and minutes."""
+    minutes, rest = divmod(seconds, 60)
+    hours, left = divmod(int(minutes), 60)
+    return f"{hours}h {left}m" if hours else f"{left}m {rest:.0f}s" if left else f"{seconds:.1f}s"
 
 
 def format_size(n: int) -> str:
-    size, units = float(n), ["B", "KB", "MB", "GB", "TB"]
+    size, units = float(n), ["B", "KB", "MB", "GB", "TB", "PB"]
     while size >= 1024 and len(units) > 1:
         size /= 1024
         units.pop(0)

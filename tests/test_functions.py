@@ -80,10 +80,12 @@ def test_release_calendar(spark):
     assert f(datetime.date(2024, 7, 14)) == datetime.date(2024, 5, 1)
     assert f(datetime.date(2024, 7, 15)) == datetime.date(2024, 6, 1)
     assert f(datetime.date(2024, 1, 31)) == datetime.date(2023, 12, 1)
+    options = one(spark, calendar.month_options(F.lit(datetime.date(2024, 7, 15))))[0]
+    assert [tuple(x) for x in options] == [("Current (Jun 2024)", "Jun", "2024"), ("Previous (May 2024)", "May", "2024")]
 
 
 def test_formats():
-    assert calendar.format_size(1536) == "1.5 KB" and calendar.format_duration(3725) == "1h 2m 5s"
+    assert calendar.format_size(1536) == "1.5 KB" and [calendar.format_duration(x) for x in (3725, 65.4, 9.96)] == ["1h 2m", "1m 5s", "10.0s"] and calendar.format_size(1 << 50) == "1.0 PB"
     assert readers.parse_env("# x\nA=1\nexport B='two words'\n\nC=\"q\"\nbad\n") == {"A": "1", "B": "two words", "C": "q"}
 
 
