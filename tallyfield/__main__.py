@@ -60,7 +60,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--version-year", required=True)
     p.add_argument("--version-month", required=True)
     p = step("packs", "targets", "output", "packs", "hotspots", "names")
-    p.add_argument("--version", required=True)
+    p.add_argument("--version", help="mon-yyyy")
+    p.add_argument("--beta", action="store_true", help="a build of the fixed version beta, beside the releases")
     p.add_argument("--base-url", default="")
     p.add_argument("--res", type=int)
     p.add_argument("--regions", default="", help="parted by commas or spaces; all without it")
@@ -97,10 +98,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif args.step == "occurrences":
         pipeline.build_occurrences(own, args.targets, root, args.version_year, args.version_month, tuple(args.zone_res))
     else:
+        if not (args.beta or args.version):
+            raise SystemExit("packs: --version or --beta")
         only = [x.upper() for x in args.regions.replace(",", " ").split()]
         api = readers.read_api_hotspots(own, args.hotspots)
         packs = readers.read_packs(own, args.packs)
-        pipeline.build_packs(own, args.targets, root, packs, packs_of(api, packs), readers.read_region_names(own, args.names), args.version, args.base_url, args.res, only or None)
+        pipeline.build_packs(own, args.targets, root, packs, packs_of(api, packs), readers.read_region_names(own, args.names), "beta" if args.beta else args.version, args.base_url, args.res, only or None)
 
 
 if __name__ == "__main__":
