@@ -26,11 +26,11 @@ def samples(checklists: DataFrame) -> DataFrame:
 def observed(observations: DataFrame, species: DataFrame) -> DataFrame:
     """location_id, month, species_id, obs; names that the taxonomy lacks are dropped.
 
-    Counted by name before the species join, on rows that are already one a checklist.
+    The taxonomy (some ten thousand names) is broadcast, so rows are grouped by numbers instead of names.
     """
-    rows = observations.select("location_id", _month().alias("month"), "sci_name", dedupe_key(F.col("group_id"), F.col("event_id")).alias("k"))
-    counts = rows.filter("month is not null").groupBy("location_id", "month", "sci_name").agg(F.count_distinct("k").alias("obs"))
-    return counts.join(species.select("sci_name", F.col("id").alias("species_id")), "sci_name").select("location_id", "month", "species_id", "obs")
+    known = observations.join(F.broadcast(species.select("sci_name", F.col("id").alias("species_id"))), "sci_name")
+    rows = known.select("location_id", _month().alias("month"), "species_id", dedupe_key(F.col("group_id"), F.col("event_id")).alias("k"))
+    return rows.filter("month is not null").groupBy("location_id", "month", "species_id").agg(F.count_distinct("k").alias("obs"))
 
 
 def matched(observed_: DataFrame, samples_: DataFrame) -> DataFrame:

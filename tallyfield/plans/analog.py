@@ -34,8 +34,8 @@ def locations(spark: SparkSession, d: str) -> DataFrame:
         F.when(k % 77 == 0, F.lit("")).otherwise(country).alias("country_code"),
         F.when(k % 77 == 0, F.lit("")).otherwise(state).alias("state_code"),
         county.alias("county_code"),
-        F.when(k % 13 != 0, ((k * 37) % 18000) / 100.0 - 90).alias("lat"),
-        (((k * 91) % 36000) / 100.0 - 180).alias("lng"),
+        F.when(k % 13 != 0, ((k * 37) % 18000) / 100.0 - 90).cast("string").alias("lat"),
+        (((k * 91) % 36000) / 100.0 - 180).cast("string").alias("lng"),
     )
 
 
@@ -47,7 +47,7 @@ def raw_checklists(spark: SparkSession, d: str) -> DataFrame:
     values = {
         "location_id": F.col("l_suppkey").cast("string"), "locality": F.col("locality"), "locality_type": F.col("locality_type"), "observed_on": F.col("day").cast("string"),
         "event_id": F.col("l_orderkey").cast("string"), "group_id": _group("l_orderkey"), "country_code": F.col("country_code"), "state_code": F.col("state_code"),
-        "county_code": F.col("county_code"), "lat": F.col("lat").cast("string"), "lng": F.col("lng").cast("string"),
+        "county_code": F.col("county_code"), "lat": F.col("lat"), "lng": F.col("lng"),
     }
     complete = F.when(F.col("l_orderkey") % 17 == 0, "0").otherwise("1").alias(schema.COMPLETE)
     return x.select(*[values[v].alias(k) for k, v in schema.CHECKLIST_COLUMNS.items()], complete)
