@@ -37,7 +37,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import shared, sketches, words
-from .components import HUB, HUBS, back, components, salted, spread
+from .components import HUB, HUBS, back, components, salt, spread
 
 N = 5
 #: Linked if DEN * intersection >= NUM * union.
@@ -239,16 +239,30 @@ def _hubs(pairs: DataFrame) -> DataFrame:
     return n.orderBy(F.desc("n"), "x").limit(HUBS).select(F.col("x").alias("hub"))
 
 
-def _overlaps(pairs: DataFrame, segments: DataFrame, hubs: DataFrame, how: str) -> DataFrame:
-    """Of (x, y, nx, ny, fragment): part, the overlap in the fragment, and the sizes there (rx, ry). The side that many pairs share travels last, salted where it is a hub."""
-    y = pairs.join(segments.alias("s"), (F.col("y") == F.col("s.cls")) & (F.col("fragment") == F.col("s.part")), how).select("x", "y", "nx", "ny", "fragment", F.col("grams").alias("own"))
-    y = salted(y, hubs, "x", "y")
-    x = segments.join(F.broadcast(hubs), F.col("cls") == F.col("hub"), "left")
-    x = spread(x, F.col("hub").isNotNull()).drop("hub").withColumnRenamed("salt", "salt_")
-    both = y.join(x.alias("s"), (F.col("x") == F.col("s.cls")) & (F.col("fragment") == F.col("s.part")) & (F.col("salt") == F.col("s.salt_")), how)
-    size = lambda c: F.coalesce(F.size(c), F.lit(0))
-    part = F.when(F.col("own").isNotNull() & F.col("grams").isNotNull(), F.size(F.array_intersect("own", "grams"))).otherwise(F.lit(0))
-    return both.select("x", "y", "nx", "ny", "fragment", part.alias("part"), size("grams").alias("rx"), size("own").alias("ry"))
+def _unique(segments: DataFrame) -> DataFrame:
+    """One segment a class and fragment: copies that the filter let pass go. The exchange is the one that joins on both need, and is shared by them."""
+    return segments.repartition("cls", "part").groupBy("cls", "part").agg(F.any_value("grams").alias("grams"))
+
+
+def _overlaps(pairs: DataFrame, segments: DataFrame, hubs: DataFrame | None, how: str) -> DataFrame:
+    """Of (x, y, nx, ny, fragment): part, the overlap in the fragment, and the sizes there (rx, ry). The side that many pairs share travels last, that of a hub salted."""
+    one = _unique(segments)
+
+    def both(own: DataFrame, x: DataFrame, *more: str) -> DataFrame:
+        y = own.join(one.alias("s"), (F.col("y") == F.col("s.cls")) & (F.col("fragment") == F.col("s.part")), how).select(*own.columns, F.col("grams").alias("own"))
+        on = (F.col("x") == F.col("s.cls")) & (F.col("fragment") == F.col("s.part"))
+        for c in more:
+            on = on & (F.col(c) == F.col(f"s.{c}_"))
+        size = lambda c: F.coalesce(F.size(c), F.lit(0))
+        part = F.when(F.col("own").isNotNull() & F.col("grams").isNotNull(), F.size(F.array_intersect("own", "grams"))).otherwise(F.lit(0))
+        return y.join(x.alias("s"), on, how).select("x", "y", "nx", "ny", "fragment", part.alias("part"), size("grams").alias("rx"), size("own").alias("ry"))
+
+    if hubs is None:
+        return both(pairs, one)
+    is_hub = F.col("x") == F.col("hub")
+    cold, hot = pairs.join(F.broadcast(hubs), is_hub, "left_anti"), pairs.join(F.broadcast(hubs), is_hub, "left_semi").withColumn("salt", salt("y"))
+    held = spread(one.join(F.broadcast(hubs), F.col("cls") == F.col("hub"), "left_semi"), F.lit(True)).withColumnRenamed("salt", "salt_")
+    return both(cold, one).unionByName(both(hot, held, "salt"))
 
 
 def _links(stage: shared.Stage, pairs: DataFrame, segments: DataFrame, name: str) -> DataFrame:
@@ -258,6 +272,7 @@ def _links(stage: shared.Stage, pairs: DataFrame, segments: DataFrame, name: str
     with all of the rest goes no further.
     """
     hubs = stage.write(_hubs(pairs), f"hubs_{name}")
+    hubs = hubs if hubs.count() else None
     first = _overlaps(pairs.withColumn("fragment", F.lit(0)), segments.filter("part = 0"), hubs, "left")
     reach = F.col("part") + F.least(F.col("nx") - F.col("rx"), F.col("ny") - F.col("ry"))
     first = stage.write(first.filter(reach * (NUM + DEN) >= (F.col("nx") + F.col("ny")) * NUM).select("x", "y", "nx", "ny", "part"), name)
@@ -343,8 +358,7 @@ def join(spark: SparkSession, docs: DataFrame, n: int = N, bits: int = CLASS_BIT
     held.unpersist()
     held = spark.sparkContext.broadcast((sketch, pivots(sketch), bits_, other))
     segments = rows.mapInArrow(_segments(held, n, bits), "cls bigint, part int, grams array<bigint>")
-    # Copies that the filter lets pass go: a class has one segment a fragment.
-    segments = stage.write(segments.groupBy("cls", "part").agg(F.any_value("grams").alias("grams")), "segments")
+    segments = stage.write(segments, "segments")
 
     labels, links = None, None
     for turn in range(ANCHORS + 1):
