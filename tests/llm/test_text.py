@@ -334,6 +334,19 @@ def test_context_reaches_over_words(spark):
     assert got[1000] > 0.9 * got[1001] and got[1002] > got[1000]
 
 
+def test_weights_learn_from_all_that_is_counted():
+    """Every training document and every distinct training word; as it was, each eighth document and each 32nd word."""
+    behind = lambda rows, last: sum(lm.sketches._unpack(x)[0] for r in rows for k, x in zip(r["chunk"].to_pylist(), r["counts"].to_pylist(), strict=True) if k == last) / lm.STEPS
+    texts = [f"w{i} some words x{i * i} some" for i in range(40)]
+    held = np.arange(40) % 7 == 2
+    docs = pa.RecordBatch.from_pydict({"part": [0] * 40, "doc_id": range(40), "held_out": held, "text": texts})
+    listed = list(lm._listed(iter([docs.slice(0, 15), docs.slice(15)])))
+    assert behind([listed[-1]], -(-2 * mixer.SLOTS // lm.sketches.CHUNK)) == mixer.BITS * 6 * (~held).sum()
+    own = sorted({w for t in texts for w in t.split()})
+    counted = list(lm._count(iter([pa.RecordBatch.from_pydict({"hash": [words.hash_of(w) % 2**62 for w in own], "word": [w.encode() for w in own]})])))
+    assert behind(counted, 2 * lm.STORED // lm.sketches.CHUNK) == len(own)
+
+
 def test_words():
     own = ["Ab  cD x", "", None, "é\tß", "a" * 300_000]
     got = [[] for _ in own]
