@@ -1,7 +1,9 @@
 """Trained networks: gradients, held-out accuracy on made-up data, the defined cases; and the pipeline."""
 
 import random
+import resource
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -189,6 +191,17 @@ def test_sample_is_bounded(spark, monkeypatch):
     assert shared.train(rows, lambda t: t.num_rows) == 400
 
 
+def test_workers_give_memory_back():
+    """What a task has freed isn't held by its worker, also below a block that lives on."""
+    held_mb = lambda: int(Path("/proc/self/statm").read_text().split()[1]) * resource.getpagesize() / 1e6
+    own = [np.ones(12_000) for _ in range(2000)]
+    last = own.pop()
+    before = held_mb()
+    del own
+    assert list(shared.batches(iter([]))) == [] and len(last)
+    assert before - held_mb() > 100
+
+
 def test_pipeline(spark, near, edge, toxic_model, monkeypatch, tmp_path):
     docs = near.withColumn("lang", F.lit("en")).withColumn("source", F.concat(F.lit("s"), F.col("doc_id") % 4)).withColumn("n_chars", F.length("text").cast("bigint"))
     more = spark.createDataFrame([(5000, "you moron and scum of the stupid " * 3, "en", "s1", 9), (5001, ITEMS[0][1], "en", "s2", 9), (5002, ITEMS[0][1].upper(), "en", "s2", 9), (5003, None, None, None, None)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
