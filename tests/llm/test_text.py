@@ -295,6 +295,45 @@ def test_mixer_equals_plain_numbers():
     assert np.allclose(mixer.code(mixer.Tables(counts), weights, h[alone], doc[alone] * 0, place[alone], context[:, alone], 1, coded[alone]), got[alone], atol=1e-3)
 
 
+def test_words_are_counted_once_with_their_number():
+    """Equal words in equal contexts, counted together, give the counts of all of them bit by bit; those of a long document don't overflow."""
+    rng = np.random.default_rng(6)
+    h = rng.integers(0, 1 << 63, 30, dtype=np.uint64)[np.minimum(rng.geometric(0.2, 5000) - 1, 29)] * np.uint64(2)
+    doc, place = np.zeros(5000, np.int64), np.arange(5000)
+    context = mixer.contexts(h, doc, place, mixer.seen_before(doc, np.unique(h, return_inverse=True)[1]))
+    want, got = mixer.Counts(), mixer.Counts()
+    node, bit = mixer.nodes(mixer.code_of(h))
+    want.add(mixer.slots(context, node), bit.ravel().astype(np.int64))
+    for a in (0, 2000):
+        got.later(context[:, a : a + 3000 if a else 2000], mixer.code_of(h[a : a + 3000 if a else 2000]))
+    assert not got.counts.any()
+    got.settle()
+    got.settle()
+    assert (got.counts == want.counts).all() and got.counts.sum() == 5000 * mixer.BITS * len(mixer.ORDERS)
+    # One word 70,000 times: a count of 16 bits would begin again at nothing.
+    n = 70_000
+    same, doc, place = np.full(n, h[0]), np.zeros(n, np.int64), np.arange(n)
+    context = mixer.contexts(same, doc, place, place)
+    cost = -mixer.code(mixer.Tables(mixer.Counts()), mixer.Mixer(), same, doc, place, context, 1, np.ones(n, bool))
+    assert cost[66_000:].max() <= cost[60_000]
+
+
+def test_blocks_in_tiles(monkeypatch):
+    """Documents foreseen together or apart cost the same and teach the same weights, also those that end in a block."""
+    rng = np.random.default_rng(7)
+    size = rng.integers(1, 700, 20)
+    h, doc = rng.integers(0, 1 << 63, 40, dtype=np.uint64)[rng.integers(0, 40, size.sum())] * np.uint64(2), np.repeat(np.arange(20), size)
+    place = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
+    context = mixer.contexts(h, doc, place, mixer.seen_before(doc, np.unique(h, return_inverse=True)[1]))
+    found = []
+    for tile in (1, 1 << 20):
+        monkeypatch.setattr(mixer, "TILE", tile)
+        counts, weights = mixer.Counts(), mixer.Mixer()
+        mixer.code(mixer.Tables(counts), weights, h, doc, place, context, 20, np.ones(len(h), bool), True, counts)
+        found.append((weights.gated, weights.stage, mixer.code(mixer.Tables(counts), weights, h, doc, place, context, 20, np.ones(len(h), bool))))
+    assert all(np.allclose(a, b, atol=1e-3) for a, b in zip(*found, strict=True))
+
+
 def test_words_of_a_document():
     """New words, repeated new words, and shares within a code, against plain numbers."""
     ids, known = [5, 5, 7, 5, 9, 9, 7], [True, True, False, True, False, True, False]
