@@ -6,11 +6,12 @@ import subprocess
 import sys
 from pathlib import Path
 
-import duckdb
 import pytest
 
 from tallyfield.plans import registry
 
+duckdb = pytest.importorskip("duckdb")
+
 DATA, REPO = Path("/root/testdata/sf0.001"), Path(__file__).resolve().parent.parent
 TABLES = "region nation customer supplier part orders lineitem".split()
 SAMPLE = ["location_dim", "month_obs", "year_obs", "region_month_obs", "cell_refs", "grid_rollup", "orphan_cells_anti", "loc_meta", "loc_qcount", "zone_species", "loc_cell_ref_left", "lifers", "finest_regions_anti", "month_pivot", "cells_full_outer", "csr_offsets", "release_calendar", "search_prefix", "kcenter", "blob_cache"]
@@ -47,7 +48,8 @@ def test_without_the_optional_parts(tmp_path, pipeline):
     for name in ("__spark_entry__.py", "bench.py", *(["corpus_pipeline.py"] if pipeline else [])):
         shutil.copy(REPO / name, tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'year_obs' in q and 'pipeline' not in q and not any(n.startswith('op') and n[2].isdigit() for n in q); e.oracle_sql()"
-    env = {"PATH": os.environ["PATH"], "PYTHONPATH": str(tmp_path), "HOME": os.environ.get("HOME", "/tmp"), "JAVA_HOME": os.environ.get("JAVA_HOME", "")}
+    old = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p and Path(p).resolve() != REPO]
+    env = os.environ | {"PYTHONPATH": os.pathsep.join([str(tmp_path), *old])}
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=env)
     if pipeline:
         subprocess.run([sys.executable, "-m", "pytest", "-q", "--collect-only", "tests"], cwd=tmp_path, check=True, env=env)
