@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, html_text, jaccard_join, language, licenses, lm, mixing, pii, toxicity
+from . import bpe, decontaminate, exact_dedup, html_text, jaccard_join, language, licenses, lm, mixing, pii, spelling, toxicity, whitening
 
 _BY_NAME = {
     "op1_jaccard_join": jaccard_join,
@@ -15,6 +15,9 @@ _BY_NAME = {
     "op8_mixing": mixing,
     "op9_language": language,
     "op10_pii": pii,
+    "op11_whitening": whitening,
+    "op12_bpe": bpe,
+    "op13_spelling": spelling,
 }
 
 
