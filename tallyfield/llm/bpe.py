@@ -31,28 +31,24 @@ from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, Stru
 from . import shared
 
 #: Bytes of text and tokens that are worked on at once; words that a task remembers; letters of words that go to one recursion.
-TEXT_BYTES, TOKENS, KNOWN, LETTERS = 1 << 22, 1 << 19, 1 << 18, 1 << 18
+TEXT_BYTES, TOKENS, KNOWN, LETTERS = 1 << 22, 1 << 19, 1 << 19, 1 << 17
 
-#: pairs: all neighbours of words with a pair; taken: of neighbours of least rank that overlap, every second from the left.
+#: k is a word's number and the place of a token. miss: the last row before this one whose pair isn't of its word's least rank; so of
+#: pairs of least rank that overlap, every second from the left is taken, and the token behind a taken pair's first is gone.
 CONTRACT = """
 WITH RECURSIVE step AS (
-  SELECT word, place, token, true AS live FROM start
+  SELECT word * 4294967296 + place AS k, token, true AS live FROM start
   UNION ALL
-  SELECT word, place, token, live FROM (
-    SELECT word, place, live, CASE WHEN taken THEN best ELSE token END AS token, lag(taken, 1, false) OVER o AS gone FROM (
-      SELECT word, place, token, best, best IS NOT NULL AS live, coalesce(rank = best AND (i - coalesce(miss, 0)) % 2 = 1, false) AS taken FROM (
-        SELECT *, max(CASE WHEN rank = best THEN NULL ELSE i END) OVER o AS miss FROM (
-          SELECT *, min(rank) OVER (PARTITION BY word) AS best, row_number() OVER o AS i FROM (
-            SELECT word, place, token, merged AS rank FROM (
-              SELECT word, place, token, token * 4294967296 + lead(token) OVER o AS pair FROM step WHERE live WINDOW o AS (PARTITION BY word ORDER BY place)
-            ) LEFT JOIN merges USING (pair)
-          ) WINDOW o AS (PARTITION BY word ORDER BY place)
-        ) WINDOW o AS (PARTITION BY word ORDER BY place ROWS UNBOUNDED PRECEDING)
-      )
-    ) WINDOW o AS (PARTITION BY word ORDER BY place)
-  ) WHERE NOT gone
+  (WITH ranked AS MATERIALIZED (
+    SELECT p.k, p.token, p.i, merged AS rank FROM (
+      SELECT k, token, row_number() OVER o AS i, CASE WHEN lead(k) OVER o >> 32 = k >> 32 THEN token * 4294967296 + lead(token) OVER o END AS pair FROM step WHERE live WINDOW o AS (ORDER BY k)
+    ) p LEFT JOIN merges USING (pair)
+  ), least AS (SELECT k >> 32 AS word, min(rank) AS best FROM ranked GROUP BY 1)
+  SELECT k, CASE WHEN rank = best AND (i - miss) % 2 = 1 THEN best ELSE token END AS token, best IS NOT NULL AS live FROM (
+    SELECT k, token, rank, best, i, coalesce(last_value(CASE WHEN rank = best THEN NULL ELSE i END IGNORE NULLS) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS miss FROM ranked JOIN least ON least.word = ranked.k >> 32
+  ) WHERE (i - miss) % 2 = 1)
 )
-SELECT word, token FROM step WHERE NOT live ORDER BY word, place
+SELECT k >> 32 AS word, token FROM step WHERE NOT live ORDER BY k
 """
 TOGETHER = "SELECT text, string_agg(chars, '' ORDER BY place) AS chars FROM given JOIN vocabulary USING (token) GROUP BY text"
 
@@ -77,11 +73,19 @@ class Vocabulary:
             self.db.register("given", rows)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
-        self.forget()
 
-    def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids, self.ends = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
+        self.ids, self.ends, self.uses = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)], np.zeros(0, np.int64)
+
+    def forget(self) -> None:
+        """Keep the words that most batches of texts had, half of KNOWN at most and none that only one had."""
+        often = np.argsort(-self.uses, kind="stable")[: KNOWN // 2]
+        kept = np.sort(often[self.uses[often] > 1])
+        words, ids, ends = list(self.known), self.ids[0], self.ends[0]
+        self.known = {words[i]: k for k, i in enumerate(kept)}
+        parts = [ids[ends[i] : ends[i + 1]] for i in kept]
+        self.ids, self.ends = [np.concatenate([ids[:0], *parts])], [np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)]
+        self.uses = self.uses[kept]
 
     def contract(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The tokens of all words in a row, and how many each has."""
@@ -121,6 +125,8 @@ class Vocabulary:
         if len(self.ids) > 1:
             self.ids, self.ends = [np.concatenate(self.ids)], [np.concatenate(self.ends)]
         own = np.array([self.known[w] for ws in words for w in ws], np.int64)
+        self.uses = np.pad(self.uses, (0, len(self.known) - len(self.uses)))
+        self.uses[np.unique(own)] += 1
         starts, ends = self.ends[0][own], self.ends[0][own + 1]
         counts = ends - starts
         last = np.cumsum(counts)
