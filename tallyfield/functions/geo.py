@@ -1,19 +1,20 @@
-"""Distances, cluster counts and the hexagon-like grid.
+"""Distances, cluster counts, cell ids and a lattice of quads.
 
-The built-in grid is a lattice of quads with the bit layout of public 64-bit cell ids: mode at bit 59,
-resolution at 52, base cell at 45, then a three-bit digit for each resolution, unused ones 7. Its mode
-differs from that of such ids, so the two can't be mixed up; a library's own grid can be plugged in.
+Cell ids have the bit layout of public 64-bit ones: mode at bit 59, resolution at 52, base cell at 45, then a
+three-bit digit for each resolution, unused ones 7. The modes of the lattice and of the hexagons (`hexgrid`) differ from that of
+such ids and from each other, so they can't be mixed up. Whole builds use hexagons.
 """
 
 from __future__ import annotations
 
-import importlib.util
 from dataclasses import dataclass
+from typing import Protocol
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import hexgrid
+
 EARTH_KM = 6371.0
 MODE, ROWS, COLUMNS, DEPTH = 2, 10, 12, 15
 
@@ -51,7 +52,7 @@ def cell_hex(cell: Column) -> Column:
 
 @dataclass(frozen=True)
 class Lattice:
-    """The built-in grid, in column expressions."""
+    """Quads in latitude and longitude, in column expressions: cheaper than hexagons, but narrow towards the poles."""
 
     def cell(self, lat: Column, lng: Column, res: int) -> Column:
         size = 1 << DEPTH
@@ -80,36 +81,19 @@ class Lattice:
         return (self._steps(cell, res, F.pmod(base, F.lit(COLUMNS)), 0) + 0.5) / float(1 << res) * (360 / COLUMNS) - 180
 
 
-class Library:
-    """The grid of an installed ``h3`` package, through vectorised functions."""
-
-    def cell(self, lat: Column, lng: Column, res: int) -> Column:
-        @F.pandas_udf("bigint")
-        def f(a: pd.Series, b: pd.Series) -> pd.Series:
-            import h3.api.basic_int as h3
-
-            return pd.Series([None if pd.isna(x) or pd.isna(y) else h3.latlng_to_cell(x, y, res) for x, y in zip(a, b, strict=True)], dtype="Int64")
-
-        return f(lat, lng)
+class Grid(Protocol):
+    """What the roll-ups need of a grid; ids have the bit layout that `parent` reads."""
 
-    def _centre(self, cell: Column, k: int) -> Column:
-        @F.pandas_udf("double")
-        def f(c: pd.Series) -> pd.Series:
-            import h3.api.basic_int as h3
+    def cell(self, lat: Column, lng: Column, res: int) -> Column: ...
 
-            return c.map(lambda x: h3.cell_to_latlng(int(x))[k])
+    def lat(self, cell: Column, res: int) -> Column: ...
 
-        return f(cell)
-
-    def lat(self, cell: Column, res: int) -> Column:
-        return self._centre(cell, 0)
-
-    def lng(self, cell: Column, res: int) -> Column:
-        return self._centre(cell, 1)
+    def lng(self, cell: Column, res: int) -> Column: ...
 
 
-def grid(prefer_library: bool = False) -> Lattice | Library:
-    return Library() if prefer_library and importlib.util.find_spec("h3") else Lattice()
+def grid() -> Grid:
+    """The grid of whole builds."""
+    return hexgrid.Hexagons()
 
 
 def check_resolutions(resolutions: list[int], finer_than: int | None = None) -> list[int]:

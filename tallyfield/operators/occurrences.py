@@ -36,7 +36,7 @@ def qcount(levels: DataFrame, *keys: str) -> DataFrame:
     return each.groupBy("bucket", *keys).agg(F.count("*").alias("q_count"))
 
 
-def zone_meta(h3_cells: DataFrame, h3_cell_samples: DataFrame, resolutions: list[int], source_res: int, grid: geo.Lattice | geo.Library, least: int = ZONE_SAMPLES) -> DataFrame:
+def zone_meta(h3_cells: DataFrame, h3_cell_samples: DataFrame, resolutions: list[int], source_res: int, grid: geo.Grid, least: int = ZONE_SAMPLES) -> DataFrame:
     """res, cell_ref (from 0, by cell), h3, lat, lng (of the zone's centre), samples of zones with enough."""
     child = _child_samples(h3_cells, h3_cell_samples, source_res)
     out = None
@@ -69,7 +69,7 @@ def zone_species(h3_cell_obs: DataFrame, children: DataFrame, source_res: int, l
     return zone.filter(ratio >= least).select("res", "species_id", "cell_ref", F.greatest(F.lit(0), bucket_level(ratio, thresholds)).alias("bucket_level"))
 
 
-def loc_zone_h3(meta: DataFrame, resolutions: list[int], grid: geo.Lattice | geo.Library) -> DataFrame:
+def loc_zone_h3(meta: DataFrame, resolutions: list[int], grid: geo.Grid) -> DataFrame:
     """res, loc_ref, h3 of each located hotspot."""
     located = meta.filter("lat is not null and lng is not null")
     out = None

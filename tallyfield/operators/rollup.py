@@ -21,13 +21,13 @@ class Cells:
     regions: DataFrame
 
 
-def cell_dim(dim: DataFrame, res: int, grid: geo.Lattice | geo.Library) -> DataFrame:
+def cell_dim(dim: DataFrame, res: int, grid: geo.Grid) -> DataFrame:
     """location_id, cell, region_code of locations with coordinates."""
     own = dim.filter("cell_lat is not null and cell_lng is not null")
     return own.select("location_id", grid.cell(F.col("cell_lat"), F.col("cell_lng"), res).alias("cell"), F.col("grid_region").alias("region_code"))
 
 
-def cells(observed: DataFrame, samples: DataFrame, dim: DataFrame, res: int, grid: geo.Lattice | geo.Library) -> Cells:
+def cells(observed: DataFrame, samples: DataFrame, dim: DataFrame, res: int, grid: geo.Grid) -> Cells:
     """Observations are not matched with samples here; one join feeds both sums of samples."""
     where = cell_dim(dim, res, grid)
     obs = observed.join(where, "location_id").groupBy("cell", "month", "species_id").agg(F.sum("obs").alias("obs"))
@@ -53,7 +53,7 @@ def winners(regions: DataFrame) -> DataFrame:
     return regions.groupBy("cell").agg(best["region_code"].alias("region_code"))
 
 
-def tables(c: Cells, grid: geo.Lattice | geo.Library) -> dict[str, DataFrame]:
+def tables(c: Cells, grid: geo.Grid) -> dict[str, DataFrame]:
     """h3_cells, h3_cell_obs, h3_cell_samples of a resolution; cells without any region are left out."""
     # The cell's leading bits grow with the cell.
     refs = dense_ids(winners(c.regions), "cell_ref", F.shiftright("cell", 36), [F.col("cell")])

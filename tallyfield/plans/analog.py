@@ -78,3 +78,14 @@ def species(spark: SparkSession, d: str) -> DataFrame:
     x = names.withColumn("id", F.row_number().over(W.orderBy("sci_name")).cast("bigint"))  # a few dozen names
     code = F.when(F.col("id") % 10 == 0, F.lit("")).otherwise(F.concat(F.lit("s"), F.col("id").cast("string")))
     return x.select("id", "sci_name", F.concat(F.lit("Común "), F.col("sci_name")).alias("name"), code.alias("code"), F.col("id").cast("double").alias("taxon_order"), F.lit(None).cast("string").alias("search_codes"))
+
+
+def areas(spark: SparkSession, d: str) -> DataFrame:
+    """A polygon and a circle for each nation; area_id, ring, lat, lng, km."""
+    n = _t(spark, d, "nation").select(F.col("n_nationkey").alias("k"))
+    middle, across = ((F.col("k") * 37) % 121 - 60).cast("double"), ((F.col("k") * 67) % 360 - 180).cast("double")
+    corners = [F.struct((middle + up).alias("lat"), ((across + along + 540) % 360 - 180).alias("lng")) for up, along in ((25, 0), (5, 18), (-20, 12), (-8, -12), (10, -25))]
+    none = F.lit(None).cast("double")
+    polygons = n.select(F.concat(F.lit("P"), "k").alias("area_id"), F.array(*corners).alias("ring"), none.alias("lat"), none.alias("lng"), none.alias("km"))
+    circles = n.select(F.concat(F.lit("C"), "k").alias("area_id"), F.lit(None).cast("array<struct<lat:double,lng:double>>").alias("ring"), ((F.col("k") * 53) % 181 - 90).cast("double").alias("lat"), ((F.col("k") * 101) % 360 - 180).cast("double").alias("lng"), (800 + 100 * F.col("k")).cast("double").alias("km"))
+    return polygons.union(circles)

@@ -44,7 +44,7 @@ def build_targets(spark: SparkSession, checklists: DataFrame, observations: Data
         df.unpersist()
 
 
-def grid_tables(checklists: DataFrame, observations: DataFrame, species: DataFrame, resolutions: list[int], grid: geo.Lattice | geo.Library | None = None) -> dict[str, DataFrame]:
+def grid_tables(checklists: DataFrame, observations: DataFrame, species: DataFrame, resolutions: list[int], grid: geo.Grid | None = None) -> dict[str, DataFrame]:
     """h3_cells, h3_cell_obs, h3_cell_samples over all resolutions, the finest from the source and each coarser from the one before."""
     grid = grid or geo.grid()
     order = geo.check_resolutions(resolutions)
@@ -65,7 +65,7 @@ def build_grid(spark: SparkSession, checklists: DataFrame, observations: DataFra
     sinks.write_table(rows, root, "h3_metadata")
 
 
-def occurrence_tables(tables: dict[str, DataFrame], zone_res: list[int], source_res: int, grid: geo.Lattice | geo.Library | None = None) -> dict[str, DataFrame]:
+def occurrence_tables(tables: dict[str, DataFrame], zone_res: list[int], source_res: int, grid: geo.Grid | None = None) -> dict[str, DataFrame]:
     """tables: year_obs, hotspots, h3_cells, h3_cell_obs, h3_cell_samples."""
     grid = grid or geo.grid()
     meta = occurrences.loc_meta(tables["year_obs"], tables["hotspots"])

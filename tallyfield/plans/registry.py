@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import calendar, geo, regions, score
-from ..operators import arrays, cluster, consumer, counts, dims, occurrences, packs, rollup, search
+from ..functions import calendar, geo, hexgrid, regions, score
+from ..operators import areas, arrays, cluster, consumer, counts, dims, occurrences, packs, rollup, search
 from ..sources import ingest, sinks
 from . import analog, pipeline, sql, stored
 
-RES, ZONES = 6, [4, 3]
+#: Resolution of cells and of zones, and of an area's cover.
+RES, ZONES, DEPTH = 6, [4, 3], 3
 
 
 class Tables:
@@ -43,6 +44,9 @@ class Tables:
     regions = cached_property(lambda t: dims.regions(t.region_samples))
     cells = cached_property(lambda t: rollup.cells(t.observed, t.samples, t.dim, RES, t.grid))
     grid_tables = cached_property(lambda t: rollup.tables(t.cells, t.grid))
+    hexes = cached_property(lambda t: rollup.cells(t.observed, t.samples, t.dim, RES, hexgrid.Hexagons()))
+    hex_tables = cached_property(lambda t: rollup.tables(t.hexes, hexgrid.Hexagons()))
+    areas = cached_property(lambda t: areas.areas(analog.areas(t.spark, t.d)))
     loc_meta = cached_property(lambda t: occurrences.loc_meta(t.year_obs, t.hotspots))
     loc_species = cached_property(lambda t: occurrences.loc_species(t.year_obs, t.loc_meta))
     loc_qcount = cached_property(lambda t: occurrences.qcount(t.loc_species, "loc_ref"))
@@ -351,6 +355,42 @@ def cell_ids(t: Tables) -> DataFrame:
     return x.select("location_id", geo.cell_hex(F.col("cell")).alias("id"), geo.cell_hex(geo.parent(F.col("cell"), 3)).alias("up"))
 
 
+@_query("SELECT location_id, lower(hex(id)) AS id, round(lat, 6) AS lat, round(lng, 6) AS lng FROM hd WHERE k = 6", "hd")
+def hex_cells(t: Tables) -> DataFrame:
+    x = rollup.cell_dim(t.dim, RES, grid := hexgrid.Hexagons()).withColumn("c", grid.centre(F.col("cell")))
+    return x.select("location_id", geo.cell_hex(F.col("cell")).alias("id"), F.round("c.lat", 6).alias("lat"), F.round("c.lng", 6).alias("lng"))
+
+
+@_query(f"SELECT location_id, k AS res, lower(hex(CASE k {' '.join(f'WHEN {k} THEN {sql.parent("id", k)}' for k in range(6))} END)) AS up, round(lat, 6) AS lat, round(lng, 6) AS lng FROM hd WHERE k < 6", "hd")
+def hex_parents(t: Tables) -> DataFrame:
+    """Every coarser cell of a place's cell, and its centre."""
+    grid = hexgrid.Hexagons()
+    ups = F.explode(F.array(*[F.struct(F.lit(k).alias("res"), geo.parent(F.col("cell"), k).alias("up")) for k in range(RES)]))
+    x = rollup.cell_dim(t.dim, RES, grid).select("location_id", ups.alias("u")).select("location_id", "u.*").withColumn("c", grid.centre(F.col("up")))
+    return x.select("location_id", "res", geo.cell_hex(F.col("up")).alias("up"), F.round("c.lat", 6).alias("lat"), F.round("c.lng", 6).alias("lng"))
+
+
+@_query(
+    """, hc AS (SELECT id AS cell, max(lat) AS lat, max(lng) AS lng FROM hd WHERE k = 6 GROUP BY 1 HAVING max(region_code) IS NOT NULL),
+    hl AS (SELECT location_id, id AS cell FROM hd WHERE k = 6),
+    ed AS (SELECT area_id, lats[i] AS y, lngs[i] AS x, lats[i % len(lats) + 1] - lats[i] AS dy, (lngs[i % len(lats) + 1] - lngs[i] + 540) % 360 - 180 AS dx FROM ar, range(1, 6) AS r(i) WHERE lats IS NOT NULL),
+    ins AS (
+      SELECT area_id, cell FROM (SELECT area_id, cell, sum(CASE WHEN (w <= 0) <> (w + dx <= 0) AND y - lat - w / dx * dy > 0 THEN 1 ELSE 0 END) AS n, sum(dx) AS turn, sum(y) AS lats FROM (SELECT *, (((x - lng + 180) % 360) + 360) % 360 - 180 AS w FROM ed, hc) GROUP BY 1, 2)
+      WHERE (n + CASE WHEN abs(turn) > 180 AND lats > 0 THEN 1 ELSE 0 END) % 2 = 1
+      UNION SELECT area_id, cell FROM (SELECT *, power(sin((radians(lat) - radians(clat)) / 2), 2) + cos(radians(clat)) * cos(radians(lat)) * power(sin(radians(lng - clng) / 2), 2) AS h FROM ar, hc WHERE km IS NOT NULL) WHERE 2 * 6371 * atan2(sqrt(h), sqrt(greatest(0, 1 - h))) <= km
+    ),
+    ao AS (SELECT area_id, species_id, month, CAST(sum(obs) AS BIGINT) AS obs FROM oa JOIN hl USING (location_id) JOIN ins USING (cell) GROUP BY 1, 2, 3),
+    am AS (SELECT area_id, month, CAST(sum(samples) AS BIGINT) AS samples FROM sa JOIN hl USING (location_id) JOIN ins USING (cell) GROUP BY 1, 2)
+    SELECT area_id, species_id, month, obs, samples, CAST(obs AS DOUBLE) / samples AS frequency FROM ao JOIN am USING (area_id, month)""",
+    "hd", "ar", "oa", "sa",
+)
+def area_species(t: Tables) -> DataFrame:
+    """Polygons and circles, some across the date line: the most likely species of each month."""
+    t.store("observed", "samples", "dim")
+    held = areas.members(t.hex_tables["h3_cells"], areas.cover(t.areas, DEPTH), RES, DEPTH)
+    return areas.species(t.hex_tables["h3_cell_obs"], t.hex_tables["h3_cell_samples"], held)
+
+
 @_query("SELECT n_name, string_agg(upper(x), '|' ORDER BY i) AS codes FROM (SELECT n_name, unnest(['us', 'ca', n_name]) AS x, unnest([1, 2, 3]) AS i FROM nation) GROUP BY 1")
 def parse_region_list(t: Tables) -> DataFrame:
     raw = F.concat(F.lit(" us, ca ,, "), F.col("n_name"), F.lit(" "))

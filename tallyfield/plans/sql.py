@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions import geo
+from ..functions import geo, hexgrid
 from ..functions.score import BUCKETS, Z
 
 _D = "CAST({} AS DOUBLE)".format
@@ -46,6 +46,51 @@ def _months(value: str, default: str) -> str:
     return "concat_ws(',', " + ", ".join(f"coalesce(CAST(max(CASE WHEN month = {m} THEN {value} END) AS VARCHAR), '{default}')" for m in range(1, 13)) + ")"
 
 
+def _settled(rows: str, keep: str) -> str:
+    """rows: keep, f, a, b, k. A centre in the coordinates of its first face, and the turn on the way."""
+    r, at = hexgrid.RULES, lambda v, i: f"{list(v)}[{i} + 1]"
+    firsts, units = [hexgrid.CORNERS[c] for c in r.first_corner], [hexgrid.UNITS[k] for k in r.turn]
+    ca, cb, ua, ub, ta, tb = (at([x[j] for x in v], i) for v, i in ((firsts, "3 * f + c"), (units, "3 * f + e"), (r.shift, "3 * f + e")) for j in (0, 1))
+    over = f"{ua} * a - {ub} * b + {ta} * sa - {tb} * sb", f"{ua} * b + {ub} * a + {ub} * b + {ta} * sb + {tb} * sa + {tb} * sb"
+    there = f"{ca} * sa - {cb} * sb", f"{ca} * sb + {cb} * sa + {cb} * sb"
+    pick = lambda x, y, z: f"CASE WHEN c IS NOT NULL THEN {x} WHEN e IS NOT NULL THEN {y} ELSE {z} END"
+    return f"""SELECT {keep}, k, {pick(at(r.first, '3 * f + c'), at(r.across, '3 * f + e'), 'f')} AS f, {pick(there[0], over[0], 'a')} AS a, {pick(there[1], over[1], 'b')} AS b, {pick(at(r.first_turn, '3 * f + c'), at(r.turn, '3 * f + e'), '0')} AS turn FROM (
+      SELECT *, CASE WHEN p = 0 AND q = 0 THEN 0 WHEN p = n THEN 1 WHEN q = n THEN 2 END AS c,
+      CASE WHEN p + q > n THEN 0 WHEN p < 0 THEN 1 WHEN q < 0 THEN 2 WHEN p + q = n AND {at(r.across, '3 * f')} < f THEN 0 WHEN p = 0 AND {at(r.across, '3 * f + 1')} < f THEN 1 WHEN q = 0 AND {at(r.across, '3 * f + 2')} < f THEN 2 END AS e FROM (
+        SELECT *, a * (sa + sb) + b * sb AS p, b * sa - a * sb AS q FROM (SELECT *, {at([x for x, _ in r.sides], 'k')} AS sa, {at([y for _, y in r.sides], 'k')} AS sb, {at(r.norms, 'k')} AS n FROM ({rows}))))"""
+
+
+def _hexagons(points: str, res: int) -> str:
+    """location_id, region_code, k, f, a, b, id: the states of a place's cell and of its parents down to k = 0, where id is the cell's. points: location_id, region_code, lat, lng."""
+    r = hexgrid.RULES
+    dots = ", ".join(f"x * {_D(m[0])} + y * {_D(m[1])} + z * {_D(m[2])}" for m in r.middles)
+    share = lambda j: " + ".join(f"{[m[3 * j + i] for m in r.shares]}[f + 1] * {c}" for i, c in enumerate("xyz"))
+    sa, sb = r.sides[res]
+    start = f"""SELECT location_id, region_code, {res} AS k, f, CAST(CASE WHEN da > db AND da > dc THEN -rb - rc ELSE ra END AS BIGINT) AS a, CAST(CASE WHEN db >= da AND db > dc THEN -ra - rc ELSE rb END AS BIGINT) AS b FROM (
+      SELECT *, abs(ra - a) AS da, abs(rb - b) AS db, abs(rc + a + b) AS dc FROM (SELECT *, round_even(a, 0) AS ra, round_even(b, 0) AS rb, round_even(-a - b, 0) AS rc FROM (
+        SELECT location_id, region_code, f, ({sa} * v - {sb} * w) / (u + v + w) AS a, ({sa} * w + {sb} * v + {sb} * w) / (u + v + w) AS b FROM (SELECT *, {share(0)} AS u, {share(1)} AS v, {share(2)} AS w FROM (
+          SELECT *, list_position(d, list_max(d)) - 1 AS f FROM (SELECT *, [{dots}] AS d FROM (
+            SELECT location_id, region_code, cos(radians(lat)) * cos(radians(lng - {_D(hexgrid.TURNED)})) AS x, cos(radians(lat)) * sin(radians(lng - {_D(hexgrid.TURNED)})) AS y, sin(radians(lat)) AS z FROM {points})))))))"""
+    head = (hexgrid.MODE << 59) | (res << 52) | ((1 << 3 * (hexgrid.DEPTH - res)) - 1)
+    ua, ub = ([0, *[x[j] for x in hexgrid.UNITS]] for j in (0, 1))
+    away = f"{r.direction}[(((a + {hexgrid.ROOT} * b) % {hexgrid.NORM}) + {hexgrid.NORM}) % {hexgrid.NORM} + 1]"
+    # (a - ua) + (b - ub)w, times the conjugate of the step, by its norm.
+    up = f"SELECT location_id, region_code, id, d, k - 1 AS k, f, ((a - {ua}[d + 2]) * 3 + (b - {ub}[d + 2])) // 7 AS a, ((b - {ub}[d + 2]) * 2 - (a - {ua}[d + 2])) // 7 AS b FROM (SELECT *, {away} AS d FROM s WHERE k > 0)"
+    step = f"SELECT location_id, region_code, k, f, a, b, id + CASE WHEN d < 0 THEN 0 ELSE (d + turn) % 6 + 1 END * (CAST(1 AS BIGINT) << (3 * ({hexgrid.DEPTH} - k - 1))) AS id FROM ({_settled(up, 'location_id, region_code, id, d')})"
+    first = f"SELECT location_id, region_code, k, f, a, b, CAST({head} AS BIGINT) AS id FROM ({_settled(start, 'location_id, region_code')})"
+    return f"""WITH RECURSIVE s AS ({first} UNION ALL {step})
+      SELECT location_id, region_code, k, f, a, b, max(CASE WHEN k = 0 THEN id + (CAST({r.base}[f * 25 + (a + 2) * 5 + b + 1] AS BIGINT) << 45) END) OVER (PARTITION BY location_id) AS id FROM s"""
+
+
+def hex_centre(rows: str, keep: str) -> str:
+    """keep, lat, lng of states f, a, b, k."""
+    r = hexgrid.RULES
+    part = ["n - p - q", "p", "q"]
+    ends = lambda j: " + ".join(f"({part[i]}) * {[r.corners[face[i]][j] for face in r.faces]}[f + 1]" for i in range(3))
+    return f"""SELECT {keep}, degrees(atan2(z, sqrt(x * x + y * y))) AS lat, CASE WHEN o >= 180 THEN o - 360 ELSE o END AS lng FROM (SELECT *, degrees(atan2(y, x)) + {_D(hexgrid.TURNED)} AS o FROM (SELECT *, {ends(0)} AS x, {ends(1)} AS y, {ends(2)} AS z FROM (
+      SELECT *, a * (sa + sb) + b * sb AS p, b * sa - a * sb AS q FROM (SELECT *, {[x for x, _ in r.sides]}[k + 1] AS sa, {[y for _, y in r.sides]}[k + 1] AS sb, {r.norms}[k + 1] AS n FROM ({rows})))))"""
+
+
 #: name -> (what it reads, text). Each may use those before it.
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "loc": ((), """SELECT *, CASE WHEN k % 77 = 0 THEN '' ELSE c0 END AS country_code, CASE WHEN k % 77 = 0 THEN '' ELSE s0 END AS state_code,
@@ -99,6 +144,12 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
       (SELECT cz.res, cz.cell_ref, species_id, cz.samples, CAST(sum(obs) AS BIGINT) AS obs FROM ho JOIN cz ON ho.cell_ref = child_ref GROUP BY 1, 2, 3, 4) WHERE CAST(obs AS DOUBLE) / CAST(samples AS DOUBLE) >= CAST(0.01 AS DOUBLE)"""),
     "lz": (("lm",), " UNION ALL ".join(f"SELECT {r} AS res, loc_ref, {cell('lat', 'lng', r)} AS h3 FROM lm WHERE lat IS NOT NULL AND lng IS NOT NULL" for r in (4, 3))),
     "lr": (("lz", "zm", "lm"), "SELECT r.res, lm.loc_ref, coalesce(zm.cell_ref, -1) AS cell_ref FROM lm, (SELECT DISTINCT res FROM lz) r LEFT JOIN lz ON lz.res = r.res AND lz.loc_ref = lm.loc_ref LEFT JOIN zm ON zm.res = r.res AND zm.h3 = lz.h3"),
+    "hp": (("dim",), "SELECT location_id, grid_region AS region_code, clat AS lat, clng AS lng FROM dim WHERE clat IS NOT NULL AND clng IS NOT NULL"),
+    "hx": (("hp",), _hexagons("hp", 6)),
+    "hd": (("hx",), hex_centre("SELECT * FROM hx", "location_id, region_code, k, id")),
+    "ar": ((), """SELECT 'P' || k AS area_id, list_transform(range(1, 6), lambda i: c + [25, 5, -20, -8, 10][i]) AS lats, list_transform(range(1, 6), lambda i: (o + [0, 18, 12, -12, -25][i] + 540) % 360 - 180) AS lngs, NULL AS clat, NULL AS clng, NULL AS km
+      FROM (SELECT n_nationkey AS k, CAST((n_nationkey * 37) % 121 - 60 AS DOUBLE) AS c, CAST((n_nationkey * 67) % 360 - 180 AS DOUBLE) AS o FROM nation)
+      UNION ALL SELECT 'C' || n_nationkey, NULL, NULL, CAST((n_nationkey * 53) % 181 - 90 AS DOUBLE), CAST((n_nationkey * 101) % 360 - 180 AS DOUBLE), CAST(800 + 100 * n_nationkey AS DOUBLE) FROM nation"""),
     "pk": (("dim",), "SELECT DISTINCT grid_region AS region FROM dim WHERE grid_region IS NOT NULL UNION SELECT DISTINCT nullif(cy, '') FROM dim WHERE nullif(cy, '') IS NOT NULL"),
 }
 
