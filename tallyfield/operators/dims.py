@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import regions as R
+from ..sources import stored
 
 
 def location_dim(checklists: DataFrame) -> DataFrame:
@@ -44,24 +45,31 @@ def hotspots(dim: DataFrame) -> DataFrame:
     return dim.filter(is_hotspot()).select(F.col("location_id").alias("id"), "name", "country_code", "subnational1_code", "subnational2_code", "region_code", "lat", "lng")
 
 
-def dense_ids(df: DataFrame, name: str, bucket: Column, order: list[Column], within: tuple[str, ...] = (), start: int = 1) -> DataFrame:
-    """Number the rows 0.. or 1.. in an order, for each group of within.
+def dense_ids(df: DataFrame, name: str, order: list[Column], within: tuple[str, ...] = (), start: int = 1) -> DataFrame:
+    """Number the rows 0.. or 1.. in an order, for each group of within. Rows that tie in the whole order are numbered in any way.
 
-    bucket must grow with the order and split it into many parts: rows are numbered within their part,
-    and the parts' sizes are summed, so no task sorts all rows.
+    The rows are ranged over the tasks by the whole order, so many rows that agree in its first columns spread, too, and
+    stored with their place in their task. Then one count for each task (and group) gives what is added. df is
+    computed once, and what is returned reads stored rows.
     """
-    x = df.withColumn("__bucket", bucket)
-    sizes = x.groupBy(*within, "__bucket").agg(F.count("*").alias("__n"))
-    before = W.partitionBy(*within) if within else W.partitionBy(F.lit(0))
-    sizes = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(before.orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    inner = F.row_number().over(W.partitionBy(*within, "__bucket").orderBy(*order))
-    return x.join(sizes, [*within, "__bucket"]).withColumn(name, (F.col("__before") + inner + (start - 1)).cast("bigint")).drop("__bucket", "__before")
+    spark, bits = df.sparkSession, 33
+    keys = [F.col(c) for c in within]
+    # Ranging reads its input twice, to find the bounds and to deal it out.
+    x = stored.store(spark, df, name)
+    x = x.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order).withColumn("__place", F.monotonically_increasing_id())
+    x = stored.store(spark, x, name).withColumn("__task", F.shiftright("__place", bits))
+    parts = x.groupBy(*within, "__task").agg(F.count("*").alias("__n"), F.min("__place").alias("__first"))
+    before = (W.partitionBy(*within) if within else W.partitionBy(F.lit(0))).orderBy("__task").rowsBetween(W.unboundedPreceding, -1)
+    parts = parts.select(*within, "__task", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    # A row for each task, where there are no groups.
+    parts = parts if within else F.broadcast(parts)
+    return x.join(parts, [*within, "__task"]).withColumn(name, (F.col("__before") + F.col("__place") - F.col("__first") + start).cast("bigint")).drop("__place", "__task", "__first", "__before")
 
 
 def regions(samples_by_region: DataFrame) -> DataFrame:
     """Leaf regions with checklists, numbered by code from 1."""
     codes = samples_by_region.select(F.col("region_code").alias("code")).distinct()
-    return dense_ids(codes, "id", F.substring("code", 1, 4), [F.col("code")]).select("id", "code")
+    return dense_ids(codes, "id", [F.col("code")]).select("id", "code")
 
 
 def finest_regions(packs: DataFrame) -> DataFrame:

@@ -18,8 +18,7 @@ def location_totals(year_obs: DataFrame, least: int = LOC_SAMPLES) -> DataFrame:
 def loc_meta(year_obs: DataFrame, hotspots: DataFrame, least: int = LOC_SAMPLES) -> DataFrame:
     """Hotspots with a reference from 0, most samples first, ties by id."""
     own = hotspots.withColumnRenamed("id", "location_id").join(location_totals(year_obs, least), "location_id")
-    # Equal samples make a part: references grow as samples fall.
-    return dense_ids(own, "loc_ref", -F.col("samples"), [F.col("location_id")], start=0).select(
+    return dense_ids(own, "loc_ref", [F.desc("samples"), F.col("location_id")], start=0).select(
         "loc_ref", "location_id", "name", "lat", "lng", "country_code", "subnational1_code", "subnational2_code", "region_code", "samples"
     )
 
@@ -39,13 +38,11 @@ def qcount(levels: DataFrame, *keys: str) -> DataFrame:
 def zone_meta(h3_cells: DataFrame, h3_cell_samples: DataFrame, resolutions: list[int], source_res: int, grid: geo.Grid, least: int = ZONE_SAMPLES) -> DataFrame:
     """res, cell_ref (from 0, by cell), h3, lat, lng (of the zone's centre), samples of zones with enough."""
     child = _child_samples(h3_cells, h3_cell_samples, source_res)
-    out = None
-    for res in geo.check_resolutions(resolutions, source_res):
-        zone = child.withColumn("h3", geo.parent(F.col("h3"), res)).groupBy("h3").agg(F.sum("samples").alias("samples")).filter(F.col("samples") >= least)
-        own = dense_ids(zone, "cell_ref", F.shiftright("h3", 36), [F.col("h3")], start=0)
-        own = own.select(F.lit(res).alias("res"), "cell_ref", "h3", grid.lat(F.col("h3"), res).alias("lat"), grid.lng(F.col("h3"), res).alias("lng"), "samples")
-        out = own if out is None else out.unionByName(own)
-    return out
+    ups = F.array(*[F.struct(F.lit(r).alias("res"), geo.parent(F.col("h3"), r).alias("h3")) for r in geo.check_resolutions(resolutions, source_res)])
+    zone = child.select(F.explode(ups).alias("z"), "samples").groupBy("z.res", "z.h3").agg(F.sum("samples").alias("samples")).filter(F.col("samples") >= least)
+    own = dense_ids(zone, "cell_ref", [F.col("h3")], ("res",), start=0)
+    lat, lng = (F.coalesce(*[F.when(F.col("res") == r, f(F.col("h3"), r)) for r in set(resolutions)]) for f in (grid.lat, grid.lng))
+    return own.select("res", "cell_ref", "h3", lat.alias("lat"), lng.alias("lng"), "samples")
 
 
 def _child_samples(h3_cells: DataFrame, h3_cell_samples: DataFrame, source_res: int) -> DataFrame:
@@ -91,6 +88,8 @@ def lifers(levels: DataFrame, counts: DataFrame, seen: DataFrame, bucket: int) -
     """user_id, loc_ref, lifers: species of the bucket or higher that the user hasn't seen. Places where all are seen have 0."""
     q = counts.filter(F.col("bucket") == bucket).select("loc_ref", "q_count")
     known = levels.filter(F.col("bucket_level") >= bucket).join(seen.distinct(), "species_id").groupBy("user_id", "loc_ref").agg(F.count("*").alias("seen"))
-    users = seen.select("user_id").distinct().withColumn("k", F.lit(1))
-    every = q.withColumn("k", F.lit(1)).join(users, "k").drop("k")
+    # Every user meets every place: users are copied to as many parts as there are tasks, places dealt to them.
+    parts = int(levels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    users = seen.select("user_id").distinct().withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    every = q.withColumn("part", F.pmod(F.xxhash64("loc_ref"), F.lit(parts)).cast("int")).join(users, "part").drop("part")
     return every.join(known, ["user_id", "loc_ref"], "left").select("user_id", "loc_ref", (F.col("q_count") - F.coalesce("seen", F.lit(0))).alias("lifers"))

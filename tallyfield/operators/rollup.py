@@ -55,8 +55,7 @@ def winners(regions: DataFrame) -> DataFrame:
 
 def tables(c: Cells, grid: geo.Grid) -> dict[str, DataFrame]:
     """h3_cells, h3_cell_obs, h3_cell_samples of a resolution; cells without any region are left out."""
-    # The cell's leading bits grow with the cell.
-    refs = dense_ids(winners(c.regions), "cell_ref", F.shiftright("cell", 36), [F.col("cell")])
+    refs = dense_ids(winners(c.regions), "cell_ref", [F.col("cell")])
     res = F.lit(c.res).cast("int").alias("res")
     own = refs.select(res, "cell_ref", F.col("cell").alias("h3"), "region_code", grid.lat(F.col("cell"), c.res).alias("lat"), grid.lng(F.col("cell"), c.res).alias("lng"))
     ref = refs.select("cell", "cell_ref")

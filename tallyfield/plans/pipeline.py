@@ -107,7 +107,7 @@ def blob_vectors(t: dict[str, DataFrame], zone_res: list[int]) -> tuple[DataFram
         put(f"{name}:qcount", "i4", n.select((F.col("size") * len(BUCKETS)).alias("size")), matrix, F.col("bucket") * F.col("size") + at, F.col("q_count"))
         offsets = arrays.csr_offsets(levels, levels.select(F.col("species_id").alias("id")))
         put(f"{name}:spOff", "i4", offsets.agg(F.count("*").alias("size")), offsets, F.col("species_id"), F.col("offset"))
-        ordered, rows = dims.dense_ids(levels, "at", F.col("species_id"), [at], start=0), levels.agg(F.count("*").alias("size"))
+        ordered, rows = dims.dense_ids(levels, "at", [F.col("species_id"), at], start=0), levels.agg(F.count("*").alias("size"))
         put(f"{name}:csrRef", "i4", rows, ordered, F.col("at"), at)
         put(f"{name}:csrLvl", "u1", rows, ordered, F.col("at"), F.col("bucket_level"))
 

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar, geo, hexgrid, regions, score
 from ..operators import areas, arrays, cluster, consumer, counts, dims, occurrences, packs, rollup, search
-from ..sources import ingest, sinks
-from . import analog, pipeline, sql, stored
+from ..sources import ingest, sinks, stored
+from . import analog, pipeline, sql
 
 #: Resolution of cells and of zones, and of an area's cover.
 RES, ZONES, DEPTH = 6, [4, 3], 3
@@ -22,12 +22,19 @@ class Tables:
     """The chain of tables over one folder; each is a plan, built when it is first asked for."""
 
     def __init__(self, spark: SparkSession, d: str):
-        self.spark, self.d, self.grid = spark, d, geo.Lattice()
+        self.spark, self.d, self.grid, self.stored = spark, d, geo.Lattice(), set()
 
     def store(self, *names: str) -> None:
-        """Write tables that a query reads more than once, in order."""
+        """Write tables that a query reads more than once, in order, each once."""
         for name in names:
-            setattr(self, name, stored.store(self.spark, getattr(self, name), name))
+            if name not in self.stored:
+                setattr(self, name, stored.store(self.spark, getattr(self, name), name))
+                self.stored.add(name)
+
+    def after(self, *names: str) -> Tables:
+        """Itself, with these tables stored."""
+        self.store(*names)
+        return self
 
     checklists = cached_property(lambda t: ingest.checklists(analog.raw_checklists(t.spark, t.d)))
     observations = cached_property(lambda t: ingest.observations(analog.raw_observations(t.spark, t.d)))
@@ -43,11 +50,11 @@ class Tables:
     region_obs = cached_property(lambda t: counts.region_obs(t.matched, t.dim))
     regions = cached_property(lambda t: dims.regions(t.region_samples))
     cells = cached_property(lambda t: rollup.cells(t.observed, t.samples, t.dim, RES, t.grid))
-    grid_tables = cached_property(lambda t: rollup.tables(t.cells, t.grid))
+    grid_tables = cached_property(lambda t: rollup.tables(t.after("dim", "samples").cells, t.grid))
     hexes = cached_property(lambda t: rollup.cells(t.observed, t.samples, t.dim, RES, hexgrid.Hexagons()))
-    hex_tables = cached_property(lambda t: rollup.tables(t.hexes, hexgrid.Hexagons()))
+    hex_tables = cached_property(lambda t: rollup.tables(t.after("dim", "samples").hexes, hexgrid.Hexagons()))
     areas = cached_property(lambda t: areas.areas(analog.areas(t.spark, t.d)))
-    loc_meta = cached_property(lambda t: occurrences.loc_meta(t.year_obs, t.hotspots))
+    loc_meta = cached_property(lambda t: occurrences.loc_meta(t.after("dim", "year_obs").year_obs, t.hotspots))
     loc_species = cached_property(lambda t: occurrences.loc_species(t.year_obs, t.loc_meta))
     loc_qcount = cached_property(lambda t: occurrences.qcount(t.loc_species, "loc_ref"))
     zone_meta = cached_property(lambda t: occurrences.zone_meta(t.grid_tables["h3_cells"], t.grid_tables["h3_cell_samples"], ZONES, RES, t.grid))
@@ -386,8 +393,8 @@ def hex_parents(t: Tables) -> DataFrame:
 )
 def area_species(t: Tables) -> DataFrame:
     """Polygons and circles, some across the date line: the most likely species of each month."""
-    t.store("observed", "samples", "dim")
-    held = areas.members(t.hex_tables["h3_cells"], areas.cover(t.areas, DEPTH), RES, DEPTH)
+    t.store("dim", "samples")
+    held = stored.store(t.spark, areas.members(t.hex_tables["h3_cells"], areas.cover(t.areas, DEPTH), RES, DEPTH), "held")
     return areas.species(t.hex_tables["h3_cell_obs"], t.hex_tables["h3_cell_samples"], held)
 
 

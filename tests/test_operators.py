@@ -89,10 +89,31 @@ def test_cells_winner_orphans_rollup(t):
 
 def test_dense_ids(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 3).alias("g"))
-    x = dims.dense_ids(df, "n", F.floor(F.col("id") / 100), [F.col("id")], ("g",), start=0)
+    x = dims.dense_ids(df, "n", [F.col("id")], ("g",), start=0)
     for g in range(3):
         own = [r["n"] for r in x.filter(f"g = {g}").orderBy("id").collect()]
         assert own == list(range(len(own)))
+    assert dims.dense_ids(df.limit(0), "n", [F.col("id")]).count() == 0
+
+
+def test_dense_ids_of_ties_spread(spark):
+    """A first column that never differs: the rows still lie in many tasks, and their source is read once."""
+    df = spark.range(20_000).select(F.lit(7).alias("samples"), F.format_string("%05d", (F.col("id") * 7919) % 20_000).alias("place"))
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    x = dims.dense_ids(df.mapInArrow(seen, df.schema), "n", [F.desc("samples"), F.col("place")])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert runs.value == 20_000
+    got = x.select("n", "place", F.spark_partition_id().alias("p")).collect()
+    assert sorted((r.place, r.n) for r in got) == [(f"{i:05d}", i + 1) for i in range(20_000)]
+    assert runs.value == 20_000 and spark.read.parquet(*{f.rsplit("/", 1)[0] for f in x.inputFiles()}).count() == 20_000
+    assert len(x.inputFiles()) > 1
 
 
 def test_qcount_and_lifers(spark):
