@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -340,6 +340,26 @@ def search_prefix(t: Tables) -> DataFrame:
     return search.search(search.index(t.species), "BRAND 1")
 
 
+#: Words put before names, by number of species, and what is looked for.
+MARKED = ("Việt", "Øre", "Łabędź", "Ǹandú", "Ελλαδα", "Ёжик", "日本")
+WANTED = ("VIET br", "ore", "øre 1", "łabedz brand", "labedz", "nandu", "ελλ", "日 standard", "e", "brand", "s", "viet viet plated tin")
+
+
+def _wanted_sql() -> str:
+    names = f"SELECT id, regexp_split_to_array(lower(strip_accents({list(MARKED)}[id % {len(MARKED)} + 1] || ' ' || sci_name)), '[^\\p{{L}}\\p{{N}}]+') AS t FROM sp"
+    asks = ", ".join(f"('{q}', {search.words_of(q)})" for q in WANTED)
+    return f"SELECT q AS query, id AS species_id FROM (VALUES {asks}) AS a(q, w), ({names}) WHERE len(list_filter(w, lambda x: len(list_filter(t, lambda y: starts_with(y, x))) > 0)) = len(w)"
+
+
+@_query(_wanted_sql(), "sp")
+def search_blocks(t: Tables) -> DataFrame:
+    """Names in several scripts, with and without marks, found through stored posting lists."""
+    names = t.species.withColumn("name", F.concat(F.get(F.array(*[F.lit(w) for w in MARKED]), (F.col("id") % len(MARKED)).cast("int")), F.lit(" "), "sci_name"))
+    held = stored.store(t.spark, search.blocks(search.index(names)), "blocks")
+    out = [search.find(held, q).select(F.lit(q).alias("query"), "species_id") for q in WANTED]
+    return reduce(DataFrame.union, out)
+
+
 @_query("SELECT species_id, month, CAST(o AS BIGINT) AS obs, CAST(s AS BIGINT) AS samples, CAST(o AS DOUBLE) / s AS frequency FROM (SELECT species_id, month, sum(obs) AS o FROM ho WHERE cell_ref % 2 = 0 GROUP BY 1, 2) JOIN (SELECT month, sum(samples) AS s FROM hs WHERE cell_ref % 2 = 0 GROUP BY 1) USING (month)", "ho", "hs")
 def likely_in_area(t: Tables) -> DataFrame:
     area = t.grid_tables["h3_cells"].filter(F.col("cell_ref") % 2 == 0).select("res", "cell_ref")
