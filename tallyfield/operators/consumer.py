@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -13,6 +14,17 @@ def best_locations(obs: DataFrame, species_id: int, k: int, month: int | None =
     return own.orderBy(F.desc("score"), "location_id").limit(k)
 
 
+def best_of_each(obs: DataFrame, k: int) -> DataFrame:
+    """The k locations of best score for every species, with their rank; each task keeps k rows of a species before anything is shuffled."""
+    rank = F.row_number().over(W.partitionBy("species_id").orderBy(F.desc("score"), "location_id"))
+    return obs.withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
+def best_ranked(ranked: DataFrame, species_id: int, k: int) -> DataFrame:
+    """`best_locations` of a table that `sinks.write_ranked` made."""
+    return ranked.filter(F.col("species_id") == species_id).orderBy("less", "location_id").limit(k).drop("less")
+
+
 def likely_in_area(cell_obs: DataFrame, cell_samples: DataFrame, area: DataFrame) -> DataFrame:
     """species_id, month, obs, samples, frequency over the cells (res, cell_ref) of an area: sums first, then the ratio."""
     key = ["res", "cell_ref"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property, reduce
 
@@ -153,6 +154,19 @@ def top_species_locations(t: Tables) -> DataFrame:
     return consumer.best_locations(t.year_obs, 3, 10)
 
 
+@_query("SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY species_id ORDER BY score DESC, location_id) AS INTEGER) AS rank FROM yo) WHERE rank <= 10", "yo")
+def best_of_each_species(t: Tables) -> DataFrame:
+    return consumer.best_of_each(t.year_obs, 10)
+
+
+@_query("SELECT location_id, species_id, obs, samples, score FROM (SELECT *, row_number() OVER (PARTITION BY species_id ORDER BY score DESC, location_id) AS k FROM yo WHERE species_id IN (2, 3, 4)) WHERE k <= 10", "yo")
+def ranked_table(t: Tables) -> DataFrame:
+    """Of three species, each from its bucket of a stored table."""
+    name = f"ranked_{uuid.uuid4().hex}"
+    sinks.write_ranked(t.year_obs, name, stored.passing(t.spark, name))
+    return reduce(DataFrame.union, [consumer.best_ranked(t.spark.table(name), s, 10) for s in (2, 3, 4)])
+
+
 @_query("SELECT count(*) AS rows, count(DISTINCT location_id) AS locations, count(DISTINCT species_id) AS species, CAST(coalesce(sum(obs), 0) AS BIGINT) AS obs FROM ma", "ma")
 def global_counts(t: Tables) -> DataFrame:
     return counts.summary(t.matched)

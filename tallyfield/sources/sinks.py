@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import readers, schema
@@ -16,13 +18,49 @@ def conform(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, root: str, name: str, rows_per_file: int = 5_000_000) -> None:
-    """Write a table ranged and sorted by its key, so that row groups carry tight min/max statistics."""
+    """Write a table ranged and sorted by its key, so that row groups carry tight min/max statistics.
+
+    A repeated or null key fails the write; what stood there before stays until all is written.
+    """
     _, key, by = schema.TABLES[name]
     out = conform(df, name)
     if key:
-        out = out.repartitionByRange(*key).sortWithinPartitions(*key)
-    writer = out.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
-    (writer.partitionBy(*by) if by else writer).parquet(f"{root}/{name}")
+        out = unique(out.repartitionByRange(*key).sortWithinPartitions(*key), name)
+    building = f"{root}/_building-{name}-{uuid.uuid4().hex}"
+    writer = out.write.option("maxRecordsPerFile", rows_per_file)
+    try:
+        (writer.partitionBy(*by) if by else writer).parquet(building)
+    except Exception:
+        _files(df.sparkSession, building, lambda fs, path: fs.delete(path, True))
+        raise
+    _files(df.sparkSession, f"{root}/{name}", lambda fs, path: fs.delete(path, True))
+    moved = _files(df.sparkSession, building, lambda fs, path: fs.rename(path, df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")))
+    if not moved:
+        raise OSError(f"{building} can't be moved to {root}/{name}")
+
+
+def _files(spark: SparkSession, path: str, act):  # noqa: ANN001, ANN202
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return act(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p)
+
+
+def unique(ranged: DataFrame, name: str) -> DataFrame:
+    """The same rows, failing on a key that is null or occurs twice. ranged: by the key, and sorted, so equal keys are neighbours in one task and nothing is shuffled."""
+    key = schema.TABLES[name][1]
+    null = F.exists(F.array(*[F.col(k).isNull() for k in key]), lambda x: x)
+    place = F.row_number().over(W.partitionBy(*key).orderBy(*key))
+    wrong = F.raise_error(F.concat(F.lit(f"{name}: null or repeated key "), F.to_json(F.struct(*key))))
+    return ranged.withColumn("__place", place).filter(F.when((F.col("__place") > 1) | null, wrong.cast("boolean")).otherwise(True)).drop("__place")
+
+
+def write_ranked(df: DataFrame, table: str, path: str, buckets: int = 64, species: str = "species_id", score: str = "score", tie: str = "location_id") -> None:
+    """An external table in buckets by species, best score first: what is asked of one species reads its bucket alone.
+
+    Rows are ranged by species and score before, so a species with many rows is written by many tasks, a file each. less is -score: files are
+    sorted upwards, and the statistics of row groups prune by it.
+    """
+    ranked = df.withColumn("less", -F.col(score)).repartitionByRange(species, "less", tie)
+    ranked.write.mode("overwrite").option("path", path).bucketBy(buckets, species).sortBy(species, "less", tie).saveAsTable(table)
 
 
 def violations(df: DataFrame, name: str) -> DataFrame:

@@ -21,11 +21,16 @@ def folder(spark: SparkSession) -> str:
     return "file://" + tempfile.mkdtemp(prefix="tallyfield-")
 
 
-def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write df and read it back; the table goes when the session ends."""
+def passing(spark: SparkSession, name: str) -> str:
+    """A new path in the folder, which goes when the session ends."""
     path = f"{folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
+def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write df and read it back; the table goes when the session ends."""
+    path = passing(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

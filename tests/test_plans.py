@@ -4,7 +4,10 @@ import datetime
 import json
 import sqlite3
 
+import pytest
+from pyspark.sql import functions as F
 
+from tallyfield.operators import consumer
 from tallyfield.plans import pipeline
 from tallyfield.sources import readers, schema, sinks
 from tallyfield.streaming import incremental
@@ -76,3 +79,45 @@ def test_stream_of_checklists(spark, tmp_path):
     last = sorted(tmp_path.glob("out/v*"), key=lambda p: int(p.name[1:]))[-1]
     got = {(r.location_id, r.month): r.samples for r in spark.read.parquet(str(last)).collect()}
     assert got == {("A", 1): 2, ("B", 2): 1}
+
+
+def test_a_repeated_key_fails_the_write(spark, tmp_path):
+    """The table that was there stays, nothing half-written is left, and the check needs no shuffle of its own."""
+    rows = [("A", 1, 1, 2, 3, 0.5), ("A", 2, 1, 2, 3, 0.4), ("B", 1, 1, 2, 3, 0.3)]
+    kind = "location_id string, month bigint, species_id bigint, obs bigint, samples bigint, score double"
+    good = spark.createDataFrame(rows, kind)
+    sinks.write_table(good, str(tmp_path), "month_obs")
+    for more in (("B", 1, 1, 9, 9, 0.1), (None, 1, 1, 9, 9, 0.1)):
+        with pytest.raises(Exception, match="null or repeated key"):
+            sinks.write_table(good.union(spark.createDataFrame([more], kind)), str(tmp_path), "month_obs")
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "month_obs")).select("location_id", "month").collect())) == [("A", 1), ("A", 2), ("B", 1)]
+    assert [p.name for p in tmp_path.iterdir()] == ["month_obs"]
+    key = schema.TABLES["month_obs"][1]
+    plan = sinks.unique(good.repartitionByRange(*key).sortWithinPartitions(*key), "month_obs")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" in plan
+
+
+def test_ranked_table_reads_one_bucket(spark, tmp_path):
+    """A species with most rows is written by many tasks; a question reads its bucket, and of all species at once each task keeps k rows."""
+    obs = spark.range(20_000).select(F.col("id").cast("string").alias("location_id"), F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 50).alias("species_id"), (F.pmod(F.xxhash64("id"), F.lit(997)) / 997.0).alias("score"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sinks.write_ranked(obs, "ranked_test", str(tmp_path / "r"), buckets=16)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    table = spark.table("ranked_test")
+    got = consumer.best_ranked(table, 7, 10)
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in consumer.best_locations(obs, 7, 10).collect()]
+    assert "TakeOrdered" in got._jdf.queryExecution().executedPlan().toString()
+    own = {r.f.rsplit("/", 1)[1] for r in table.filter("species_id = 7").select(F.input_file_name().alias("f")).distinct().collect()}
+    assert len(own) > 1
+    best = consumer.best_of_each(table.drop("less"), 3)
+    assert "WindowGroupLimit" in best._jdf.queryExecution().executedPlan().toString()
+    assert best.filter("species_id = 7").count() == 3 and best.groupBy("species_id").count().filter("count > 3").count() == 0
+    # Files of the other buckets can't be read any more.
+    (bucket,) = {f.split("_")[-1].split(".")[0] for f in own}
+    others = [f for f in (tmp_path / "r").glob("*.parquet") if f"_{bucket}." not in f.name]
+    for f in others:
+        f.write_bytes(b"x" * f.stat().st_size)
+    assert len(others) > 10 and consumer.best_ranked(spark.table("ranked_test"), 7, 10).count() == 10
+    with pytest.raises(Exception):
+        spark.table("ranked_test").agg(F.sum("score")).collect()
+    spark.sql("DROP TABLE ranked_test")
