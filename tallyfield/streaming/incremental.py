@@ -6,7 +6,7 @@ before anything is summed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -21,18 +21,45 @@ def monthly_samples(checklists: DataFrame, lateness: str = "7 days") -> DataFram
 
 
 def merge_into(df: DataFrame, path: str, checkpoint: str, keys: list[str], value: str) -> StreamingQuery:
-    """Rewrite the table at path with each batch's sums in place of the older ones."""
+    """Keep the table's versions v0, v1, ... at path current: each batch writes the next, with its sums in place of the query's older ones.
+
+    A query with a new checkpoint on a path that has versions adds its sums to those of the newest, which it must not have read itself. A batch that is
+    run again writes its own version again. A version that is missing is an error, never an empty table. Versions before the last two go, but for the one
+    that a query began with.
+    """
+    spark = df.sparkSession
+    start = _start(spark, path, checkpoint)
 
     def one(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        target = f"{path}/v{number}"
-        try:
-            old = spark.read.parquet(f"{path}/v{number - 1}") if number else batch.limit(0)
-        except Exception as e:  # a first batch after a restart has no older version
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            old = batch.limit(0)
-        kept = old.join(batch.select(*keys), keys, "left_anti")
-        kept.unionByName(batch.select(*keys, value)).write.mode("overwrite").parquet(target)
+        spark, n = batch.sparkSession, start + number
+        empty = batch.select(*keys, value).limit(0)
+        base = spark.read.parquet(f"{path}/v{start - 1}") if start else empty
+        old = spark.read.parquet(f"{path}/v{n - 1}") if n else empty
+        before = base.select(*keys, F.col(value).alias("__before"))
+        sums = batch.select(*keys, value).join(before, keys, "left").select(*keys, (F.col(value) + F.coalesce("__before", F.lit(0))).alias(value))
+        kept = old.select(*keys, value).join(batch.select(*keys), keys, "left_anti")
+        kept.unionByName(sums).write.mode("overwrite").parquet(f"{path}/v{n}")
+        for v in range(max(0, n - 2), n - 1):
+            if v != start - 1:
+                fs, p = _handle(spark, f"{path}/v{v}")
+                fs.delete(p, True)
 
     return df.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(one).trigger(availableNow=True).start()
+
+
+def _handle(spark: SparkSession, path: str):  # noqa: ANN202
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _start(spark: SparkSession, path: str, checkpoint: str) -> int:
+    """The version that a query's first batch writes: behind the newest when the query was new, which is noted beside its checkpoint."""
+    note = f"{checkpoint.rstrip('/')}-start"
+    fs, p = _handle(spark, note)
+    if fs.exists(p):
+        return spark.read.parquet(note).first()["start"]
+    fs, p = _handle(spark, path)
+    names = [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+    start = max((int(n[1:]) + 1 for n in names if n[:1] == "v" and n[1:].isdigit()), default=0)
+    spark.range(1).select(F.lit(start).alias("start")).write.parquet(note)
+    return start

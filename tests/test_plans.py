@@ -121,3 +121,36 @@ def test_ranked_table_reads_one_bucket(spark, tmp_path):
     with pytest.raises(Exception):
         spark.table("ranked_test").agg(F.sum("score")).collect()
     spark.sql("DROP TABLE ranked_test")
+
+
+def test_a_stream_goes_on_where_a_table_stands(spark, tmp_path):
+    """A second query adds to the table of the first; a restart goes on; a lost version is an error."""
+    kind = "place string, samples bigint"
+
+    def feed(name, rows):
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+
+    def run(name):
+        stream = spark.readStream.schema(kind).parquet(str(tmp_path / name)).groupBy("place").agg(F.sum("samples").alias("samples"))
+        incremental.merge_into(stream, str(tmp_path / "t"), str(tmp_path / f"{name}-checkpoint"), ["place"], "samples").awaitTermination()
+
+    def table():
+        newest = max((p for p in (tmp_path / "t").iterdir() if p.name.startswith("v")), key=lambda p: int(p.name[1:]))
+        return {r.place: r.samples for r in spark.read.parquet(str(newest)).collect()}
+
+    feed("one", [("A", 1), ("B", 2)])
+    run("one")
+    feed("one", [("A", 5)])
+    run("one")
+    assert table() == {"A": 6, "B": 2}
+    feed("two", [("B", 10), ("C", 3)])
+    run("two")
+    assert table() == {"A": 6, "B": 12, "C": 3}
+    feed("two", [("B", 1)])
+    run("two")
+    assert table() == {"A": 6, "B": 13, "C": 3}
+    newest = max((tmp_path / "t").iterdir(), key=lambda p: p.name)
+    newest.rename(tmp_path / "lost")
+    feed("two", [("B", 1)])
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        run("two")
