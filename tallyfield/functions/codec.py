@@ -60,34 +60,64 @@ def _deltas(keys: Iterable[int]) -> Iterator[int]:
         last = k
 
 
-def encode(cells: Iterable[tuple[int, list[int], list[tuple[int, list[int]]]]], res: int) -> bytes:
-    """cells: (cell, samples (12), [(species, obs (12))])."""
+Cell = tuple[int, list[int], list[tuple[int, list[int]]]]  # cell, samples (12), [(species, obs (12))]
+
+
+def header(n: int, res: int) -> bytes:
+    return MAGIC + bytes([res]) + uvarint(n)
+
+
+def encode_cells(cells: Iterable[Cell], last: int = 0) -> bytes:
+    """What follows a header, or goes on after the cell last."""
     ordered = sorted(cells, key=lambda c: c[0])
-    out = [MAGIC, bytes([res]), uvarint(len(ordered))]
-    for step, (_, samples, species) in zip(_deltas(c[0] for c in ordered), ordered, strict=True):
+    out = []
+    for cell, samples, species in ordered:
         own = sorted(species)
-        out += [uvarint(step), _months(samples), uvarint(len(own))]
+        out += [uvarint(cell - last), _months(samples), uvarint(len(own))]
+        last = cell
         for inner, (_, obs) in zip(_deltas(s for s, _ in own), own, strict=True):
             out += [uvarint(inner), _months(obs)]
     return b"".join(out)
 
 
-def decode(data: bytes) -> tuple[int, list[tuple[int, list[int], list[tuple[int, list[int]]]]]]:
-    """(resolution, cells): the inverse of encode."""
-    if data[:4] != MAGIC:
-        raise ValueError("not a pack")
-    r = Reader(data)
-    r.at = 5
-    cells, cell = [], 0
-    for _ in range(r.number()):
-        cell += r.number()
+def encode(cells: Iterable[Cell], res: int) -> bytes:
+    own = list(cells)
+    return header(len(own), res) + encode_cells(own)
+
+
+def decode_cells(r: Reader, last: int = 0) -> Iterator[Cell]:
+    """The cells up to the end of the bytes."""
+    while r.at < len(r.data):
+        last += r.number()
         samples, species, sid = r.months(), [], 0
         for _ in range(r.number()):
             sid += r.number()
             species.append((sid, r.months()))
-        cells.append((cell, samples, species))
-    return data[4], cells
+        yield last, samples, species
+
+
+def opened(data: bytes) -> tuple[int, int, Reader]:
+    """(resolution, number of cells, what follows) of a pack, or of the first of its pieces."""
+    if data[:4] != MAGIC:
+        raise ValueError("not a pack")
+    r = Reader(data)
+    r.at = 5
+    return data[4], r.number(), r
+
+
+def decode(data: bytes) -> tuple[int, list[Cell]]:
+    """(resolution, cells): the inverse of encode."""
+    res, n, r = opened(data)
+    cells = list(decode_cells(r))
+    if len(cells) != n:
+        raise ValueError(f"{len(cells)} cells instead of {n}")
+    return res, cells
 
 
 def compressed(data: bytes, level: int = 9) -> bytes:
     return gzip.compress(data, level, mtime=0)
+
+
+def expanded(data: bytes) -> bytes:
+    """The inverse of compressed, also of several members in a row."""
+    return gzip.decompress(data)

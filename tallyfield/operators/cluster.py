@@ -1,53 +1,63 @@
-"""Greedy farthest-point (k-center) clustering of each region's points."""
+"""Greedy farthest-point (k-center) clustering of the points of all regions at once."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..sources import stored
+from . import dims
 
+#: Rounds between two writes of the points' distances.
+KEPT = 8
 
-def _km(lat: np.ndarray, lng: np.ndarray, a: float, b: float) -> np.ndarray:
-    p, q = np.radians(lat), np.radians(a)
-    h = np.sin((q - p) / 2) ** 2 + np.cos(p) * np.cos(q) * np.sin(np.radians(b - lng) / 2) ** 2
-    return 2 * geo.EARTH_KM * np.arctan2(np.sqrt(h), np.sqrt(np.maximum(0, 1 - h)))
 
+def _km(c: Column) -> Column:
+    return geo.haversine_km(F.col("lat"), F.col("lng"), c["lat"], c["lng"])
 
-def k_center(lat: np.ndarray, lng: np.ndarray, k: int, start: tuple[float, float] | None = None) -> np.ndarray:
-    """Indexes of up to k centres; all points in their order where k reaches their number. The first is the point nearest to start, without one the first point; each further one is the farthest from those so far among the rest, a duplicate too; ties go to the lowest index."""
-    n = len(lat)
-    if not n or k <= 0:
-        return np.zeros(0, np.int64)
-    if k >= n:
-        return np.arange(n)
-    chosen = [int(np.argmin(_km(lat, lng, *start))) if start else 0]
-    near = np.full(n, np.inf)
-    while len(chosen) < k:
-        near = np.minimum(near, _km(lat, lng, lat[chosen[-1]], lng[chosen[-1]]))
-        near[chosen] = -1.0
-        chosen.append(int(np.argmax(near)))
-    return np.array(chosen, np.int64)
 
+def _nearest() -> Column:
+    """The distance to the nearest centre: that kept, or to one of those since."""
+    return F.least("near", F.array_min(F.transform("fresh", _km)))
 
-def clusters(points: DataFrame) -> DataFrame:
+
+def clusters(points: DataFrame, most: int = 30) -> DataFrame:
     """(region, id, lat, lng[, center_lat, center_lng]) -> region, clusters: array of (lat, lng), rounded, in the order they were found.
 
-    A region is one group of at most its hotspots (id, two numbers); points are taken in order of id.
+    Points are in order of id. The first centre is the point nearest to the region's start, without one the first point; each
+    further one is the farthest from those so far among the rest, a duplicate too; ties go to the lowest point. Where
+    as many are wanted as there are points, they are all points in their order. Points without a place aren't counted, and
+    a region without points has no row.
+
+    Each round finds one more centre in every region that wants one, by an aggregate that begins before the shuffle, so a
+    region's points are never in one task; at most most rounds. What a round adds is a row for each region.
     """
-    given = "center_lat" in points.columns
-    own = points if given else points.withColumns({"center_lat": F.lit(None).cast("double"), "center_lng": F.lit(None).cast("double")})
-    own = own.filter("lat is not null and lng is not null").withColumn("k", geo.desired_clusters(F.count("*").over(Window.partitionBy("region"))))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id", kind="stable")
-        lat, lng = pdf["lat"].to_numpy(), pdf["lng"].to_numpy()
-        first = pdf.iloc[0]
-        start = None if pd.isna(first["center_lat"]) or pd.isna(first["center_lng"]) else (first["center_lat"], first["center_lng"])
-        at = k_center(lat, lng, int(first["k"]), start)
-        found = [[float(np.rint(lat[i] * 1000) / 1000), float(np.rint(lng[i] * 1000) / 1000)] for i in at]
-        return pd.DataFrame({"region": [first["region"]], "clusters": [found]})
-
-    return own.select("region", "id", "lat", "lng", "center_lat", "center_lng", F.col("k").cast("int").alias("k")).groupBy("region").applyInPandas(run, "region string, clusters array<array<double>>")
+    spark = points.sparkSession
+    start = [F.col(c) if c in points.columns else F.lit(None).cast("double").alias(c) for c in ("center_lat", "center_lng")]
+    own = points.filter("lat is not null and lng is not null").select("region", "id", "lat", "lng", *start)
+    x = dims.dense_ids(own, "place", [F.col(c) for c in ("id", "lat", "lng")], within=("region",), start=0)
+    begun = F.coalesce(geo.haversine_km(F.col("lat"), F.col("lng"), F.col("center_lat"), F.col("center_lng")), F.lit(0.0))
+    x = stored.store(spark, x.select("region", "place", "lat", "lng", begun.alias("begun"), F.lit(float("inf")).alias("near")), "points")
+    at = F.struct("place", "lat", "lng")
+    sizes = x.groupBy("region").agg(F.count("*").alias("n"), F.min(F.struct("begun", "place", "lat", "lng")).alias("first"))
+    sizes = sizes.withColumn("k", F.least("n", geo.desired_clusters(F.col("n"), high=most)))
+    one = F.array(F.struct("first.place", "first.lat", "first.lng"))
+    found = stored.store(spark, sizes.select("region", "n", "k", one.alias("centers"), one.alias("fresh")), "centers")
+    whole = x.join(found.filter("k >= n").select("region"), "region", "left_semi").groupBy("region").agg(F.sort_array(F.collect_list(at)).alias("centers"))  # of at most most points
+    rounds = found.filter("k < n").agg(F.max("k")).first()[0] or 0
+    found = found.filter("k < n")
+    for done in range(1, rounds):
+        # The names of what is joined are the same in each round: only the centres change.
+        rest = x.join(found.filter(F.size("centers") < F.col("k")).select("region", "centers", "fresh"), "region").withColumn("near", _nearest())
+        if done % KEPT == 0:
+            x = stored.store(spark, rest.select("region", "place", "lat", "lng", "near"), "points")
+            found = found.withColumn("fresh", F.slice("fresh", 1, 0))
+            rest = x.join(found.select("region", "centers"), "region")
+        free = rest.filter(~F.array_contains(F.col("centers.place"), F.col("place")))
+        far = free.groupBy("region").agg(F.max(F.struct("near", (-F.col("place")).alias("less"), "place", "lat", "lng")).alias("far"))
+        new = F.when(F.col("far").isNotNull(), F.array(F.struct("far.place", "far.lat", "far.lng"))).otherwise(F.slice("centers", 1, 0))
+        both = found.join(far, "region", "left")
+        found = stored.store(spark, both.select("region", "n", "k", F.concat("centers", new).alias("centers"), F.concat("fresh", new).alias("fresh")), "centers")
+    out = found.select("region", "centers").unionByName(whole)
+    return out.select("region", F.transform("centers", lambda c: F.array(geo.round3(c["lat"]), geo.round3(c["lng"]))).alias("clusters"))

@@ -1,7 +1,8 @@
 """Region packs: JSON documents of hotspots, targets and cells, their index, and binary packs.
 
-All packs are made in one plan: each pack's region is matched with the codes at or below it, and rows
-are grouped by pack.
+All packs are made in one plan: each pack's region is matched with the codes at or below it. The rows of a pack are
+numbered in their order and encoded in pieces of so many rows, each a task's; a pack is its pieces, one after another, and
+no task or group holds the rows of a large region.
 """
 
 from __future__ import annotations
@@ -10,13 +11,17 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import codec, geo, regions
-from . import arrays
+from ..sources import stored
+from . import arrays, dims
 
 #: Version of the document layout.
 LAYOUT = 1
+#: Rows of a piece.
+PIECE = 256
 
 
 def codes_of(packs: DataFrame, codes: DataFrame, mode: str) -> DataFrame:
@@ -106,20 +111,32 @@ def hotspot_json() -> Column:
     return F.to_json(F.struct(*must, *[F.col(c).alias(n) for c, n in may]))  # absent ones are null, and left out
 
 
-def documents(updated_at: str, hotspots: DataFrame, targets: DataFrame, cells: DataFrame | None = None, res: int | None = None) -> DataFrame:
-    """region, document: one compact JSON pack for each region with API hotspots."""
+def _pieces(rows: DataFrame, n: int) -> DataFrame:
+    """place -> piece as well. The row before a piece's first is in both: it says how the piece goes on."""
+    return rows.withColumn("piece", F.explode(F.array_distinct(F.array(F.expr(f"place div {n}"), F.expr(f"(place + 1) div {n}")))))
 
-    def gathered(df: DataFrame, key: str, text: Column, name: str) -> DataFrame:
-        rows = df.select("region", F.struct(F.col(key).alias("k"), text.alias("j")).alias("r"))
-        list_ = F.transform(F.sort_array(F.collect_list("r")), lambda r: r["j"])
-        return rows.groupBy("region").agg(F.concat(F.lit("["), F.array_join(list_, ","), F.lit("]")).alias(name))
 
-    x = gathered(hotspots, "id", hotspot_json(), "h").join(gathered(targets, "location_id", target_json(), "t"), "region", "left")
-    parts = [F.lit(f'{{"v":{LAYOUT},"updatedAt":"{updated_at}","hotspots":'), F.col("h"), F.lit(',"targets":'), F.coalesce("t", F.lit("[]"))]
+def documents(updated_at: str, hotspots: DataFrame, targets: DataFrame, cells: DataFrame | None = None, res: int | None = None, piece: int = PIECE) -> DataFrame:
+    """region, piece, document: compact JSON for each region with API hotspots. A document is its pieces in order; a line break may stand between two of them."""
+    regions_ = stored.store(hotspots.sparkSession, hotspots.select("region").distinct(), "packed")
+    # Even parts are what stands around the lists, odd ones their elements.
+    lists = [(hotspots, "id", hotspot_json()), (targets, "location_id", target_json())]
+    marks = [f'{{"v":{LAYOUT},"updatedAt":"{updated_at}","hotspots":[', '],"targets":[']
     if cells is not None:
-        x = x.join(gathered(cells, "id", cell_json(), "c"), "region", "left")
-        parts += [F.lit(f',"h3res":{res},"cells":'), F.coalesce("c", F.lit("[]"))]
-    return x.select("region", F.concat(*parts, F.lit("}")).alias("document"))
+        lists.append((cells, "id", cell_json()))
+        marks.append(f'],"h3res":{res},"cells":[')
+    around = F.array(*[F.struct(F.lit(2 * i).alias("part"), F.lit("").alias("key"), F.lit(m).alias("text")) for i, m in enumerate([*marks, "]}"])])
+    rows = regions_.select("region", F.explode(around).alias("r")).select("region", "r.*")
+    for i, (df, key, text) in enumerate(lists):
+        rows = rows.unionByName(df.join(regions_, "region", "left_semi").select("region", F.lit(2 * i + 1).alias("part"), F.col(key).alias("key"), text.alias("text")))
+    x = dims.dense_ids(rows, "place", [F.col("part"), F.col("key"), F.col("text")], within=("region",), start=0)
+    x = _pieces(x, piece).groupBy("region", "piece").agg(F.sort_array(F.collect_list(F.struct("place", "part", "text"))).alias("rows")).filter(F.element_at("rows", -1)["place"] >= F.col("piece") * piece)
+
+    def written(r: Column, i: Column) -> Column:
+        follows = (r["part"] % 2 == 1) & (F.get(F.col("rows"), i - 1)["part"] % 2 == 1)
+        return F.when(r["place"] < F.col("piece") * piece, "").otherwise(F.concat(F.when(follows, ",").otherwise(""), r["text"]))
+
+    return x.select("region", "piece", F.array_join(F.transform("rows", written), "").alias("document"))
 
 
 def index(packs: DataFrame, hotspots: DataFrame, clusters: DataFrame, base_url: str, version: str) -> DataFrame:
@@ -130,19 +147,49 @@ def index(packs: DataFrame, hotspots: DataFrame, clusters: DataFrame, base_url:
     return x.agg(F.to_json(F.struct(F.lit(version).alias("version"), F.sort_array(F.collect_list(entry)).alias("packs"))).alias("document"))
 
 
-def binary_packs(cells: DataFrame, cell_obs: DataFrame, cell_samples: DataFrame, packs: DataFrame, res: int) -> DataFrame:
-    """region, data: gzipped binary packs of the cells at or below each region."""
+def binary_packs(cells: DataFrame, cell_obs: DataFrame, cell_samples: DataFrame, packs: DataFrame, res: int, piece: int = PIECE) -> DataFrame:
+    """region, piece, data: binary packs of the cells at or below each region. Each piece is a gzip member; a pack is its members in order."""
     where = codes_of(packs, cells.select(F.col("region_code").alias("code")), "strict").withColumnRenamed("code", "region_code")
     own = cells.filter(F.col("res") == res).join(where, "region_code").select("region", "cell_ref", "h3")
     ref = own.select("cell_ref").distinct()
     pick = lambda df: df.filter(F.col("res") == res).join(ref, "cell_ref", "left_semi")
-    rows = own.join(arrays.cell_months(pick(cell_obs), pick(cell_samples), "cell_ref"), "cell_ref").select("region", F.col("h3"), "samples", "species")
+    rows = own.join(arrays.cell_months(pick(cell_obs), pick(cell_samples), "cell_ref"), "cell_ref").select("region", "h3", "samples", "species")
+    x = dims.dense_ids(rows, "place", [F.col("h3")], within=("region",), start=0)
+    total = x.groupBy("region").agg(F.count("*").alias("h3")).select("region", "h3", F.lit(-1).cast("bigint").alias("place"), F.lit(0).cast("bigint").alias("piece"))
+    x = _pieces(x, piece).unionByName(total, allowMissingColumns=True)
 
     def run(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = [(r["h3"], r["samples"], [(s["species_id"], s["obs"]) for s in r["species"]]) for t in tables for r in t.to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()]), pa.array([codec.compressed(codec.encode(found, res))], pa.binary())], names=["region", "data"])
-
-    return rows.groupBy("region").applyInArrow(run, "region string, data binary")
+        at, found, last, head = key[1].as_py(), [], 0, b""
+        for r in (r for t in tables for r in t.to_pylist()):
+            if r["place"] < 0:
+                head = codec.header(r["h3"], res)
+            elif r["place"] < at * piece:
+                last = r["h3"]
+            else:
+                found.append((r["h3"], r["samples"], [(s["species_id"], s["obs"]) for s in r["species"]]))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()]), pa.array([at]), pa.array([codec.compressed(head + codec.encode_cells(found, last))], pa.binary())], names=["region", "piece", "data"])
+
+    return x.groupBy("region", "piece").applyInArrow(run, "region string, piece bigint, data binary")
+
+
+def unpacked(pieces: DataFrame) -> DataFrame:
+    """region, h3, samples, species: what binary packs hold. Pieces are decoded each for itself, then moved on by the cells before them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for region, at, data in zip(*(b.column(c).to_pylist() for c in ("region", "piece", "data")), strict=True):
+                plain = codec.expanded(data)
+                own = codec.opened(plain)[2] if at == 0 else codec.Reader(plain)
+                found = [{"region": region, "piece": at, "step": cell, "samples": samples, "species": [{"species_id": i, "obs": obs} for i, obs in species]} for cell, samples, species in codec.decode_cells(own)]
+                yield pa.RecordBatch.from_pylist(found, kind)
+
+    months = pa.list_(pa.int64())
+    kind = pa.schema([("region", pa.string()), ("piece", pa.int64()), ("step", pa.int64()), ("samples", months), ("species", pa.list_(pa.struct([("species_id", pa.int64()), ("obs", months)])))])
+    x = pieces.select("region", "piece", "data").mapInArrow(run, "region string, piece bigint, step bigint, samples array<bigint>, species array<struct<species_id: bigint, obs: array<bigint>>>")
+    before = W.partitionBy("region").orderBy("piece").rowsBetween(W.unboundedPreceding, -1)  # a row a piece
+    moved = x.groupBy("region", "piece").agg(F.max("step").alias("last")).select("region", "piece", F.coalesce(F.sum("last").over(before), F.lit(0)).alias("before"))
+    return x.join(moved, ["region", "piece"]).select("region", (F.col("before") + F.col("step")).alias("h3"), "samples", "species")
 
 
 def allowed(packs: DataFrame, wanted: list[str]) -> DataFrame:

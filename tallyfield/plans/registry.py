@@ -530,7 +530,39 @@ def kcenter(t: Tables) -> DataFrame:
     return x.select("region", F.posexplode("clusters").alias("place", "c")).select("region", F.col("place").cast("bigint").alias("place"), F.col("c")[0].alias("lat"), F.col("c")[1].alias("lng"))
 
 
-@_query()
+#: Regions of packs with the codes that they hold: in a column of a table, strictly or by any prefix.
+def _held_sql(table: str, loose: bool = False) -> str:
+    below = "lower(x.region_code) LIKE lower(f.region) || '%'" if loose else "(lower(x.region_code) = lower(f.region) OR lower(x.region_code) LIKE lower(f.region) || '-%')"
+    return f"SELECT f.region, x.* FROM (SELECT region FROM pk WHERE NOT EXISTS (SELECT 1 FROM pk c WHERE c.region LIKE pk.region || '-%')) f JOIN {table} x ON {below}"
+
+
+def _pack_sql() -> str:
+    """The text of every document, in pieces."""
+    json = lambda c: f"CAST(to_json({c}) AS VARCHAR)"
+    named = lambda c: f"(SELECT {json(repr('Region ').replace(chr(34), chr(39)) + f' || pk.region')} FROM pk WHERE pk.region = {c})"
+    may = lambda key, text: f"coalesce(',\"{key}\":' || {text}, '')"
+    hotspot = (
+        f"""'{{"id":' || {json('id')} || ',"name":' || {json('name')} || ',"species":0' || {may('lat', 'CAST(lat AS VARCHAR)')} || {may('lng', 'CAST(lng AS VARCHAR)')} || {may('country', json('country_code'))}"""
+        f""" || {may('countryName', f"coalesce({named('country_code')}, {json('country_code')})")} || {may('state', json('subnational1_code'))} || {may('county', json('subnational2_code'))} || {may('stateName', named('subnational1_code'))} || {may('countyName', named('subnational2_code'))} || '}}'"""
+    )
+    row = f"""'["' || code || '",' || {sql.months('obs', '0')} || ']'"""
+    lists = lambda key: f"""(SELECT {key}, string_agg(j, ',' ORDER BY species_id) AS species FROM (SELECT {key}, species_id, {row} AS j FROM {{}} JOIN code ON id = species_id WHERE code <> '' GROUP BY {key}, species_id, code) GROUP BY 1)"""
+    three = lambda c: f"CAST(round_even({c} * 1000, 0) / 1000 AS VARCHAR)"
+    none = ",".join("0" * arrays.MONTHS)
+    return f""", h AS (SELECT region, id AS key, {hotspot} AS text FROM ({_held_sql('hot')})),
+    t AS (SELECT region, location_id AS key, '{{"id":' || {json('location_id')} || ',"samples":[' || samples || '],"species":[' || coalesce(species, '') || ']}}' AS text
+      FROM ({_held_sql('hot', True)}) q JOIN (SELECT location_id, {sql.months('samples', 'null')} AS samples FROM mo GROUP BY 1) ON location_id = q.id LEFT JOIN {lists('location_id').format('mo')} USING (location_id)),
+    c AS (SELECT region, lower(hex(h3)) AS key, '{{"id":"' || lower(hex(h3)) || '","lat":' || {three('lat')} || ',"lng":' || {three('lng')} || ',"samples":[' || coalesce(samples, '{none}') || '],"species":[' || coalesce(species, '') || ']}}' AS text
+      FROM ({_held_sql('ce')}) LEFT JOIN (SELECT cell_ref, {sql.months('samples', '0')} AS samples FROM hs GROUP BY 1) USING (cell_ref) LEFT JOIN {lists('cell_ref').format('ho')} USING (cell_ref)),
+    w AS (SELECT region, 0 AS part, '' AS key, '{{"v":{packs.LAYOUT},"updatedAt":"2024-01-01T00:00:00Z","hotspots":[' AS text FROM h GROUP BY 1
+      UNION ALL SELECT region, 1, key, text FROM h UNION ALL SELECT region, 2, '', '],"targets":[' FROM h GROUP BY 1
+      UNION ALL SELECT region, 3, key, text FROM t WHERE region IN (SELECT region FROM h) UNION ALL SELECT region, 4, '', '],"h3res":{RES},"cells":[' FROM h GROUP BY 1
+      UNION ALL SELECT region, 5, key, text FROM c WHERE region IN (SELECT region FROM h) UNION ALL SELECT region, 6, '', ']}}' FROM h GROUP BY 1)
+    SELECT region, piece, string_agg(text, '' ORDER BY place) AS document FROM (SELECT region, place, CAST(place // {packs.PIECE} AS BIGINT) AS piece, CASE WHEN part % 2 = 1 AND before = part THEN ',' ELSE '' END || text AS text FROM (
+      SELECT *, row_number() OVER o - 1 AS place, lag(part) OVER o AS before FROM w WINDOW o AS (PARTITION BY region ORDER BY part, key, text))) GROUP BY 1, 2"""
+
+
+@_query(_pack_sql(), "pk", "hot", "mo", "code", "ce", "hs", "ho")
 def pack_json(t: Tables) -> DataFrame:
     t.store("dim", "samples", "observed")
     finest = dims.finest_regions(t.packs)
@@ -541,10 +573,16 @@ def pack_json(t: Tables) -> DataFrame:
     return packs.documents("2024-01-01T00:00:00Z", packs.pack_hotspots(_api(t), names), targets, cells, RES)
 
 
-@_query()
+@_query(
+    f"""SELECT region, lower(hex(h3)) AS id, coalesce(samples, '{",".join("0" * arrays.MONTHS)}') AS samples, species_id, obs FROM ({_held_sql("ce")}) LEFT JOIN (SELECT cell_ref, {sql.months("samples", "0")} AS samples FROM hs GROUP BY 1) USING (cell_ref) LEFT JOIN (SELECT cell_ref, species_id, {sql.months("obs", "0")} AS obs FROM ho GROUP BY 1, 2) USING (cell_ref)""", "pk", "ce", "hs", "ho"
+)
 def pack_binary(t: Tables) -> DataFrame:
+    """Every pack, written and read back."""
+    t.store("dim", "samples", "observed")
     g = t.grid_tables
-    return packs.binary_packs(g["h3_cells"], g["h3_cell_obs"], g["h3_cell_samples"], dims.finest_regions(t.packs), RES)
+    pieces = stored.store(t.spark, packs.binary_packs(g["h3_cells"], g["h3_cell_obs"], g["h3_cell_samples"], dims.finest_regions(t.packs), RES), "pieces")
+    x = packs.unpacked(pieces).select("region", geo.cell_hex(F.col("h3")).alias("id"), "samples", F.explode_outer("species").alias("s"))
+    return x.select("region", "id", _text("samples"), "s.species_id", "s.obs").select("region", "id", "samples", "species_id", _text("obs"))
 
 
 def _blob_sql() -> str:

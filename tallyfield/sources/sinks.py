@@ -75,8 +75,14 @@ def write_tsv(df: DataFrame, path: str) -> None:
 
 
 def write_documents(df: DataFrame, path: str) -> None:
-    """(name, document) rows as gzipped text, a directory for each name."""
-    df.repartition("name").sortWithinPartitions("name").select("name", F.col("document").alias("value")).write.mode("overwrite").partitionBy("name").option("compression", "gzip").text(path)
+    """(name, document[, piece]) rows as gzipped text, a directory for each name.
+
+    Pieces are ranged over the tasks, so a large document is written by several, a file each: it is its files in order of
+    their names, joined byte by byte (gzip members may follow one another).
+    """
+    own = df if "piece" in df.columns else df.withColumn("piece", F.lit(0))
+    ranged = own.repartitionByRange("name", "piece").sortWithinPartitions("name", "piece")
+    ranged.select("name", F.col("document").alias("value")).write.mode("overwrite").partitionBy("name").option("compression", "gzip").text(path)
 
 
 def metadata(spark: SparkSession, year: str, month: str, **more: object) -> DataFrame:

@@ -1,12 +1,14 @@
 """The adversarial mini-dataset, and invariants."""
 
 import datetime
+import gzip
+import json
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyfield.functions import geo
+from tallyfield.functions import codec, geo
 from tallyfield.operators import arrays, cluster, counts, dims, occurrences, packs, rollup, search
 from tallyfield.sources import ingest, readers, schema, sinks
 
@@ -154,15 +156,88 @@ def test_csr_and_blobs(spark):
     assert back["k", 4] == 3 and back["h", 0] == 2**62 + 1 and len(back) == 9
 
 
+def k_center(lat, lng, k, start=None):
+    """A plain version of what the rounds find: indexes of up to k centres."""
+    def km(a, b):
+        p, q = np.radians(lat), np.radians(a)
+        h = np.sin((q - p) / 2) ** 2 + np.cos(p) * np.cos(q) * np.sin(np.radians(b - lng) / 2) ** 2
+        return 2 * geo.EARTH_KM * np.arctan2(np.sqrt(h), np.sqrt(np.maximum(0, 1 - h)))
+
+    n = len(lat)
+    if k >= n:
+        return np.arange(n)
+    chosen, near = [int(np.argmin(km(*start))) if start else 0], np.full(n, np.inf)
+    while len(chosen) < k:
+        near = np.minimum(near, km(lat[chosen[-1]], lng[chosen[-1]]))
+        near[chosen] = -1.0
+        chosen.append(int(np.argmax(near)))
+    return np.array(chosen, np.int64)
+
+
 def test_k_center():
     lat, lng = np.array([0.0, 0.0, 0.0, 10.0]), np.array([0.0, 1.0, 1.0, 0.0])
-    assert cluster.k_center(lat, lng, 3, (0.0, 0.1)).tolist() == [0, 3, 1]
+    assert k_center(lat, lng, 3, (0.0, 0.1)).tolist() == [0, 3, 1]
     # Without a start the first point is the first centre; with as many as there are points, all in their order.
-    assert cluster.k_center(lat[::-1], lng[::-1], 2).tolist() == [0, 1]
-    assert cluster.k_center(lat, lng, 9, (9.0, 0.1)).tolist() == [0, 1, 2, 3]
+    assert k_center(lat[::-1], lng[::-1], 2).tolist() == [0, 1]
+    assert k_center(lat, lng, 9, (9.0, 0.1)).tolist() == [0, 1, 2, 3]
     # A duplicate may be a centre.
-    assert cluster.k_center(np.zeros(4), np.zeros(4), 3).tolist() == [0, 1, 2]
-    assert len(cluster.k_center(lat[:0], lng[:0], 3)) == 0
+    assert k_center(np.zeros(4), np.zeros(4), 3).tolist() == [0, 1, 2]
+    assert len(k_center(lat[:0], lng[:0], 3)) == 0
+
+
+def test_clusters_of_all_regions_in_rounds(spark):
+    """Regions with and without a start, of few points and of one place only; points without a place; more rounds than are kept."""
+    rng = np.random.default_rng(3)
+    points = [("few", str(i), float(i), 2.0, None, None) for i in range(3)] + [("one", str(i), 5.0, 6.0, None, None) for i in range(40)] + [("few", "x", None, 1.0, None, None), ("none", "y", None, None, 1.0, 1.0)]
+    for region, n, start in (("start", 300, (10.0, 179.0)), ("free", 90, None)):
+        points += [(region, f"{i:04d}", float(a), float(b), *(start or (None, None))) for i, (a, b) in enumerate(zip(rng.uniform(-80, 80, n), rng.uniform(-180, 180, n), strict=True))]
+    df = spark.createDataFrame(points, "region string, id string, lat double, lng double, center_lat double, center_lng double").repartition(5)
+    got = {r.region: r.clusters for r in cluster.clusters(df).collect()}
+    assert set(got) == {"few", "one", "start", "free"}
+    for region, found in got.items():
+        own = sorted((p for p in points if p[0] == region and p[2] is not None), key=lambda p: p[1])
+        lat, lng = np.array([p[2] for p in own]), np.array([p[3] for p in own])
+        k = max(3, min(30, int(np.ceil(1.5 * np.log2(len(own))))))
+        at = k_center(lat, lng, k, own[0][4:] if own[0][4] is not None else None)
+        assert found == [[float(np.rint(lat[i] * 1000) / 1000), float(np.rint(lng[i] * 1000) / 1000)] for i in at], region
+    assert cluster.clusters(df.filter("false").drop("center_lat", "center_lng")).count() == 0
+
+
+def test_packs_in_pieces(spark, tmp_path):
+    """A pack of many pieces is the same as one of one piece: as text, as files written by several tasks, and as binary members."""
+    hot = spark.createDataFrame([(r, f"h{i:03d}", "Wëst \"x\"", "US", None, None, 1.5, 2.5, 3, "US", None, None) for r, n in (("A", 23), ("B", 1)) for i in range(n)], "region string, id string, name string, country_code string, subnational1_code string, subnational2_code string, lat double, lng double, species bigint, country_name string, state_name string, county_name string")
+    targets = spark.createDataFrame([(r, f"t{i}", [None] * 11 + [i], [("c", [i] * 12)] if i else []) for r in ("A", "X") for i in range(9)], "region string, location_id string, samples array<bigint>, species array<struct<code: string, obs: array<bigint>>>")
+    cells = targets.select("region", F.col("location_id").alias("id"), F.lit(1.5).alias("lat"), F.lit(-0.25).alias("lng"), "samples", "species")
+    whole = {r.region: r.document for r in packs.documents("t", hot, targets, cells, 6).collect()}
+    assert set(whole) == {"A", "B"} and json.loads(whole["B"]) == {"v": 1, "updatedAt": "t", "hotspots": json.loads(whole["A"])["hotspots"][:1], "targets": [], "h3res": 6, "cells": []}
+    a = json.loads(whole["A"])
+    assert [len(a[k]) for k in ("hotspots", "targets", "cells")] == [23, 9, 9] and a["targets"][3]["species"] == [["c", *[3] * 12]] and "\n" not in whole["A"]
+    for n in (1, 4, 5, 23, 46):
+        got = packs.documents("t", hot, targets, cells, 6, n).collect()
+        assert sorted(r.piece for r in got if r.region == "A") == list(range(-(-45 // n)))
+        assert {x: "".join(r.document for r in sorted(got, key=lambda r: r.piece) if r.region == x) for x in whole} == whole
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sinks.write_documents(packs.documents("t", hot, targets, cells, 6, 3).withColumnRenamed("region", "name"), str(tmp_path / "d"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted((tmp_path / "d" / "name=A").glob("*.gz"))
+    assert len(files) > 1 and json.loads(gzip.decompress(b"".join(f.read_bytes() for f in files))) == a
+
+    grid = spark.createDataFrame([(6, i, 1000 + i * i, "A" if i < 30 else "B-C", 0.0, 0.0) for i in range(31)], "res int, cell_ref bigint, h3 bigint, region_code string, lat double, lng double")
+    obs = spark.createDataFrame([(6, i, m, s, i + m) for i in range(0, 31, 2) for m in (1, 12) for s in (2, 300)], "res int, cell_ref bigint, month bigint, species_id bigint, obs bigint")
+    samples = spark.createDataFrame([(6, i, 3, 5) for i in range(31)], "res int, cell_ref bigint, month bigint, samples bigint")
+    regions_ = spark.createDataFrame([("A",), ("B",)], "region string")
+    want = None
+    for n in (1, 7, 30, 256):
+        pieces = packs.binary_packs(grid, obs, samples, regions_, 6, n)
+        got = {r.region: sorted((x.piece, bytes(x.data)) for x in pieces.collect() if x.region == r.region) for r in regions_.collect()}
+        assert len(got["A"]) == -(-30 // n) and len(got["B"]) == 1
+        # Members in a row are one gzip file.
+        res, found = codec.decode(gzip.decompress(b"".join(d for _, d in got["A"])))
+        assert res == 6 and [c for c, _, _ in found] == [1000 + i * i for i in range(30)]
+        back = sorted((r.region, r.h3, r.samples, [(s.species_id, s.obs) for s in r.species]) for r in packs.unpacked(pieces).collect())
+        assert [(h, s, o) for x, h, s, o in back if x == "A"] == found
+        want = want or back
+        assert back == want
 
 
 def test_search(spark, t):
