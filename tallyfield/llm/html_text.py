@@ -3,12 +3,16 @@
 A page is read as one sequence of words and tags. A word scores by the block element it stands in, by the
 words of the class, id and role attributes around it (hashed to a fixed number of features), and by the kind
 of page furniture that it is in, if any; a tag scores by its name, below zero. The weights are log odds of
-being in the main text, counted on labelled pages: those whose markup names the main text (article or main);
-a kind of furniture has a prior weight below zero, which they shift. One linear scan finds the contiguous
+being in the main text, counted on labelled pages: those whose markup names the main text (main, or article);
+a kind of furniture has a prior weight below zero, which they shift by little, and words of class, id and role that main text uses as
+well (such as legal or popular) are features like others, with a small prior. One linear scan finds the contiguous
 run of greatest total score; its words are the text, without furniture whose own score is below zero. On a
 page that names its main text itself, words outside of it count against the run and are not part of the text,
 so several articles are taken together where their words outweigh the gap. Weights that no labelled page
-gives are set by rule, so pages without such markup are read in the same way.
+gives are set by rule, so pages without such markup are read in the same way. An article outside of a main that holds words is a teaser.
+
+A quote opens a value only behind an equals sign. Content that isn't read (scripts, buttons, objects and so on) ends at its end tag,
+at the end of an element around it, and if it has no end tag at the next block.
 
 Defined cases: null or empty html, or html without words of positive score, gives an empty text with
 n_chars 0; unclosed and stray tags are tolerated, a tag or comment cut off at the page's end counts
@@ -43,18 +47,20 @@ MAIN = frozenset(("article", "main"))
 BY_NAME = {"nav": "menu", "menu": "menu", "header": "header", "footer": "footer", "aside": "sidebar", "form": "form", "dialog": "notice", "fieldset": "form"}
 #: Furniture by words of class, id or role. Fixed values, in the order in which they are tried.
 BY_WORD = {
-    "comment": "comment comments commentlist reply replies respond disqus discussion".split(),
-    "advert": "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion promoted adsense".split(),
-    "menu": "nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager toc tabs".split(),
+    "comment": "comment comments commentlist reply replies respond disqus".split(),
+    "advert": "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promoted adsense".split(),
+    "menu": "nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager".split(),
     "header": "header masthead topbar".split(),
-    "footer": "footer copyright colophon legal contentinfo".split(),
-    "sidebar": "sidebar aside widget widgets related recommended recommendations trending popular complementary".split(),
-    "notice": "notice cookie cookies consent gdpr popup modal alert overlay newsletter subscribe subscription paywall".split(),
-    "form": "form login signup search searchbox".split(),
-    "share": "share sharing social".split(),
+    "footer": "footer copyright colophon contentinfo".split(),
+    "sidebar": "sidebar aside widget widgets related recommended recommendations complementary".split(),
+    "notice": "notice cookie cookies consent gdpr popup newsletter subscribe paywall".split(),
+    "form": "form login signup searchbox".split(),
+    "share": "share sharing".split(),
 }
+#: Words that furniture and main text both use: no kind of their own, but a feature with a weight below zero that counts shift.
+DOUBTFUL = frozenset("alert discussion legal modal overlay popular promotion search social subscription tabs toc trending".split())
 _KIND = {w: kind for kind, own in BY_WORD.items() for w in own}
-_TOKEN = re.compile(r"<!--(?:(?!-->).)*+(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(>|\Z)|<[!?][^>]*+(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--(?:(?!-->).)*+(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(>|\Z)|<[!?][^>]*+(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPLIT = re.compile(r"[^a-z0-9]+")
 #: How elements end whose content is plain text to a parser, and what may stand in a head.
@@ -64,7 +70,9 @@ HEAD = frozenset("head title meta link base style script noscript template".spli
 MOST = 4.0
 PRIOR, RAISE = {"header": -3.0, "share": -4.0}, 1.0
 FEATURES, SHIFT = 1 << 12, 2.0
+DOUBT = -0.5
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_DOUBTED = frozenset(zlib.crc32(w.encode()) % FEATURES for w in DOUBTFUL)
 
 
 @lru_cache(1 << 14)
@@ -84,10 +92,37 @@ def marks(name: str, attributes: str) -> tuple[str, tuple[int, ...]]:
     return kind, tuple(sorted(set(found)))
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, str, tuple, bool, bool]]:
-    """(text, block, kind, features, in main, breaks) of each token in page order; text is empty for tags. block: of a tag its name; breaks: whether a block ends before it."""
+def tokens(page: str) -> list[tuple[str, str, str, tuple, bool, bool]]:
+    """(text, block, kind, features, in main, breaks) of each token in page order; text is empty for tags. block: of a tag its name; breaks: whether a block ends before it.
+
+    The main text is named by main, or where no main holds words by article: articles beside a main are teasers.
+    """
+    own = list(_tokens(page, MAIN))
+    if MAIN <= {t[1] for t in own if not t[0]}:
+        narrow = list(_tokens(page, frozenset(("main",))))
+        if any(text.strip() and inside and not kind for text, _, kind, _, inside, _ in narrow):
+            return narrow
+    return own
+
+
+def _open(page: str, name: str, at: int, never: set[str]) -> bool:
+    """Whether an element whose content is skipped is never ended: by no end tag, or a button or list by its next one first. never: names without end tag behind."""
+    if name in never:
+        return True
+    pattern = _NEXT.get(name) or _NEXT.setdefault(name, re.compile(rf"<(/?){name}(?=[\s/>]|\Z)" if name in ("button", "select") else rf"<(/){name}(?=[\s/>]|\Z)", re.I))
+    found = pattern.search(page, at)
+    if not found:
+        never.add(name)
+    return not (found and found.group(1))
+
+
+_NEXT: dict[str, re.Pattern] = {}
+
+
+def _tokens(page: str, mains: frozenset[str]) -> Iterator[tuple[str, str, str, tuple, bool, bool]]:
     stack: list[tuple[str, str, bool, tuple]] = []  # name, kind (own or inherited), in main, features (own and inherited)
     at, broken, skip, m = 0, True, "", None
+    left_open, within, never = False, [], set()  # of what is skipped: whether it has no end tag, and the names open in it
     while m := _TOKEN.search(page, at):
         if m.start() > at and not skip:
             yield (*_place(page[at : m.start()], stack), broken)
@@ -102,6 +137,25 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, tuple, bool, bool]]:
             at = end.start() if end else len(page)
         if skip == "head" and not (name in HEAD or (m.group(1) and name == "html")):
             skip = ""  # the head's end tag may be left out
+        if skip and skip != "head" and skip not in _ENDS:
+            # It ends at its own end tag, at the end of an element around it, and without an end tag at a block too.
+            if m.group(1):
+                if name in within:
+                    while within.pop() != name:
+                        pass
+                    continue
+                if name == skip:
+                    skip = ""
+                    continue
+                if not any(name == x for x, *_ in stack):
+                    continue
+                skip = ""
+            elif left_open and name in BLOCKS and name != "option":
+                skip = ""
+            else:
+                if name not in VOID and name not in _ENDS and not m.group(3).rstrip().endswith("/"):
+                    within.append(name)
+                continue
         if skip:
             if m.group(1) and name == skip:
                 skip = ""
@@ -109,6 +163,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, tuple, bool, bool]]:
         if name in RAW and not m.group(1):
             if name in _ENDS or not m.group(3).rstrip().endswith("/"):
                 skip = name  # its content isn't read; go on at its own end
+                left_open, within = name not in _ENDS and _open(page, name, at, never), []
             continue
         broken = broken or name in BLOCKS
         inside = bool(stack) and stack[-1][2]
@@ -127,7 +182,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, tuple, bool, bool]]:
             _, kind, inner, more = stack[-1] if stack else ("", "", False, ())
             if own == "header" and inner:
                 own = ""  # the heading of the article itself
-            stack.append((name, kind or own, inner or name in MAIN, tuple(sorted({*more, *found})) if found else more))
+            stack.append((name, kind or own, inner or name in mains, tuple(sorted({*more, *found})) if found else more))
     if at < len(page) and not skip:
         yield (*_place(page[at:], stack), broken)
 
@@ -153,7 +208,7 @@ def count(pages: list[str]) -> Counter:
     """On labelled pages: how many words (by block, by kind of furniture, by feature) and tags (by name) are in the main text and outside."""
     out: Counter = Counter()
     for page in pages:
-        own = list(tokens(page or ""))
+        own = tokens(page or "")
         if not _named(own):
             continue
         for text, block, kind, found, inside, _ in own:
@@ -211,7 +266,7 @@ def _gain(weight: dict, token: tuple, named: bool) -> float:
         return -0.02 if named else max(n * (base + _kind_weight(weight, kind)), -1.0)  # what a piece of furniture takes is bounded: text may go on behind it
     if named:
         return n * max(0.5, base)
-    return n * (base + max(-SHIFT, min(SHIFT, sum(weight.get(("feature", str(f)), 0.0) for f in found))))
+    return n * (base + max(-SHIFT, min(SHIFT, sum(weight.get(("feature", str(f)), 0.0) for f in found) + (0.0 if _DOUBTED.isdisjoint(found) else DOUBT))))
 
 
 def best_run(gains: list[float]) -> tuple[int, int]:
@@ -228,7 +283,7 @@ def best_run(gains: list[float]) -> tuple[int, int]:
 
 def extract(page: str | None, weight: dict) -> str:
     """The main text of a page."""
-    own = list(tokens(page or ""))
+    own = tokens(page or "")
     named = _named(own)
     start, end = best_run([_gain(weight, t, named) for t in own])
     blocks: list[list[str]] = []

@@ -507,6 +507,52 @@ def test_pages_keep_their_main_text():
             assert html_text.extract(page, weight) == text, page
 
 
+#: What stands between two paragraphs of a main text, and what is read of it.
+INSIDE = {
+    '<section class="discussion"><p>We discuss it.</p></section>': "We discuss it.",
+    '<p class="legal">The law says so.</p>': "The law says so.",
+    '<p class="popular science">Atoms are small.</p>': "Atoms are small.",
+    "<button>Save<p>Middle words.</p>": "Middle words.",
+    "<p>Mid <button>Save</p><p>Middle words.</p>": "Mid Middle words.",
+    "<button>a<div>b</div></button><p>Middle words.</p>": "Middle words.",
+    "<object data=x><p>Middle words.</p>": "Middle words.",
+    "<object data=x><p>no</p></object><p>Middle words.</p>": "Middle words.",
+    "<svg><g><svg><text>no</text></svg><text>no</text></g></svg><p>Middle words.</p>": "Middle words.",
+    "<p>Some <select><option>x<option>y</select> words.</p>": "Some words.",
+    "<p>Some <select><option>x<option>y</p><p>words.</p>": "Some words.",
+    """<p><a href="x"">alpha beta</a> said "gamma" delta.</p>""": 'alpha beta said "gamma" delta.',
+    "<p><a title='it's'>it</a> said 'y' to z.</p>": "it said 'y' to z.",
+    """<p><a title="a > b">it</a> = "y" so.</p>""": 'it = "y" so.',
+}
+
+
+@pytest.mark.parametrize("around", ["<article>%s</article>", "<main>%s</main><article><p>A teaser is here.</p></article>", "<body><div>%s</div></body>", '<body><div class="tabs">%s</div></body>'])
+def test_main_text_is_neither_lost_nor_added_to(around):
+    """Doubtful words of a class, elements left open, stray quotes and articles beside a main."""
+    labelled = [PAGE % f"<article>{BODY}</article>"] * 20
+    for weight in ({}, html_text.weights(html_text.count(labelled))):
+        for inner, text in INSIDE.items():
+            page = around % f"<p>The first words of it are here.</p>{inner}<p>The last words of it are here.</p>"
+            assert html_text.extract(page, weight) == f"The first words of it are here. {text} The last words of it are here.", page
+    assert html_text.extract("<main><nav>a b</nav></main><article><p>A story is here.</p></article>", {}) == "A story is here."
+
+
+def test_extract_is_the_greatest_run():
+    """Of a page without named main text: all runs of its tokens are tried."""
+    rng = random.Random(4)
+    pieces = ["<p>One two</p>", "<div>three", "</div>", "<a href=x>link it</a>", "<ul><li>item</ul>", "<nav>menu</nav>", "<p class=legal>law", "<div class=ad>buy</div>", "<table><td>cell"]
+    weight = html_text.weights(html_text.count([PAGE % f"<article>{BODY}</article>"] * 9))
+    for _ in range(200):
+        page, own = "".join(rng.choices(pieces, k=rng.randint(0, 9))), rng.choice(({}, weight))
+        tokens = html_text.tokens(page)
+        gains = [html_text._gain(own, x, False) for x in tokens]
+        top = max(sum(gains[i:j]) for i in range(len(gains) + 1) for j in range(i, len(gains) + 1))
+        a, b = html_text.best_run(gains)
+        assert sum(gains[a:b]) == pytest.approx(top)
+        kept = " ".join(" ".join(x[0] for x in tokens[a:b] if x[0] and html_text.stays(own, x, False)).split())
+        assert html_text.extract(page, own).replace(" ", "") == kept.replace(" ", "")
+
+
 def test_class_words_are_learned():
     """A word of no list, seen outside of main text only, keeps its words out of the run; one seen inside brings them in."""
     labelled = ['<div class="teasers"><p>%s</p></div><article><div class="storybody">%s</div></article>' % ("Other words here. " * 5, "Body words here. " * 9)] * 30
