@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import calendar, geo, hexgrid, regions, score
-from ..operators import areas, arrays, cluster, consumer, counts, dims, occurrences, packs, rollup, search
+from ..operators import areas, arrays, cluster, consumer, counts, dims, occurrences, packs, places, rollup, search
 from ..sources import ingest, sinks, stored
 from . import analog, pipeline, sql
 
@@ -585,6 +585,33 @@ def pack_binary(t: Tables) -> DataFrame:
     return x.select("region", "id", _text("samples"), "s.species_id", "s.obs").select("region", "id", "samples", "species_id", _text("obs"))
 
 
+#: Boxes by south, west, north, east: one across the date line, one that is a line.
+BOXES = {"north": (20.0, -100.0, 60.0, 40.5), "line": (-60.0, 170.0, 10.25, -150.0), "pole": (-90.0, -180.0, -75.0, 180.0), "thin": (-40.0, -30.0, 40.0, -30.0)}
+
+
+@_query(" UNION ALL ".join(f"SELECT '{name}' AS box, id, lat, lng FROM hot WHERE lat BETWEEN {s} AND {n} AND (lng BETWEEN {w} AND {e}{' OR false' if w <= e else f' OR lng >= {w} OR lng <= {e}'})" for name, (s, w, n, e) in BOXES.items()), "hot")
+def places_in_boxes(t: Tables) -> DataFrame:
+    """From a table along the curve."""
+    places.write(t.hotspots, path := stored.passing(t.spark, "places"))
+    held = t.spark.read.parquet(path)
+    return reduce(DataFrame.union, [places.in_box(held, *box).select(F.lit(name).alias("box"), "id", "lat", "lng") for name, box in BOXES.items()])
+
+
+_KM_SQL = f"round(2 * {geo.EARTH_KM} * atan2(sqrt(h), sqrt(greatest(0, 1 - h))), 9)"
+
+
+@_query(
+    f"""SELECT point_id, CAST(rank AS INTEGER) AS rank, id, round(km, 6) AS km FROM (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY km, id) AS rank FROM (SELECT point_id, id, {_KM_SQL} AS km FROM (
+      SELECT location_id AS point_id, hot.id, power(sin((radians(hot.lat) - radians(dim.lat)) / 2), 2) + cos(radians(dim.lat)) * cos(radians(hot.lat)) * power(sin(radians(hot.lng - dim.lng) / 2), 2) AS h
+      FROM dim, hot WHERE locality_type <> 'H' AND dim.lat IS NOT NULL AND dim.lng IS NOT NULL AND hot.lat IS NOT NULL AND hot.lng IS NOT NULL))) WHERE rank <= 5""", "dim", "hot"
+)
+def nearest_hotspots(t: Tables) -> DataFrame:
+    """Of each personal location."""
+    t.store("dim")
+    points = t.dim.filter(~dims.is_hotspot()).select(F.col("location_id").alias("point_id"), "lat", "lng")
+    return places.nearest(points, t.hotspots, 5).withColumn("km", F.round("km", 6))
+
+
 def _blob_sql() -> str:
     """Every element of every blob."""
     out = []

@@ -14,7 +14,7 @@ duckdb = pytest.importorskip("duckdb")
 
 DATA, REPO = Path("/root/testdata/sf0.001"), Path(__file__).resolve().parent.parent
 TABLES = "region nation customer supplier part orders lineitem".split()
-SAMPLE = ["location_dim", "month_obs", "year_obs", "region_month_obs", "cell_refs", "grid_rollup", "orphan_cells_anti", "loc_meta", "loc_qcount", "zone_species", "loc_cell_ref_left", "lifers", "finest_regions_anti", "month_pivot", "cells_full_outer", "csr_offsets", "release_calendar", "search_prefix", "kcenter", "pack_json", "pack_binary", "blob_cache", "hex_cells", "hex_parents", "area_species", "search_blocks", "best_of_each_species", "ranked_table"]
+SAMPLE = ["location_dim", "month_obs", "year_obs", "region_month_obs", "cell_refs", "grid_rollup", "orphan_cells_anti", "loc_meta", "loc_qcount", "zone_species", "loc_cell_ref_left", "lifers", "finest_regions_anti", "month_pivot", "cells_full_outer", "csr_offsets", "release_calendar", "search_prefix", "kcenter", "pack_json", "pack_binary", "blob_cache", "hex_cells", "hex_parents", "area_species", "search_blocks", "places_in_boxes", "nearest_hotspots", "best_of_each_species", "ranked_table"]
 
 
 @pytest.fixture(scope="module")
