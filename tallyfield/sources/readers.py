@@ -9,23 +9,25 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import schema
+from . import members, schema
 
 
 class MissingColumn(ValueError):
     """An extract lacks a column that is needed."""
 
 
-def read_tsv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+def read_tsv(spark: SparkSession, path: str, encoding: str = "UTF-8", member_bytes: int | None = None) -> DataFrame:
     """A (gzipped) tab-separated extract as strings: no quoting, bytes that aren't UTF-8 replaced, structurally short rows dropped.
 
-    A gzip stream can't be split; callers store the projection as Parquet before anything else.
+    A gzip stream can't be split; callers store the projection as Parquet before anything else. With member_bytes, a file of several gzip
+    members with an index (`members.index`) is read by a task for so many bytes of members.
     """
     header = spark.read.option("encoding", encoding).text(path).first()
     if header is None:
         raise MissingColumn(f"{path} has no header")
     names = header[0].rstrip("\r").split("\t")
-    lines = spark.read.option("encoding", encoding).text(path).select(F.split(F.regexp_replace("value", "\r$", ""), "\t").alias("f"))
+    plain = members.read(spark, [path], member_bytes) if member_bytes else spark.read.option("encoding", encoding).text(path)
+    lines = plain.select(F.split(F.regexp_replace("value", "\r$", ""), "\t").alias("f"))
     full = lines.filter((F.size("f") >= len(names)) & (F.array_join("f", "\t") != F.lit("\t".join(names))))
     return full.select(*[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(names)])
 
