@@ -215,6 +215,16 @@ def test_bits_are_a_distribution():
     assert m.log2(*lm.joined([b"the"]))[0] > m.log2(*lm.joined([b"xqz"]))[0]
 
 
+@pytest.mark.parametrize("n", [40, (1 << 15) + 1])
+def test_spelling_learns_once_from_any_number_of_words(monkeypatch, n):
+    """Each word is learned from once, however many a task has: no switch by the size."""
+    own, seen = [b"w%06d" % i for i in range(n)], []
+    counts = np.zeros(2 * lm.STORED, np.int32)
+    monkeypatch.setattr(lm.Learned, "_step", lambda self, j, both, bit, *more: seen.append(len(bit)))
+    lm.Learned().learn(counts.reshape(2, -1), own, np.random.default_rng(1))
+    assert sum(seen) == n * 8 * len(b"w000000 ")
+
+
 def plain_code(counts, weights, hashes, coded):
     """One document's code probabilities as mixer.code gives them, bit by bit in plain numbers."""
     m, out = mixer, [0.0] * len(hashes)
