@@ -1,6 +1,7 @@
 """Distinct checklist counts and their sums.
 
-Distinct counts are made once, per (location, month[, species]); every higher level sums them.
+Distinct counts are made once, per (location, month[, species]); every higher level sums them. Rows are dealt by location and
+month, once: keys hardly repeat in a task before that, so distinct rows, counts and the join of both find theirs where they lie.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.regions import dedupe_key
 from ..functions.score import Z, wilson
-from .dims import is_hotspot
+from .dims import dealt, is_hotspot
 
 
 def _month(c: str = "observed_on"):  # noqa: ANN202
@@ -20,7 +21,7 @@ def _month(c: str = "observed_on"):  # noqa: ANN202
 def samples(checklists: DataFrame) -> DataFrame:
     """location_id, month, samples: distinct checklists, those of a group counted once."""
     rows = checklists.select("location_id", _month().alias("month"), dedupe_key(F.col("group_id"), F.col("event_id")).alias("k"))
-    return rows.filter("month is not null").groupBy("location_id", "month").agg(F.count_distinct("k").alias("samples"))
+    return dealt(rows.filter("month is not null"), "location_id", "month").groupBy("location_id", "month").agg(F.count_distinct("k").alias("samples"))
 
 
 def observed(observations: DataFrame, species: DataFrame) -> DataFrame:
@@ -30,7 +31,7 @@ def observed(observations: DataFrame, species: DataFrame) -> DataFrame:
     """
     known = observations.join(F.broadcast(species.select("sci_name", F.col("id").alias("species_id"))), "sci_name")
     rows = known.select("location_id", _month().alias("month"), "species_id", dedupe_key(F.col("group_id"), F.col("event_id")).alias("k"))
-    return rows.filter("month is not null").groupBy("location_id", "month", "species_id").agg(F.count_distinct("k").alias("obs"))
+    return dealt(rows.filter("month is not null"), "location_id", "month").groupBy("location_id", "month", "species_id").agg(F.count_distinct("k").alias("obs"))
 
 
 def matched(observed_: DataFrame, samples_: DataFrame) -> DataFrame:

@@ -10,6 +10,12 @@ from ..functions import regions as R
 from ..sources import stored
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by keys over as many tasks as the session shuffles into. The number is given, so that it isn't reduced by
+    what rows take compressed: equal columns compress to a tenth, and a task holds them at full width."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def location_dim(checklists: DataFrame) -> DataFrame:
     """One row a location. Each attribute is the maximum of its own column, so they may come from different rows.
 

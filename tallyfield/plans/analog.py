@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.dims import dealt
 from ..sources import schema
 
 
@@ -42,7 +43,9 @@ def locations(spark: SparkSession, d: str) -> DataFrame:
 def raw_checklists(spark: SparkSession, d: str) -> DataFrame:
     """A row for each order at a supplier, in the columns of a raw extract."""
     orders = _t(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
-    seen = _t(spark, d, "lineitem").select("l_suppkey", "l_orderkey").distinct()
+    # Dealt by order, lines are made distinct and joined with their orders where they lie.
+    seen = _t(spark, d, "lineitem").select("l_suppkey", "l_orderkey")
+    seen = dealt(seen, "l_orderkey").distinct()
     x = seen.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(locations(spark, d), F.col("l_suppkey") == F.col("s_suppkey"))
     values = {
         "location_id": F.col("l_suppkey").cast("string"), "locality": F.col("locality"), "locality_type": F.col("locality_type"), "observed_on": F.col("day").cast("string"),

@@ -55,8 +55,8 @@ class Tables:
     hexes = cached_property(lambda t: rollup.cells(t.observed, t.samples, t.dim, RES, hexgrid.Hexagons()))
     hex_tables = cached_property(lambda t: rollup.tables(t.after("dim", "samples").hexes, hexgrid.Hexagons()))
     areas = cached_property(lambda t: areas.areas(analog.areas(t.spark, t.d)))
-    loc_meta = cached_property(lambda t: occurrences.loc_meta(t.after("dim", "year_obs").year_obs, t.hotspots))
-    loc_species = cached_property(lambda t: occurrences.loc_species(t.year_obs, t.loc_meta))
+    loc_meta = cached_property(lambda t: occurrences.loc_meta(t.after("dim", "samples", "year_obs").year_obs, t.hotspots))
+    loc_species = cached_property(lambda t: occurrences.loc_species(t.after("dim", "samples", "year_obs").year_obs, t.loc_meta))
     loc_qcount = cached_property(lambda t: occurrences.qcount(t.loc_species, "loc_ref"))
     zone_meta = cached_property(lambda t: occurrences.zone_meta(t.grid_tables["h3_cells"], t.grid_tables["h3_cell_samples"], ZONES, RES, t.grid))
     zone_species = cached_property(lambda t: occurrences.zone_species(t.grid_tables["h3_cell_obs"], occurrences.child_zone(t.grid_tables["h3_cells"], t.zone_meta, ZONES, RES), RES))
@@ -259,6 +259,7 @@ def loc_cell_ref_left(t: Tables) -> DataFrame:
     "SELECT 'u1' AS user_id, lq.loc_ref, q_count - coalesce(n, 0) AS lifers FROM lq LEFT JOIN (SELECT loc_ref, count(*) AS n FROM ls WHERE bucket_level >= 1 AND species_id % 3 = 0 GROUP BY 1) s ON s.loc_ref = lq.loc_ref WHERE bucket = 1", "lq", "ls"
 )
 def lifers(t: Tables) -> DataFrame:
+    t.store("loc_species")
     return occurrences.lifers(t.loc_species, t.loc_qcount, t.seen, 1)
 
 
