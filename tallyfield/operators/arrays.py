@@ -10,23 +10,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .dims import dealt
+
 MONTHS = 12
 
 
 def month_array(month: Column, value: Column, default: int | None) -> Column:
-    """Aggregate: the values of months 1..12 in order, default where a month has none."""
-    by_month = F.map_from_entries(F.collect_list(F.struct(month.cast("int"), value)))
-    at = F.transform(F.sequence(F.lit(1), F.lit(MONTHS)), lambda m: F.element_at(by_month, m.cast("int")))
-    return at if default is None else F.transform(at, lambda v: F.coalesce(v, F.lit(default).cast("bigint")))
+    """Aggregate: the values of months 1..12 in order, default where a month has none; of several, the largest. Twelve numbers of fixed width, no lists."""
+    at = [F.max(F.when(month == m, value)) for m in range(1, MONTHS + 1)]
+    return F.array(*(at if default is None else [F.coalesce(v, F.lit(default).cast("bigint")) for v in at]))
 
 
 def _species(obs: DataFrame, keys: list[str], codes: DataFrame | None) -> DataFrame:
     """keys, species: array of (species_id, obs (12)), by species; with codes (species_id, code) of (species_id, code, obs), without the species that have none."""
-    per = obs.groupBy(*keys, "species_id").agg(month_array(F.col("month"), F.col("obs"), 0).alias("obs"))
+    # Dealt by key once, so that arrays aren't shuffled.
+    per = dealt(obs, *keys).groupBy(*keys, "species_id").agg(month_array(F.col("month"), F.col("obs"), 0).alias("obs"))
     if codes is None:
         return per.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("species_id", "obs"))).alias("species"))
     row = F.when(F.col("code").isNotNull(), F.struct("species_id", "code", "obs"))  # lists leave nulls out
-    return per.join(codes, "species_id", "left").groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("species"))
+    return per.join(F.broadcast(codes), "species_id", "left").groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("species"))
 
 
 def target_months(month_obs: DataFrame, codes: DataFrame | None = None) -> DataFrame:

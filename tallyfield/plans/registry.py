@@ -300,7 +300,7 @@ def pack_regions_strict(t: Tables) -> DataFrame:
     f"SELECT location_id, samples, species_id, obs FROM (SELECT location_id, {sql.months('samples', 'null')} AS samples FROM mo GROUP BY 1) JOIN (SELECT location_id, species_id, {sql.months('obs', '0')} AS obs FROM mo GROUP BY 1, 2) USING (location_id)", "mo"
 )
 def month_pivot(t: Tables) -> DataFrame:
-    x = arrays.target_months(t.month_obs).select("location_id", "samples", F.explode("species").alias("s"))
+    x = arrays.target_months(t.after("month_obs").month_obs).select("location_id", "samples", F.explode("species").alias("s"))
     return x.select("location_id", "samples", "s.species_id", "s.obs").select("location_id", _text("samples"), "species_id", _text("obs"))
 
 

@@ -283,3 +283,22 @@ def test_invariant_under_partitioning(spark, t):
     again = counts.month_obs(counts.matched(counts.observed(o, t["species"]), counts.samples(c)), dims.location_dim(c))
     assert rows(again, "*") == want
     assert all(0 <= r[-1] < 1 and r[3] <= r[4] for r in want)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_observed_shuffles_rows_once(spark, t):
+    """Distinct rows, counts and the join with samples use one dealing of the rows; its tasks aren't merged by compressed size."""
+    text = plan(counts.observed(t["observations"], t["species"]))
+    assert text.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in text
+    assert rows(t["observed"].filter("location_id = 'A' and month = 1"), "obs") == [(2,)]
+
+
+def test_months_of_repeated_rows(spark):
+    """Twelve numbers of fixed width: a month that occurs twice has its largest value, as in SQL."""
+    df = spark.createDataFrame([("A", 1, 1, 2, 9), ("A", 1, 1, 3, 9), ("A", 12, 1, 5, 7)], "location_id string, month bigint, species_id bigint, obs bigint, samples bigint")
+    got = arrays.target_months(df).first()
+    assert got["samples"] == [9] + [None] * 10 + [7] and got["species"][0]["obs"] == [3] + [0] * 10 + [5]
+    assert "collect_list(struct(cast(month" not in plan(arrays.target_months(df))
