@@ -74,7 +74,6 @@ def orphans(c: Cells) -> DataFrame:
 
 def stats(c: Cells) -> DataFrame:
     """One row: cells, orphans, and the sums before cells without a region are left out."""
-    every = c.obs.agg(F.sum("obs").alias("obs"), F.count_distinct("cell").alias("cells"))
-    more = c.samples.agg(F.sum("samples").alias("samples"))
-    lost = orphans(c).agg(F.count("*").alias("orphans"))
-    return every.withColumn("k", F.lit(1)).join(more.withColumn("k", F.lit(1)), "k").join(lost.withColumn("k", F.lit(1)), "k").select(F.lit(c.res).alias("res"), "cells", "orphans", "obs", "samples")
+    obs = c.obs.groupBy("cell").agg(F.sum("obs").alias("obs"), F.count("*").alias("rows"))
+    each = obs.join(c.samples.groupBy("cell").agg(F.sum("samples").alias("samples")), "cell", "full_outer").join(winners(c.regions).withColumn("won", F.lit(True)), "cell", "left")
+    return each.agg(F.count("rows").alias("cells"), F.count_if(F.col("won").isNull()).alias("orphans"), F.sum("obs").alias("obs"), F.sum("samples").alias("samples")).select(F.lit(c.res).alias("res"), "cells", "orphans", "obs", "samples")

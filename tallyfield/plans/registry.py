@@ -199,7 +199,7 @@ def cell_obs_dense(t: Tables) -> DataFrame:
 
 @_query("SELECT DISTINCT cell FROM (SELECT cell FROM co UNION SELECT cell FROM cs) WHERE cell NOT IN (SELECT cell FROM wi)", "co", "cs", "wi")
 def orphan_cells_anti(t: Tables) -> DataFrame:
-    return rollup.orphans(t.cells)
+    return rollup.orphans(t.after("dim", "samples").cells)
 
 
 @_query(
@@ -207,7 +207,7 @@ def orphan_cells_anti(t: Tables) -> DataFrame:
     "co", "cs", "wi",
 )
 def grid_stats(t: Tables) -> DataFrame:
-    return rollup.stats(t.cells)
+    return rollup.stats(t.after("dim", "samples").cells)
 
 
 @_query(f"SELECT {sql.parent('cell', 4)} AS cell, month, species_id, CAST(sum(obs) AS BIGINT) AS obs FROM co GROUP BY 1, 2, 3", "co")
@@ -315,7 +315,7 @@ def cells_full_outer(t: Tables) -> DataFrame:
 @_query("SELECT location_id, code, CAST(sum(obs) AS BIGINT) AS obs FROM mo JOIN code ON id = species_id WHERE code <> '' GROUP BY 1, 2", "mo", "code")
 def species_name_lookup(t: Tables) -> DataFrame:
     codes = t.species.filter("code <> ''").select(F.col("id").alias("species_id"), "code")
-    return t.month_obs.join(codes, "species_id").groupBy("location_id", "code").agg(F.sum("obs").alias("obs"))
+    return t.month_obs.join(F.broadcast(codes), "species_id").groupBy("location_id", "code").agg(F.sum("obs").alias("obs"))
 
 
 @_query("SELECT r.id AS species_id, coalesce(n, 0) AS n, CAST(coalesce(sum(n) OVER (ORDER BY r.id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS \"offset\" FROM (SELECT unnest(range(0, (SELECT max(id) FROM sp) + 2)) AS id) r LEFT JOIN (SELECT species_id, count(*) AS n FROM ls GROUP BY 1) c ON c.species_id = r.id", "sp", "ls")
@@ -383,6 +383,7 @@ def likely_in_area(t: Tables) -> DataFrame:
 
 @_query("SELECT re.id AS region_id, species_id, month, CAST(obs AS DOUBLE) / samples AS frequency FROM ro JOIN rs USING (region_code, month) JOIN re ON code = region_code", "ro", "rs", "re")
 def region_chart(t: Tables) -> DataFrame:
+    t.store("dim", "samples")
     return consumer.region_chart(counts.with_region_id(t.region_obs, t.regions), counts.with_region_id(t.region_samples, t.regions))
 
 

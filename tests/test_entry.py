@@ -54,3 +54,21 @@ def test_without_the_optional_parts(tmp_path, pipeline):
     if pipeline:
         subprocess.run([sys.executable, "-m", "pytest", "-q", "--collect-only", "tests"], cwd=tmp_path, check=True, env=env)
         subprocess.run([sys.executable, "-m", "pytest", "-q", "-x", "tests/test_functions.py"], cwd=tmp_path, check=True, env=env)
+
+
+def test_year_obs_is_computed_once(spark):
+    """What lies behind the scores of locations is stored before it is read again."""
+    t = registry.Tables(spark, str(DATA))
+    assert not any("lineitem" in f for f in t.loc_species.inputFiles()) and {"dim", "samples", "year_obs"} <= t.stored
+
+
+@pytest.mark.parametrize("name", ["orphan_cells_anti", "grid_stats", "region_chart"])
+def test_checklists_are_not_read_again(spark, name):
+    """The dimension and the samples are stored: what is left reads orders for the observations alone."""
+    df = registry.queries()[name](spark, str(DATA))
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet [o_orderkey") == 1
+
+
+def test_few_codes_are_broadcast(spark):
+    plan = registry.queries()["species_name_lookup"](spark, str(DATA))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(species_id" not in plan
