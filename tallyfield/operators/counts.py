@@ -53,7 +53,8 @@ def year_samples(samples_: DataFrame, dim: DataFrame) -> DataFrame:
 
 def year_obs(matched_: DataFrame, samples_: DataFrame, dim: DataFrame, z: float = Z) -> DataFrame:
     """Months pooled; samples are all of the hotspot's, also of months without the species."""
-    obs = matched_.groupBy("location_id", "species_id").agg(F.sum("obs").alias("obs"))
+    # Months of a place lie in several tasks, so nothing could be summed before the shuffle.
+    obs = dealt(matched_, "location_id").groupBy("location_id", "species_id").agg(F.sum("obs").alias("obs"))
     both = obs.join(year_samples(samples_, dim), "location_id")
     return both.select("location_id", "species_id", "obs", "samples", wilson(F.col("obs"), F.col("samples"), z).alias("score"))
 

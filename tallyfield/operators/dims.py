@@ -10,10 +10,19 @@ from ..functions import regions as R
 from ..sources import stored
 
 
-def dealt(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows dealt by keys over as many tasks as the session shuffles into. The number is given, so that it isn't reduced by
-    what rows take compressed: equal columns compress to a tenth, and a task holds them at full width."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+#: Bytes of a table's files for which rows are dealt to one more task.
+TASK_BYTES = 4 << 20
+
+
+def dealt(df: DataFrame, *keys: str, beside: DataFrame | None = None) -> DataFrame:
+    """Rows dealt by keys over a task for every TASK_BYTES of what df reads, so that what a task holds doesn't grow with the table,
+    and over no fewer than the session shuffles into. The number is given, so that it isn't reduced by what rows take
+    compressed: equal columns compress to a tenth, and a task holds them at full width.
+
+    beside: the larger table that df is joined with, whose number df takes. Where Spark doesn't broadcast df, it deals the larger one alike.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-stored.input_bytes(df if beside is None else beside) // TASK_BYTES)), *keys)
 
 
 def location_dim(checklists: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from .dims import dense_ids
+from .dims import dealt, dense_ids
 
 
 @dataclass
@@ -30,7 +30,7 @@ def cell_dim(dim: DataFrame, res: int, grid: geo.Grid) -> DataFrame:
 def cells(observed: DataFrame, samples: DataFrame, dim: DataFrame, res: int, grid: geo.Grid) -> Cells:
     """Observations are not matched with samples here; one join feeds both sums of samples."""
     where = cell_dim(dim, res, grid)
-    obs = observed.join(where, "location_id").groupBy("cell", "month", "species_id").agg(F.sum("obs").alias("obs"))
+    obs = observed.join(dealt(where, "location_id", beside=observed), "location_id").groupBy("cell", "month", "species_id").agg(F.sum("obs").alias("obs"))
     own = samples.join(where, "location_id").groupBy("cell", "region_code", "month").agg(F.sum("samples").alias("samples"))
     by_cell = own.groupBy("cell", "month").agg(F.sum("samples").alias("samples"))
     by_region = own.filter("region_code is not null").groupBy("cell", "region_code").agg(F.sum("samples").alias("samples"))

@@ -61,7 +61,7 @@ def raw_observations(spark: SparkSession, d: str) -> DataFrame:
     orders = _t(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
     parts = _t(spark, d, "part").select("p_partkey", "p_brand", "p_type")
     lines = _t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
-    x = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    x = dealt(lines, "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(dealt(parts, "p_partkey", beside=lines), F.col("l_partkey") == F.col("p_partkey"))
     values = {"location_id": F.col("l_suppkey").cast("string"), "observed_on": F.col("day").cast("string"), "event_id": F.col("l_orderkey").cast("string"), "group_id": _group("l_orderkey"), "sci_name": F.array("p_brand", "p_type", F.concat(F.lit("RF-"), F.col("l_returnflag")))}
     complete = F.when(F.col("l_orderkey") % 17 == 0, "0").otherwise("1").alias(schema.COMPLETE)
     category = F.when(F.col("l_linenumber") == 7, "spuh").when(F.col("l_linenumber") == 3, "issf").otherwise("species").alias(schema.CATEGORY)

@@ -3,6 +3,7 @@
 import datetime
 import gzip
 import json
+import re
 
 import numpy as np
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyfield.functions import codec, geo
 from tallyfield.operators import arrays, cluster, counts, dims, occurrences, packs, rollup, search
-from tallyfield.sources import ingest, readers, schema, sinks
+from tallyfield.sources import ingest, readers, schema, sinks, stored
 
 JAN, FEB, MAR = (datetime.date(2024, m, 3) for m in (1, 2, 3))
 
@@ -302,3 +303,22 @@ def test_months_of_repeated_rows(spark):
     got = arrays.target_months(df).first()
     assert got["samples"] == [9] + [None] * 10 + [7] and got["species"][0]["obs"] == [3] + [0] * 10 + [5]
     assert "collect_list(struct(cast(month" not in plan(arrays.target_months(df))
+
+
+def test_rows_are_dealt_by_the_size_of_what_is_read(spark, tmp_path, monkeypatch):
+    """A task for so many bytes of files, whatever the session shuffles into; folders with odd names, and another table beside."""
+    big, small = str(tmp_path / "a b%20ü"), str(tmp_path / "k=1")
+    spark.range(20000).select(F.col("id").cast("string").alias("location_id"), (F.col("id") % 12).alias("month"), F.lit(1).cast("bigint").alias("species_id"), F.lit(1).cast("bigint").alias("obs")).repartition(3).write.parquet(big)
+    spark.range(5).select(F.col("id").cast("string").alias("location_id")).write.parquet(small)
+    size = sum(p.stat().st_size for p in (tmp_path / "a b%20ü").glob("*.parquet"))
+    x, y = spark.read.parquet(big), spark.read.parquet(small)
+    assert stored.input_bytes(x) == stored.input_bytes(x.union(x).groupBy("month").count()) == size > 0 == stored.input_bytes(spark.range(3))
+    monkeypatch.setattr(dims, "TASK_BYTES", size // 10)
+    n = -(-size // (size // 10))
+    assert n > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert dims.dealt(x, "location_id").rdd.getNumPartitions() == dims.dealt(y, "location_id", beside=x).rdd.getNumPartitions() == n
+    assert dims.dealt(y, "location_id").rdd.getNumPartitions() == max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-stored.input_bytes(y) // dims.TASK_BYTES))
+    samples = x.select("location_id", "month", F.lit(2).cast("bigint").alias("samples"))
+    dim = x.select("location_id", F.lit("H").alias("locality_type")).distinct()
+    plan = counts.year_obs(x, samples, dim)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(rf"hashpartitioning\(location_id#\d+, {n}\), REPARTITION_BY_NUM", plan)
