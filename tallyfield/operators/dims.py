@@ -29,12 +29,14 @@ def location_dim(checklists: DataFrame) -> DataFrame:
     """One row a location. Each attribute is the maximum of its own column, so they may come from different rows.
 
     Checklists repeat their location's attributes: distinct rows come first, by hash and mostly before the shuffle, since
-    a maximum of strings sorts what it is given.
+    a maximum of strings sorts what it is given. They are counted, and the count is asked for, as Spark leaves plain distinct
+    rows out below maxima.
     """
     own = ("locality", "locality_type", "country_code", "state_code", "county_code", "lat", "lng")
     # A cell needs both coordinates of a row.
     both = F.col("lat").isNotNull() & F.col("lng").isNotNull()
-    m = checklists.select("location_id", *own).distinct().groupBy("location_id").agg(*[F.max(c).alias(c) for c in own], F.max(F.when(both, F.col("lat"))).alias("cell_lat"), F.max(F.when(both, F.col("lng"))).alias("cell_lng"))
+    rows = checklists.groupBy("location_id", *own).agg(F.count("*").alias("rows")).filter("rows > 0")
+    m = rows.groupBy("location_id").agg(*[F.max(c).alias(c) for c in own], F.max(F.when(both, F.col("lat"))).alias("cell_lat"), F.max(F.when(both, F.col("lng"))).alias("cell_lng"))
     country, state, county = (F.col(c) for c in ("country_code", "state_code", "county_code"))
     return m.select(
         "location_id",

@@ -322,3 +322,11 @@ def test_rows_are_dealt_by_the_size_of_what_is_read(spark, tmp_path, monkeypatch
     dim = x.select("location_id", F.lit("H").alias("locality_type")).distinct()
     plan = counts.year_obs(x, samples, dim)._jdf.queryExecution().executedPlan().toString()
     assert re.search(rf"hashpartitioning\(location_id#\d+, {n}\), REPARTITION_BY_NUM", plan)
+
+
+def test_attributes_are_made_distinct_before_their_maxima(spark, t):
+    """A maximum of strings sorts its rows, so it must not be given every checklist."""
+    plan = dims.location_dim(t["checklists"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 2
+    found = {r.location_id: (r["name"], r.lat) for r in dims.location_dim(t["checklists"]).collect()}
+    assert found["A"] == ("z", 10.2) and found["N"] == ("n", None)
