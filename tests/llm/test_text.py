@@ -305,6 +305,46 @@ def test_mixer_equals_plain_numbers():
     assert np.allclose(mixer.code(mixer.Tables(counts), weights, h[alone], doc[alone] * 0, place[alone], context[:, alone], 1, coded[alone]), got[alone], atol=1e-3)
 
 
+def test_gates_are_summed_by_products(monkeypatch):
+    """What gates learn from a slab is what the sums over their bits give; the bits aren't summed gate by gate."""
+    rng = np.random.default_rng(5)
+    docs, n = 12, 30
+    h, doc, place = rng.integers(0, 1 << 63, 40, dtype=np.uint64)[rng.integers(0, 40, docs * n)] * np.uint64(2), np.repeat(np.arange(docs), n), np.tile(np.arange(n), docs)
+    context = mixer.contexts(h, doc, place, mixer.seen_before(doc, np.unique(h, return_inverse=True)[1]))
+    counts = mixer.Counts()
+    node, bit = mixer.nodes(mixer.code_of(h))
+    at = mixer.slots(context, node)
+    counts.add(at, bit.ravel().astype(np.int64))
+    tables, weights = mixer.Tables(counts), mixer.Mixer()
+    weights.gated += rng.normal(0, 0.1, weights.gated.shape).astype(np.float32)
+    x, first = np.ones((mixer.INPUTS, node.size), np.float32), place < 8  # the first block has nothing of its own
+    gate = (tables.look(at, x).reshape(node.shape) + mixer._GATE)[:, first]
+    x = x.reshape(mixer.INPUTS, *node.shape)[:, :, first]
+    x[len(mixer.ORDERS) : -1] = 0
+    z = np.clip((weights.gated[:, gate] * x).sum(0), -mixer.BOUND, mixer.BOUND)
+    g = bit[:, first] - 1 / (1 + np.exp(-z))
+    want = np.array([np.bincount(gate.ravel(), (g * own).ravel(), mixer.GATES) for own in x])
+    found = []
+    weights.learn = lambda sums, bits, stage: found.append((stage, sums, bits))
+    plain = np.bincount
+    monkeypatch.setattr(np, "bincount", lambda x, weights=None, minlength=0: plain(x, None if weights is None else pytest.fail("summed gate by gate"), minlength))
+    mixer.code(tables, weights, h, doc, place, context, docs, np.ones(len(h), bool), True)
+    stage, sums, bits = found[0]
+    assert stage == 0 and np.allclose(sums, want, atol=1e-2) and (bits == np.bincount(gate.ravel(), minlength=mixer.GATES)).all()
+
+
+def test_distinct_and_seen_before_equal_plain_ones():
+    rng = np.random.default_rng(3)
+    h, doc = rng.integers(0, 50, 400).astype(np.uint64), np.sort(rng.integers(0, 7, 400))
+    distinct, one, inverse = lm._distinct(h)
+    assert (distinct == np.unique(h)).all() and (h[one] == distinct).all() and (distinct[inverse] == h).all() and not len(lm._distinct(h[:0])[0])
+    for shift in (0, 1 << 38):  # the larger keys don't fit beside their places
+        for docs in (doc, doc + (1 << 20)):
+            seen = Counter()
+            want = [seen.update([k]) or seen[k] - 1 for k in zip(docs.tolist(), h.tolist(), strict=True)]
+            assert mixer.seen_before(docs, h.astype(np.int64) + shift).tolist() == want
+
+
 def test_words_are_counted_once_with_their_number():
     """Equal words in equal contexts, counted together, give the counts of all of them bit by bit; those of a long document don't overflow."""
     rng = np.random.default_rng(6)
