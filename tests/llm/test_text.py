@@ -384,6 +384,38 @@ def test_blocks_in_tiles(monkeypatch):
     assert all(np.allclose(a, b, atol=1e-3) for a, b in zip(*found, strict=True))
 
 
+def test_look_ups_in_windows(monkeypatch):
+    """Words that are looked up together or apart cost the same and teach the same weights."""
+    rng = np.random.default_rng(8)
+    size = rng.integers(1, 300, 12)
+    h, doc = rng.integers(0, 1 << 63, 40, dtype=np.uint64)[rng.integers(0, 40, size.sum())] * np.uint64(2), np.repeat(np.arange(12), size)
+    place = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
+    context = mixer.contexts(h, doc, place, mixer.seen_before(doc, np.unique(h, return_inverse=True)[1]))
+    found = []
+    for window in (1, 100, 1 << 20):
+        monkeypatch.setattr(mixer, "WINDOW", window)
+        counts, weights = mixer.Counts(), mixer.Mixer()
+        mixer.code(mixer.Tables(counts), weights, h, doc, place, context, 12, np.ones(len(h), bool), True, counts)
+        found.append((weights.gated, weights.stage, mixer.code(mixer.Tables(counts), weights, h, doc, place, context, 12, np.ones(len(h), bool))))
+    assert all(np.allclose(a, b, atol=1e-3) for other in found[1:] for a, b in zip(found[0], other, strict=True))
+
+
+def test_equal_bytes_are_counted_once_with_their_number(monkeypatch):
+    """Bits of words that repeat are hashed once, and counted as often as they occur."""
+    own, sizes, mix = [b"", "é".encode(), b"abc", *[b"the", b"then"] * 500], [], words.mix
+    want = np.zeros(2 * lm.STORED, np.int64)
+    for _, slots, bit, _ in lm.bits(*lm.joined(own)):
+        for x in slots:
+            np.add.at(want, x + bit.astype(np.int64) * lm.STORED, 1)
+    monkeypatch.setattr(words, "mix", lambda x: sizes.append(len(x)) or mix(x))
+    got = np.zeros(2 * lm.STORED, np.int32)
+    lm.count_bits(*lm.joined(own), got)
+    assert (got == want).all() and max(sizes) < 20
+    got[:] = 0
+    lm.count_bits(*lm.joined([]), got)
+    assert not got.any()
+
+
 def test_words_of_a_document():
     """New words, repeated new words, and shares within a code, against plain numbers."""
     ids, known = [5, 5, 7, 5, 9, 9, 7], [True, True, False, True, False, True, False]
